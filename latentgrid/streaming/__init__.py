@@ -1,0 +1,5 @@
+"""Streaming.
+
+The fitted model and its inputs are static tables; no operator of the
+engine reads or writes a stream, so this package holds nothing yet.
+"""
