@@ -19,6 +19,7 @@ def build_session(master: str | None = None, app: str = "latentgrid",
     master = master or os.environ.get("LATENTGRID_MASTER", "local[8]")
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
