@@ -194,3 +194,106 @@ FROM pred, g GROUP BY 1, 2, 3""",
 FROM pb GROUP BY ROLLUP (stratum, xb)""",
     "sgd_one_sample": _one_sample(),
 }
+
+
+# -- training: serial SGD as a set-based recursive query --------------------------------
+#
+# One stratum's blocks share no x and no y, so the fit equals serial SGD over
+# the samples ordered by (epoch, step order, order columns). The recursion
+# keeps one row per factor id with the number of its samples applied so far;
+# each round applies every sample that is next in line for both its x and its
+# y (such samples touch distinct rows), which is the serial result.
+
+ETA0 = "0.001::DOUBLE"
+ETA1 = "0.001::DOUBLE * 0.99::DOUBLE"
+
+
+def _upd(base: str, other: str) -> str:
+    c = "(-2.0::DOUBLE * u.e)"
+    return "[" + ", ".join(f"{base}[{k + 1}] - u.eta * ({c} * {other}[{k + 1}])" for k in range(K)) + "]"
+
+
+def _sgd_ctes(order: str, epochs: list, sample_filter: str = "TRUE") -> str:
+    ep = " UNION ALL ".join(f"SELECT {e} AS epoch, {eta} AS eta" for e, eta in epochs)
+    return f"""ep AS ({ep}),
+s0 AS (
+  SELECT r.*, CAST(x_id // xd AS INTEGER) AS xb, CAST(y_id // yd AS INTEGER) AS yb FROM r, g),
+s1 AS (
+  SELECT s0.*, CAST({pmod("yb - xb")} AS INTEGER) AS stratum FROM s0 WHERE {sample_filter}),
+samples AS (
+  SELECT s1.x_id, s1.y_id, s1.rating, ep.epoch, ep.eta,
+         row_number() OVER (PARTITION BY s1.x_id ORDER BY ep.epoch, {order}) - 1 AS rx,
+         row_number() OVER (PARTITION BY s1.y_id ORDER BY ep.epoch, {order}) - 1 AS ry
+  FROM s1, ep),
+first_epoch AS (
+  SELECT 'W' AS side, x_id AS id, count(*) AS n0 FROM samples WHERE epoch = 0 GROUP BY x_id
+  UNION ALL
+  SELECT 'H', y_id, count(*) FROM samples WHERE epoch = 0 GROUP BY y_id),
+init2 AS (
+  SELECT i.side, i.id, i.block, i.v, coalesce(f.n0, 0) AS n0
+  FROM init i LEFT JOIN first_epoch f ON f.side = i.side AND f.id = i.id),
+st(it, side, id, block, v, cnt, n0, snap) AS (
+  SELECT 0, side, id, block, v, CAST(0 AS BIGINT), n0, CASE WHEN n0 = 0 THEN v END FROM init2
+  UNION ALL
+  SELECT * FROM (
+    WITH cur AS (SELECT * FROM st),
+    ready AS (
+      SELECT s.x_id, s.y_id, s.rating, s.eta, w.v AS w, h.v AS h
+      FROM samples s
+      JOIN cur w ON w.side = 'W' AND w.id = s.x_id AND w.cnt = s.rx
+      JOIN cur h ON h.side = 'H' AND h.id = s.y_id AND h.cnt = s.ry),
+    u0 AS (SELECT *, rating - list_dot_product(w, h) AS e FROM ready),
+    u1 AS (SELECT u.*, {_upd("u.w", "u.h")} AS w2 FROM u0 u),
+    u2 AS (SELECT u.*, {_upd("u.h", "u.w2")} AS h2 FROM u1 u),
+    nxt AS (
+      SELECT c.it, c.side, c.id, c.block, c.v, c.cnt, c.n0, c.snap,
+             coalesce(uw.w2, uh.h2) AS nv
+      FROM cur c
+      LEFT JOIN u2 uw ON c.side = 'W' AND uw.x_id = c.id
+      LEFT JOIN u2 uh ON c.side = 'H' AND uh.y_id = c.id
+      WHERE EXISTS (SELECT 1 FROM u2))
+    SELECT it + 1, side, id, block, coalesce(nv, v),
+           cnt + CASE WHEN nv IS NULL THEN 0 ELSE 1 END, n0,
+           CASE WHEN nv IS NOT NULL AND cnt + 1 = n0 THEN nv ELSE snap END
+    FROM nxt)),
+final AS (SELECT * FROM st WHERE it = (SELECT max(it) FROM st))"""
+
+
+def sgd_factors_sql(order: str, epochs: list, sample_filter: str = "TRUE") -> str:
+    body = with_(R, G, INIT, _sgd_ctes(order, epochs, sample_filter)).replace(
+        "WITH ", "WITH RECURSIVE ", 1)
+    return body + f"SELECT side, id, block, {spread('v')} FROM final"
+
+
+def sgd_history_sql(order: str) -> str:
+    body = with_(R, G, INIT, _sgd_ctes(order, [(0, ETA0), (1, ETA1)])).replace(
+        "WITH ", "WITH RECURSIVE ", 1)
+    return body + f"""SELECT e.epoch, e.eta,
+       round(sum((r.rating - list_dot_product(CASE e.epoch WHEN 0 THEN w.snap ELSE w.v END,
+                                              CASE e.epoch WHEN 0 THEN h.snap ELSE h.v END)) *
+                 (r.rating - list_dot_product(CASE e.epoch WHEN 0 THEN w.snap ELSE w.v END,
+                                              CASE e.epoch WHEN 0 THEN h.snap ELSE h.v END))), 4)
+         AS squared_error,
+       count(*) AS n,
+       round(sqrt(sum((r.rating - list_dot_product(CASE e.epoch WHEN 0 THEN w.snap ELSE w.v END,
+                                                   CASE e.epoch WHEN 0 THEN h.snap ELSE h.v END)) *
+                      (r.rating - list_dot_product(CASE e.epoch WHEN 0 THEN w.snap ELSE w.v END,
+                                                   CASE e.epoch WHEN 0 THEN h.snap ELSE h.v END))) / count(*)), 6)
+         AS rmse
+FROM r JOIN final w ON w.side = 'W' AND w.id = r.x_id
+       JOIN final h ON h.side = 'H' AND h.id = r.y_id
+       CROSS JOIN ep e
+GROUP BY e.epoch, e.eta"""
+
+
+DIAGONAL_ORDER = f"stratum, xb, {ORDER}"
+ROW_MAJOR_ORDER = f"xb, yb, {ORDER}"
+
+ORACLES.update({
+    "sgd_one_stratum": sgd_factors_sql(DIAGONAL_ORDER, [(0, ETA0)], "stratum = 0"),
+    "sgd_one_epoch": sgd_factors_sql(DIAGONAL_ORDER, [(0, ETA0)]),
+    "sgd_fit": sgd_factors_sql(DIAGONAL_ORDER, [(0, ETA0), (1, ETA1)]),
+    "sgd_history": sgd_history_sql(DIAGONAL_ORDER),
+    "sgd_row_major": sgd_factors_sql(ROW_MAJOR_ORDER, [(0, ETA0), (1, ETA1)]),
+    "sgd_warm_start": sgd_factors_sql(DIAGONAL_ORDER, [(0, ETA0), (1, ETA1)]),
+})
