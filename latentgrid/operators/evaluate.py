@@ -49,10 +49,11 @@ def predict(ratings: DataFrame, factors: DataFrame, on_missing: str = "error",
     j = ratings.join(w, x, how).join(h, y, how)
     p = dot("_w", "_h")
     if on_missing == "error":
-        p = F.when(F.col("_w").isNull() | F.col("_h").isNull(),
-                   F.raise_error(F.concat(F.lit("no factor row for rating ("),
-                                          F.col(x).cast("string"), F.lit(","),
-                                          F.col(y).cast("string"), F.lit(")")))).otherwise(p)
+        # a filter, not a projection: column pruning cannot drop the check
+        missing = F.col("_w").isNull() | F.col("_h").isNull()
+        j = j.filter(F.when(missing, F.raise_error(F.concat(
+            F.lit("no factor row for rating ("), F.col(x).cast("string"), F.lit(","),
+            F.col(y).cast("string"), F.lit(")")))).otherwise(F.lit(True)))
     elif on_missing == "nan":
         p = F.coalesce(p, F.lit(float("nan")))
     cols = [c for c in ratings.columns]

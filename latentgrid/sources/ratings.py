@@ -38,11 +38,10 @@ def parse_rating_lines(lines: DataFrame, sep: str = ",", mode: str = "strict",
     parsed = lines.select(F.col(line_col).alias("line"), x.alias("x_id"), y.alias("y_id"),
                           r.alias("rating"), reason.alias("reason"))
     if mode == "strict":
-        return parsed.select(
-            F.when(F.col("reason").isNotNull(),
-                   F.raise_error(F.concat(F.lit("malformed rating line ("), F.col("reason"),
-                                          F.lit("): "), F.col("line"))))
-            .otherwise(F.col("x_id")).alias("x_id"), "y_id", "rating")
+        # a filter, not a projection: column pruning cannot drop the check
+        check = F.when(F.col("reason").isNotNull(), F.raise_error(F.concat(
+            F.lit("malformed rating line ("), F.col("reason"), F.lit("): "), F.col("line"))))
+        return parsed.filter(check.otherwise(F.lit(True))).select("x_id", "y_id", "rating")
     good = parsed.filter(F.col("reason").isNull()).select("x_id", "y_id", "rating")
     if mode == "drop":
         return good
