@@ -193,6 +193,12 @@ FROM pred, g GROUP BY 1, 2, 3""",
        round(sqrt(sum(se) / count(*)), 6) AS rmse
 FROM pb GROUP BY ROLLUP (stratum, xb)""",
     "sgd_one_sample": _one_sample(),
+    "ratings_text_file": with_(R) + "SELECT x_id, y_id, rating FROM r",
+    "ratings_header_file": with_(R) + "SELECT x_id, y_id, rating FROM r",
+    "ratings_blocked_stratum": with_(R, G, B) + f"""SELECT * FROM (
+  SELECT *, CAST({pmod("yb - xb")} AS INTEGER) AS stratum FROM b) WHERE stratum = 3""",
+    "factors_text_file": with_(R, G, INIT) + f"SELECT side, id, {spread(decimals=None)} FROM init",
+    "factors_native": with_(R, G, INIT) + f"SELECT side, id, block, {spread(decimals=None)} FROM init",
 }
 
 

@@ -18,9 +18,12 @@ from latentgrid.operators.grid import (assign_blocks, block_counts, compute_grid
 from latentgrid.plans import fixtures
 from latentgrid.plans.fixtures import ORDER_COLS
 from latentgrid.plans.train import fit
-from latentgrid.sources.blocks import pack_blocks, unpack_blocks
-from latentgrid.sources.factors import factor_lines, pack_factors, unpack_factors
-from latentgrid.sources.ratings import parse_rating_lines, prefix_sample, rating_lines
+from latentgrid.session import scratch_path
+from latentgrid.sources.blocks import pack_blocks, read_stratum, unpack_blocks, write_blocked
+from latentgrid.sources.factors import (factor_lines, load_factors, pack_factors, read_factors,
+                                        unpack_factors, write_factors, write_factors_text)
+from latentgrid.sources.ratings import (parse_rating_lines, prefix_sample, rating_lines,
+                                        read_ratings)
 
 P = 8
 K = 4
@@ -97,6 +100,23 @@ def q_ratings_prefix(spark, sf_dir):
     return prefix_sample(_ratings(spark, sf_dir), PREFIX_N, ORDER_COLS)
 
 
+def q_ratings_text_file(spark, sf_dir):
+    """S1 through real files: the fixture written as text part files, read back strictly."""
+    path = scratch_path(spark, "q-ratings-text")
+    rating_lines(_ratings(spark, sf_dir), ",", extra=["l_orderkey"]).write.text(path)
+    return read_ratings(spark, path, ",", "strict", min_partitions=4)
+
+
+def q_ratings_header_file(spark, sf_dir):
+    """S3: headered CSV files (``userId,movieId,rating,timestamp``), first three columns."""
+    path = scratch_path(spark, "q-ratings-csv")
+    r = _ratings(spark, sf_dir)
+    (r.select(F.col("x_id").alias("userId"), F.col("y_id").alias("movieId"), "rating",
+              F.col("l_orderkey").alias("timestamp"))
+     .write.option("header", True).csv(path))
+    return read_ratings(spark, path, ",", "strict", header=True)
+
+
 # -- grid, blocks, strata, schedules -------------------------------------------
 
 def q_grid_dims(spark, sf_dir):
@@ -166,6 +186,15 @@ def q_blocks_packed(spark, sf_dir):
     return pack_blocks(r, compute_grid(r, P), ORDER_COLS)
 
 
+def q_ratings_blocked_stratum(spark, sf_dir):
+    """Ratings stored by stratum; reading stratum 3 prunes the other folders."""
+    r = _ratings(spark, sf_dir)
+    g = compute_grid(r, P)
+    path = scratch_path(spark, "q-blocked")
+    write_blocked(r, g, path)
+    return read_stratum(spark, path, 3)
+
+
 def q_blocks_unpacked(spark, sf_dir):
     return unpack_blocks(q_blocks_packed(spark, sf_dir))
 
@@ -188,6 +217,26 @@ def q_factors_parsed(spark, sf_dir):
                   decimals=None)
 
 
+def q_factors_text_file(spark, sf_dir):
+    """S6 -> S5: factor text files (range-partitioned parts), read back by line number."""
+    f = init_factors(spark, _grid(spark, sf_dir), K, SEED)
+    out = None
+    for side in ("W", "H"):
+        path = scratch_path(spark, f"q-factors-{side}")
+        write_factors_text(f, side, path, files=3)
+        back = read_factors(spark, path, side)
+        out = back if out is None else out.unionByName(back)
+    return spread(out, decimals=None)
+
+
+def q_factors_native(spark, sf_dir):
+    """Native Parquet sink and source."""
+    f = init_factors(spark, _grid(spark, sf_dir), K, SEED)
+    path = scratch_path(spark, "q-factors-native")
+    write_factors(f, path)
+    return spread(load_factors(spark, path), decimals=None)
+
+
 def q_factors_packed(spark, sf_dir):
     return pack_factors(init_factors(spark, _grid(spark, sf_dir), K, SEED), decimals=6)
 
@@ -364,6 +413,9 @@ QUERIES = {
     "ratings_parse_double_colon": q_ratings_parse_double_colon,
     "ratings_quarantine": q_ratings_quarantine,
     "ratings_prefix": q_ratings_prefix,
+    "ratings_text_file": q_ratings_text_file,
+    "ratings_header_file": q_ratings_header_file,
+    "ratings_blocked_stratum": q_ratings_blocked_stratum,
     "grid_dims": q_grid_dims,
     "block_assign": q_block_assign,
     "block_offset": q_block_offset,
@@ -378,6 +430,8 @@ QUERIES = {
     "factors_init": q_factors_init,
     "factors_text": q_factors_text,
     "factors_parsed": q_factors_parsed,
+    "factors_text_file": q_factors_text_file,
+    "factors_native": q_factors_native,
     "factors_packed": q_factors_packed,
     "factors_flattened": q_factors_flattened,
     "dot_products": q_dot_products,

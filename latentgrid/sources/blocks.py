@@ -25,11 +25,25 @@ def _sample_text(rating_fmt) -> F.Column:
                     F.lit(","), rating_fmt, F.lit(";"))
 
 
-def pack_blocks(ratings: DataFrame, grid: Grid, order_cols: list[str] | None = None) -> DataFrame:
+MAX_PACKED_SAMPLES = 5_000_000
+
+
+def pack_blocks(ratings: DataFrame, grid: Grid, order_cols: list[str] | None = None,
+                max_samples: int | None = MAX_PACKED_SAMPLES) -> DataFrame:
     """One record per block in row-major block order: ``x,y,r;`` per sample
-    (in ``order_cols`` order), empty string for an empty block."""
+    (in ``order_cols`` order), empty string for an empty block.
+
+    The format puts a whole block into one record. Before gathering, one
+    aggregate checks the largest block against ``max_samples`` and raises if it
+    is exceeded (use more blocks); nothing is dropped.
+    """
     order_cols = order_cols or ["x_id", "y_id", "rating"]
     b = assign_blocks(ratings, grid)
+    if max_samples is not None:
+        biggest = b.groupBy("xb", "yb").count().agg(F.max("count")).first()[0] or 0
+        if biggest > max_samples:
+            raise ValueError(f"a block holds {biggest} samples (> {max_samples}); "
+                             "raise the block count to pack it")
     sample = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
                       _sample_text(F.col("rating").cast("string")).alias("_t"))
     g = b.groupBy("xb", "yb").agg(F.array_sort(F.collect_list(sample)).alias("s"))
