@@ -134,3 +134,11 @@ def test_prefix_large_equals_topk(spark, scratch):
     b = prefix_sample_large(r, 1234, fixtures.ORDER_COLS, scratch + "/p", partitions=5)
     cols = fixtures.ORDER_COLS
     assert rows(a, *cols) == rows(b, *cols)
+
+
+def test_pack_guard_raises_instead_of_dropping(spark):
+    r = read_ratings(spark, data("dups.csv"))
+    g = compute_grid(r, 1)
+    with pytest.raises(ValueError, match="raise the block count"):
+        pack_blocks(r, g, max_samples=2)
+    assert pack_blocks(r, g, max_samples=3).count() == 1

@@ -151,3 +151,25 @@ def test_missing_factor_row_fails(spark, slice_ratings):
     init = init_factors(spark, g, K).filter(~((F.col("side") == "W") & (F.col("id") == 3)))
     with pytest.raises(Exception, match="no factor row"):
         fit(slice_ratings, K, blocks=4, epochs=1, init=init).factors.count()
+
+
+def test_automatic_block_count(spark, slice_ratings):
+    res = fit(slice_ratings, K, blocks=None, epochs=1)
+    assert res.grid.p >= 1
+    assert res.factors.count() == res.grid.p * (res.grid.x_dim + res.grid.y_dim)
+
+
+def test_rand_init_shape(spark, slice_ratings):
+    g = compute_grid(slice_ratings, 4)
+    f = init_factors(spark, g, 5, seed=7, method="rand").collect()
+    assert len(f) == 4 * (g.x_dim + g.y_dim)
+    assert all(len(r["factors"]) == 5 and all(0 <= v < 1 for v in r["factors"]) for r in f)
+
+
+def test_hash_init_is_deterministic_and_uniform(spark, slice_ratings):
+    g = compute_grid(slice_ratings, 4)
+    a = as_dict(init_factors(spark, g, 8))
+    b = as_dict(init_factors(spark.newSession(), g, 8))
+    assert all(np.array_equal(a[k], b[k]) for k in a)
+    v = np.concatenate(list(a.values()))
+    assert 0 <= v.min() and v.max() < 1 and abs(v.mean() - 0.5) < 0.05
