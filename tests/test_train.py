@@ -130,19 +130,25 @@ def test_balanced_keys_place_blocks(spark):
 
 
 def test_step_plan_shuffles_factors_only(spark, slice_ratings):
+    from latentgrid.operators.step import StepPlanner
     g = compute_grid(slice_ratings, 4)
     keys = balanced_keys(spark, 4)
-    prep = prepare_ratings(slice_ratings, g, "diagonal", keys, ["x_id", "y_id", "rating"]).persist()
-    prep.count()
-    out = step_frame(prep, init_factors(spark, g, K), g, keys, "diagonal", 1, 0.001,
-                     ["x_id", "y_id", "rating"])
+    prep = prepare_ratings(slice_ratings, g, "diagonal", keys, ["x_id", "y_id", "rating"])
+    pl = StepPlanner(prep, g, keys, "diagonal", ["x_id", "y_id", "rating"], "double", K)
+    out = pl.step(init_factors(spark, g, K), 1, 0.001)
+    out.write.format("noop").mode("overwrite").save()     # materialises the step's cache
     plan = out._jdf.queryExecution().executedPlan().toString()
-    cached = prep._jdf.queryExecution().executedPlan().toString()
-    # the cached ratings were shuffled once when prepared; the step adds one
-    # exchange (the factor side) and one secondary sort
+    cached = prep.part(1)._jdf.queryExecution().executedPlan().toString()
+    # the step's ratings were shuffled once into their cache; the step itself
+    # adds one exchange (the factor side) and one secondary sort
     assert "InMemoryTableScan" in plan
     assert plan.count("Exchange hashpartitioning") == 1 + cached.count("Exchange hashpartitioning")
-    assert plan.count("Sort [wk") == 1
+    assert plan.count("Sort [wk") == 1 + cached.count("Sort [wk")
+    # one cached partition per block: P partitions, each a single block key
+    parts = prep.part(1).groupBy(F.spark_partition_id().alias("pid")).agg(
+        F.countDistinct("wk").alias("k")).collect()
+    assert all(r["k"] == 1 for r in parts)
+    pl.close()
     prep.unpersist()
 
 
@@ -186,19 +192,19 @@ def test_blocked_evaluation_equals_join(spark, slice_ratings):
 
 
 def test_blocked_evaluation_plan_keeps_ratings_in_place(spark, slice_ratings):
+    from latentgrid.operators.evaluate import evaluate
     from latentgrid.operators.step import StepPlanner
     g = compute_grid(slice_ratings, 4)
     keys = balanced_keys(spark, 4)
-    prep = prepare_ratings(slice_ratings, g, "diagonal", keys, ["x_id", "y_id", "rating"]).persist()
-    prep.count()
+    prep = prepare_ratings(slice_ratings, g, "diagonal", keys, ["x_id", "y_id", "rating"])
     pl = StepPlanner(prep, g, keys, "diagonal", ["x_id", "y_id", "rating"], "double", K)
     ev = pl.evaluate(init_factors(spark, g, K))
-    plan = ev._jdf.queryExecution().executedPlan().toString()
-    cached = prep._jdf.queryExecution().executedPlan().toString()
-    # factor copies are shuffled, the final sum is a single-partition aggregate
-    assert plan.count("Exchange hashpartitioning") == 1 + cached.count("Exchange hashpartitioning")
-    from latentgrid.operators.evaluate import evaluate
     e1 = ev.first()
+    plan = ev._jdf.queryExecution().executedPlan().toString()
+    cached = sum(prep.part(s)._jdf.queryExecution().executedPlan().toString()
+                 .count("Exchange hashpartitioning") for s in range(4))
+    # only the factor copies are shuffled on top of the per-step caches
+    assert plan.count("Exchange hashpartitioning") == 1 + cached
     e2 = evaluate(slice_ratings, init_factors(spark, g, K)).first()
     assert e1["n"] == e2["n"] and abs(e1["squared_error"] - e2["squared_error"]) < 1e-6
     pl.close()
