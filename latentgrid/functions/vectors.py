@@ -69,8 +69,3 @@ def parse_nonempty_numbers(s, sep: str = ",") -> Column:
     """Split, skip empty cells, cast the rest to double (packed-text reader)."""
     toks = F.filter(F.split(_c(s), sep, -1), lambda t: F.trim(t) != F.lit(""))
     return F.transform(toks, lambda t: F.trim(t).cast("double"))
-
-
-def flatten_rows(m) -> Column:
-    """Block matrix (array of rows) -> one flat array, row after row."""
-    return F.flatten(_c(m))

@@ -28,10 +28,6 @@ class Grid:
     min_x: int = 0
     min_y: int = 0
 
-    @property
-    def n_steps(self) -> int:
-        return self.p
-
     def steps(self, schedule: str) -> int:
         return self.p if schedule == "diagonal" else 2 * self.p - 1
 

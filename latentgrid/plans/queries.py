@@ -7,7 +7,7 @@ spread the K values into columns ``f0..f3`` rounded to 6 decimals.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from latentgrid.functions.init import init_factors
@@ -170,13 +170,16 @@ def q_schedule_row_major(spark, sf_dir):
 
 
 def q_rotation_identity(spark, sf_dir):
+    """P7 then P8 for every H row and every stratum: ``back`` equals ``block``."""
     g = _grid(spark, sf_dir)
     h = init_factors(spark, g, K, SEED).filter(F.col("side") == "H").select("side", "id", "block")
-    h = h.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(P - 1))))
-    work = F.expr(f"cast(pmod(block - step, {P}) as int)")
-    h = h.withColumn("work", work)
-    return h.select("id", "block", "step", "work",
-                    F.expr(f"cast(pmod(work + step, {P}) as int)").alias("back"))
+    out = None
+    for i in range(P):
+        one = (h.select("id", "block", F.lit(i).alias("step"),
+                        factor_work_key(P, i).alias("work"))
+               .withColumn("back", inverse_work_key(P, i, "work")))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 # -- packed text formats ---------------------------------------------------------
