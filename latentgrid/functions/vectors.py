@@ -11,11 +11,21 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def dot(a, b, check_length: bool = True) -> Column:
-    """Dot product, summed left to right. Unequal lengths raise."""
+def dot(a, b, check_length: bool = True, k: int | None = None) -> Column:
+    """Dot product, summed left to right. Unequal lengths raise.
+
+    With the length ``k`` known the sum is unrolled into plain arithmetic on
+    the elements, which whole-stage codegen compiles (the higher-order
+    ``aggregate``/``zip_with`` form is interpreted); both sum in the same order.
+    """
     a, b = _c(a), _c(b)
-    s = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0).cast("double"),
-                    lambda acc, v: acc + v)
+    if k is not None and k > 0:
+        s = F.lit(0.0).cast("double")
+        for i in range(k):
+            s = s + a.getItem(i) * b.getItem(i)
+    else:
+        s = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0).cast("double"),
+                        lambda acc, v: acc + v)
     if not check_length:
         return s
     return F.when(F.size(a) != F.size(b),

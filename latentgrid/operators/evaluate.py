@@ -47,7 +47,7 @@ def predict(ratings: DataFrame, factors: DataFrame, on_missing: str = "error",
         h = _maybe_broadcast(h, grid.p * grid.y_dim, rank, broadcast_bytes)
     how = "inner" if on_missing == "drop" else "left"
     j = ratings.join(w, x, how).join(h, y, how)
-    p = dot("_w", "_h")
+    p = dot("_w", "_h", k=rank)
     if on_missing == "error":
         # a filter, not a projection: column pruning cannot drop the check
         missing = F.col("_w").isNull() | F.col("_h").isNull()
