@@ -1,7 +1,7 @@
 """Train a factor model.
 
 spark-submit --py-files latentgrid.zip jobs/train.py --ratings R --rank 30 --out-w W --out-h H
-    [--blocks 8] [--epochs 10] [--eta 0.001] [--decay 0.99] [--seed 1]
+    [--blocks 8|auto] [--epochs 10] [--eta 0.001] [--decay 0.99] [--seed 1]
     [--schedule diagonal|row_major] [--eval-every 0] [--sep ,] [--mode strict]
     [--format text|parquet] [--out PATH] [--dtype double|float] [--init PATH]
 
@@ -34,7 +34,7 @@ def parse_args(argv=None):
     a.add_argument("--out-h")
     a.add_argument("--out", help="native Parquet output (partitioned by side)")
     a.add_argument("--format", choices=["text", "parquet"], default="text")
-    a.add_argument("--blocks", type=int, default=8)
+    a.add_argument("--blocks", default="8", help="block count P, or 'auto'")
     a.add_argument("--epochs", type=int, default=10)
     a.add_argument("--eta", type=float, default=0.001)
     a.add_argument("--decay", type=float, default=0.99)
@@ -62,7 +62,8 @@ def main(argv=None) -> None:
             raise SystemExit(f"output exists: {p}")
     ratings = read_ratings(spark, args.ratings, sep=args.sep, mode=args.mode, header=args.header)
     init = load_factors(spark, args.init) if args.init else None
-    res = fit(ratings, args.rank, blocks=args.blocks, epochs=args.epochs, eta=args.eta,
+    blocks = None if args.blocks == "auto" else int(args.blocks)
+    res = fit(ratings, args.rank, blocks=blocks, epochs=args.epochs, eta=args.eta,
               decay=args.decay, seed=args.seed, schedule=args.schedule, dtype=args.dtype,
               init=init, eval_every=args.eval_every)
     if res.history is not None:

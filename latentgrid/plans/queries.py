@@ -342,7 +342,7 @@ def q_sgd_one_sample(spark, sf_dir):
     w = f.filter(F.col("side") == "W").select(F.col("id").alias("x_id"), F.col("factors").alias("w"))
     h = f.filter(F.col("side") == "H").select(F.col("id").alias("y_id"), F.col("factors").alias("h"))
     j = r.join(w, "x_id").join(h, "y_id")
-    e = F.col("rating") - dot("w", "h")
+    e = F.col("rating") - dot("w", "h", k=K)
     j = j.withColumn("e", e)
     c = F.lit(-2.0) * F.col("e")
     j = j.withColumn("w2", F.zip_with("w", "h", lambda a, b: a - F.lit(ETA) * (c * b)))
