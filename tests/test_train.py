@@ -209,3 +209,40 @@ def test_blocked_evaluation_plan_keeps_ratings_in_place(spark, slice_ratings):
     assert e1["n"] == e2["n"] and abs(e1["squared_error"] - e2["squared_error"]) < 1e-6
     pl.close()
     prep.unpersist()
+
+
+@pytest.mark.parametrize("schedule", ["diagonal", "row_major"])
+def test_blocks_streamed_in_many_batches(spark, slice_ratings, schedule):
+    """Blocks spanning many Arrow batches (factor rows and ratings split across
+    batches) give the serial result."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "37")
+    try:
+        res = fit(slice_ratings, K, blocks=2, epochs=2, order_cols=fixtures.ORDER_COLS,
+                  schedule=schedule)
+        got = as_dict(res.factors)
+    finally:
+        spark.conf.set(key, old)
+    W, H = serial_fit(spark, slice_ratings.toPandas(), res.grid, K, 2, fixtures.ORDER_COLS,
+                      schedule)
+    assert max_diff(got, W, H) < 1e-12
+
+
+def test_hot_row_id(spark):
+    """One x id holds a third of all ratings: exact result, nothing dropped."""
+    r = fixtures.ratings(spark, SF_SMALL)
+    hot = r.withColumn("x_id", F.when(F.col("l_linenumber") <= 2, F.lit(7).cast("bigint"))
+                       .otherwise(F.col("x_id")))
+    n_hot = hot.filter("x_id = 7").count()
+    assert n_hot >= hot.count() / 4
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "500")
+    try:
+        res = fit(hot, K, blocks=4, epochs=1, order_cols=fixtures.ORDER_COLS)
+        got = as_dict(res.factors)
+    finally:
+        spark.conf.set(key, old)
+    W, H = serial_fit(spark, hot.toPandas(), res.grid, K, 1, fixtures.ORDER_COLS)
+    assert max_diff(got, W, H) < 1e-12
