@@ -193,6 +193,7 @@ FROM pred, g GROUP BY 1, 2, 3""",
        round(sqrt(sum(se) / count(*)), 6) AS rmse
 FROM pb GROUP BY ROLLUP (stratum, xb)""",
     "sgd_one_sample": _one_sample(),
+    "ratings_prefix_large": with_(R) + f"SELECT * FROM r ORDER BY {ORDER} LIMIT 30000",
     "ratings_text_file": with_(R) + "SELECT x_id, y_id, rating FROM r",
     "ratings_header_file": with_(R) + "SELECT x_id, y_id, rating FROM r",
     "ratings_blocked_stratum": with_(R, G, B) + f"""SELECT * FROM (

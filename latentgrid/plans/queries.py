@@ -22,13 +22,14 @@ from latentgrid.session import scratch_path
 from latentgrid.sources.blocks import pack_blocks, read_stratum, unpack_blocks, write_blocked
 from latentgrid.sources.factors import (factor_lines, load_factors, pack_factors, read_factors,
                                         unpack_factors, write_factors, write_factors_text)
-from latentgrid.sources.ratings import (parse_rating_lines, prefix_sample, rating_lines,
-                                        read_ratings)
+from latentgrid.sources.ratings import (parse_rating_lines, prefix_sample, prefix_sample_large,
+                                        rating_lines, read_ratings)
 
 P = 8
 K = 4
 SEED = 1
 PREFIX_N = 10_000
+PREFIX_LARGE_N = 30_000
 EPOCHS = 2
 ETA = 0.001
 DECAY = 0.99
@@ -100,6 +101,13 @@ def q_ratings_prefix(spark, sf_dir):
     return prefix_sample(_ratings(spark, sf_dir), PREFIX_N, ORDER_COLS)
 
 
+def q_ratings_prefix_large(spark, sf_dir):
+    """S4 for a large n (half the table): range sort, per-partition counts, position filter."""
+    r = _ratings(spark, sf_dir)
+    return prefix_sample_large(r, PREFIX_LARGE_N, ORDER_COLS, scratch_path(spark, "q-prefix"),
+                               partitions=8)
+
+
 def q_ratings_text_file(spark, sf_dir):
     """S1 through real files: the fixture written as text part files, read back strictly."""
     path = scratch_path(spark, "q-ratings-text")
@@ -416,6 +424,7 @@ QUERIES = {
     "ratings_parse_double_colon": q_ratings_parse_double_colon,
     "ratings_quarantine": q_ratings_quarantine,
     "ratings_prefix": q_ratings_prefix,
+    "ratings_prefix_large": q_ratings_prefix_large,
     "ratings_text_file": q_ratings_text_file,
     "ratings_header_file": q_ratings_header_file,
     "ratings_blocked_stratum": q_ratings_blocked_stratum,
