@@ -40,14 +40,44 @@ def write_factors_text(factors: DataFrame, side: str, path: str, files: int | No
     out.select("line").write.mode("errorifexists").text(path)
 
 
+def line_numbers(spark: SparkSession, path: str) -> DataFrame:
+    """``(line, pos)``: every line of the text files under ``path`` with its
+    0-based position in the concatenation of the files in name order.
+
+    Rows of one file split are contiguous and in order inside a scan partition,
+    and ``monotonically_increasing_id`` counts them; one aggregate gives the
+    row count and first id of every split (one small row per split reaches the
+    driver), from which each split's starting line follows. The scan is
+    deterministic, so both passes see the same ids.
+    """
+    files = list_files(spark, path)
+    rank = {f: i for i, f in enumerate(files)}
+    lines = (spark.read.text(files)
+             .select(F.col("value").alias("line"),
+                     F.col("_metadata.file_path").alias("_file"),
+                     F.col("_metadata.file_block_start").alias("_start"),
+                     F.monotonically_increasing_id().alias("_mid")))
+    splits = (lines.groupBy("_file", "_start")
+              .agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first")).collect())
+
+    def order(r):
+        f = r["_file"]
+        return (rank.get(f, rank.get(f.replace("file:///", "file:/"), len(files))), f, r["_start"])
+
+    offset, table = 0, []
+    for r in sorted(splits, key=order):
+        table.append((r["_file"], int(r["_start"]), offset - int(r["_first"])))
+        offset += int(r["_n"])
+    shift = spark.createDataFrame(table, "_file string, _start long, _shift long")
+    return (lines.join(F.broadcast(shift), ["_file", "_start"])
+            .select("line", (F.col("_mid") + F.col("_shift")).alias("pos")))
+
+
 def read_factors(spark: SparkSession, path: str, side: str) -> DataFrame:
     """Text import; line position (over part files in name order) is the id,
-    unreadable cells become NaN. Numbering lines needs one pass with
-    ``zipWithIndex`` (the only RDD use in the package)."""
-    files = list_files(spark, path)
-    rdd = spark.sparkContext.textFile(",".join(files)).zipWithIndex()
-    lines = spark.createDataFrame(rdd, "line string, id long")
-    return lines.select(F.lit(side).alias("side"), "id",
+    unreadable cells become NaN."""
+    lines = line_numbers(spark, path)
+    return lines.select(F.lit(side).alias("side"), F.col("pos").alias("id"),
                         parse_numbers(F.col("line")).alias("factors"))
 
 

@@ -142,3 +142,17 @@ def test_pack_guard_raises_instead_of_dropping(spark):
     with pytest.raises(ValueError, match="raise the block count"):
         pack_blocks(r, g, max_samples=2)
     assert pack_blocks(r, g, max_samples=3).count() == 1
+
+
+def test_line_numbers_across_files_and_splits(spark, scratch):
+    from latentgrid.sources.factors import line_numbers
+    # three part files, each cut into several splits by a tiny split size
+    df = spark.range(0, 3000).selectExpr("id", "concat('v', cast(id as string)) AS line")
+    df.repartitionByRange(3, "id").sortWithinPartitions("id").select("line").write.text(scratch + "/t")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        got = {r["pos"]: r["line"] for r in line_numbers(spark, scratch + "/t").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == {i: f"v{i}" for i in range(3000)}
