@@ -97,7 +97,7 @@ def prefix_sample_large(df: DataFrame, n: int, order_cols: list[str], scratch: s
     then keep rows whose global position is below ``n``.
     """
     spark = df.sparkSession
-    parts = partitions or max(1, df.rdd.getNumPartitions())
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tagged = (df.repartitionByRange(parts, *order_cols).sortWithinPartitions(*order_cols)
               .withColumn("_mid", F.monotonically_increasing_id()))
     tagged.write.mode("errorifexists").parquet(scratch)
