@@ -23,9 +23,11 @@ def hash_uniform(seed, side, idc, k) -> Column:
 
 
 def factor_rows(spark: SparkSession, side: str, n_rows: int, dim: int, k: int,
-                seed: int = 1, method: str = "hash", dtype: str = "double") -> DataFrame:
-    """``n_rows`` factor rows for one side: ``(side, id, block, factors)``."""
-    ids = spark.range(n_rows)
+                seed: int = 1, method: str = "hash", dtype: str = "double",
+                ids: DataFrame | None = None) -> DataFrame:
+    """Factor rows ``(side, id, block, factors)`` for ids ``0..n_rows-1``, or for
+    the ids of the one-column DataFrame ``ids``."""
+    ids = spark.range(n_rows) if ids is None else ids.select(F.col(ids.columns[0]).alias("id"))
     s = F.lit(side)
     if method == "hash":
         vec = F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
@@ -44,10 +46,21 @@ def factor_rows(spark: SparkSession, side: str, n_rows: int, dim: int, k: int,
 
 
 def init_factors(spark: SparkSession, grid: Grid, k: int, seed: int = 1,
-                 method: str = "hash", dtype: str = "double", pad: bool = True) -> DataFrame:
-    """W and H for a grid: ``P * dim`` rows each (``pad=False``: ids up to the max only)."""
+                 method: str = "hash", dtype: str = "double", pad: bool = True,
+                 ratings: DataFrame | None = None) -> DataFrame:
+    """W and H for a grid: ``P * dim`` rows each (``pad=False``: ids up to the max only).
+
+    With ``ratings`` given, rows are made only for the ids that occur there
+    (for sparse id spaces); with the hash method their values are the same as
+    in the dense tables.
+    """
     if k < 1:
         raise ValueError("rank must be >= 1")
+    if ratings is not None:
+        wx = ratings.select(F.col("x_id").cast("bigint")).distinct()
+        hy = ratings.select(F.col("y_id").cast("bigint")).distinct()
+        return (factor_rows(spark, "W", 0, grid.x_dim, k, seed, method, dtype, ids=wx)
+                .unionByName(factor_rows(spark, "H", 0, grid.y_dim, k, seed, method, dtype, ids=hy)))
     nx = grid.p * grid.x_dim if pad else grid.max_x + 1
     ny = grid.p * grid.y_dim if pad else grid.max_y + 1
     w = factor_rows(spark, "W", nx, grid.x_dim, k, seed, method, dtype)

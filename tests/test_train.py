@@ -246,3 +246,13 @@ def test_hot_row_id(spark):
         spark.conf.set(key, old)
     W, H = serial_fit(spark, hot.toPandas(), res.grid, K, 1, fixtures.ORDER_COLS)
     assert max_diff(got, W, H) < 1e-12
+
+
+def test_seen_ids_only_match_dense_fit(spark, slice_ratings):
+    dense = as_dict(fit(slice_ratings, K, blocks=4, epochs=2, order_cols=fixtures.ORDER_COLS).factors)
+    sparse = as_dict(fit(slice_ratings, K, blocks=4, epochs=2, order_cols=fixtures.ORDER_COLS,
+                         ids="seen").factors)
+    nx = slice_ratings.select("x_id").distinct().count()
+    ny = slice_ratings.select("y_id").distinct().count()
+    assert len(sparse) == nx + ny < len(dense)
+    assert all(np.array_equal(sparse[k], dense[k]) for k in sparse)
