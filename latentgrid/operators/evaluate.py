@@ -83,6 +83,29 @@ def evaluate(ratings: DataFrame, factors: DataFrame, on_missing: str = "error",
     return _finish(agg)
 
 
+def evaluate_wide(ratings: DataFrame, factors: DataFrame, rank: int, grid: Grid | None = None,
+                  broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """A3 on factors in the step-table layout (``side, id, block, f0..``): the
+    prediction is plain arithmetic on the columns, compiled by codegen."""
+    fw = [f"f{j}" for j in range(rank)]
+    w = factors.filter(F.col("side") == "W").select(
+        F.col("id").alias("x_id"), *[F.col(c).alias(f"_w{j}") for j, c in enumerate(fw)])
+    h = factors.filter(F.col("side") == "H").select(
+        F.col("id").alias("y_id"), *[F.col(c).alias(f"_h{j}") for j, c in enumerate(fw)])
+    if grid is not None:
+        w = _maybe_broadcast(w, grid.p * grid.x_dim, rank, broadcast_bytes)
+        h = _maybe_broadcast(h, grid.p * grid.y_dim, rank, broadcast_bytes)
+    j = ratings.select("x_id", "y_id", "rating").join(w, "x_id", "left").join(h, "y_id", "left")
+    j = j.filter(F.when(F.col("_w0").isNull() | F.col("_h0").isNull(), F.raise_error(
+        F.lit("rating without a factor row"))).otherwise(F.lit(True)))
+    p = F.lit(0.0).cast("double")
+    for i in range(rank):
+        p = p + F.col(f"_w{i}").cast("double") * F.col(f"_h{i}").cast("double")
+    agg = j.select("rating", p.alias("prediction")).agg(
+        _sse().alias("squared_error"), F.count(F.lit(1)).alias("n"))
+    return _finish(agg)
+
+
 def evaluate_blocks(ratings: DataFrame, factors: DataFrame, grid: Grid, totals: bool = False,
                     on_missing: str = "error", rank: int | None = None,
                     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
