@@ -45,8 +45,11 @@ def main() -> None:
         hist = res.history.orderBy("epoch").collect()
         total = time.time() - t
         timings[f"fit_p{p}_k30_e{epochs}"] = round(total, 3)
+        secs = [h["seconds"] for h in hist]
+        per_epoch = sorted(b - a for a, b in zip([0.0] + secs[:-1], secs))
         extra[f"fit_p{p}"] = {
             "sec_per_epoch": round(total / max(epochs, 1), 3),
+            "median_epoch_sec": round(per_epoch[len(per_epoch) // 2], 3) if per_epoch else None,
             "rmse_per_epoch": [round(h["rmse"], 6) for h in hist],
             "seconds_at_epoch": [round(h["seconds"], 3) for h in hist],
         }
