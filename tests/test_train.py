@@ -181,9 +181,12 @@ def test_hash_init_is_deterministic_and_uniform(spark, slice_ratings):
     assert 0 <= v.min() and v.max() < 1 and abs(v.mean() - 0.5) < 0.05
 
 
-def test_blocked_evaluation_equals_join(spark, slice_ratings):
-    a = fit(slice_ratings, K, blocks=4, epochs=2, eval_every=1, eval_method="join")
-    b = fit(slice_ratings, K, blocks=4, epochs=2, eval_every=1, eval_method="blocked")
+@pytest.mark.parametrize("schedule", ["diagonal", "row_major"])
+def test_blocked_evaluation_equals_join(spark, slice_ratings, schedule):
+    a = fit(slice_ratings, K, blocks=4, epochs=2, eval_every=1, eval_method="join",
+            schedule=schedule)
+    b = fit(slice_ratings, K, blocks=4, epochs=2, eval_every=1, eval_method="blocked",
+            schedule=schedule)
     ha = a.history.orderBy("epoch").collect()
     hb = b.history.orderBy("epoch").collect()
     for x, y in zip(ha, hb):
