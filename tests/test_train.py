@@ -259,3 +259,27 @@ def test_seen_ids_only_match_dense_fit(spark, slice_ratings):
     ny = slice_ratings.select("y_id").distinct().count()
     assert len(sparse) == nx + ny < len(dense)
     assert all(np.array_equal(sparse[k], dense[k]) for k in sparse)
+
+
+@pytest.mark.parametrize("aqe", ["true", "false"])
+def test_initial_step_plan_keeps_partitioning(spark, slice_ratings, aqe):
+    """Planned before anything runs, a step has exactly one exchange (the factor
+    side): the union keeps the cached ratings' partitioning, with and without
+    adaptive execution."""
+    from latentgrid.operators.step import StepPlanner
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    try:
+        g = compute_grid(slice_ratings, 4)
+        keys = balanced_keys(spark, 4)
+        prep = prepare_ratings(slice_ratings, g, "diagonal", keys, ["x_id", "y_id", "rating"])
+        pl = StepPlanner(prep, g, keys, "diagonal", ["x_id", "y_id", "rating"], "double", K)
+        out = pl.step(init_factors(spark, g, K), 2, 0.001)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "ENSURE_REQUIREMENTS" not in plan
+        got = as_dict(out.selectExpr("side", "id", "array(f0, f1, f2, f3) AS factors"))
+        assert len(got) == 4 * (g.x_dim + g.y_dim)
+        pl.close()
+        prep.unpersist()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
