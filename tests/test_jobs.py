@@ -20,3 +20,4 @@ def test_train_then_evaluate(spark, scratch):
     b = evaluate(r, f).first()["rmse"]
     assert abs(a - b) < 1e-12
     ev.main([scratch + "/w", scratch + "/h", csv])
+    ev.main(["--native", scratch + "/native", csv])
