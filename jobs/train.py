@@ -3,7 +3,7 @@
 spark-submit --py-files latentgrid.zip jobs/train.py --ratings R --rank 30 --out-w W --out-h H
     [--blocks 8|auto] [--epochs 10] [--eta 0.001] [--decay 0.99] [--seed 1]
     [--schedule diagonal|row_major] [--eval-every 0] [--sep ,] [--mode strict]
-    [--format text|parquet] [--out PATH] [--dtype double|float] [--init PATH]
+    [--format text|parquet] [--out PATH] [--dtype double|float] [--init PATH] [--ids grid|seen]
 
 Output paths are checked before training starts.
 """
@@ -47,6 +47,8 @@ def parse_args(argv=None):
     a.add_argument("--dtype", choices=["double", "float"], default="double")
     a.add_argument("--init", help="warm start from native factors")
     a.add_argument("--text-files", type=int, default=None)
+    a.add_argument("--ids", choices=["grid", "seen"], default="grid",
+                   help="factor rows for every id of the grid, or only for ids in the ratings")
     return a.parse_args(argv)
 
 
@@ -65,7 +67,7 @@ def main(argv=None) -> None:
     blocks = None if args.blocks == "auto" else int(args.blocks)
     res = fit(ratings, args.rank, blocks=blocks, epochs=args.epochs, eta=args.eta,
               decay=args.decay, seed=args.seed, schedule=args.schedule, dtype=args.dtype,
-              init=init, eval_every=args.eval_every)
+              init=init, eval_every=args.eval_every, ids=args.ids)
     if res.history is not None:
         for h in res.history.orderBy("epoch").collect():
             print(h["epoch"], round(h["seconds"], 3), h["squared_error"], h["rmse"])
