@@ -62,6 +62,9 @@ def main(argv=None) -> None:
     for p in outs:
         if path_exists(spark, p):
             raise SystemExit(f"output exists: {p}")
+    if args.ids == "seen" and (args.out_w or args.out_h):
+        raise SystemExit("text output numbers rows by line and needs every id; "
+                         "use --out (Parquet) with --ids seen")
     ratings = read_ratings(spark, args.ratings, sep=args.sep, mode=args.mode, header=args.header)
     init = load_factors(spark, args.init) if args.init else None
     blocks = None if args.blocks == "auto" else int(args.blocks)

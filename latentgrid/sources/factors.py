@@ -33,6 +33,13 @@ def write_factors_text(factors: DataFrame, side: str, path: str, files: int | No
     spark = factors.sparkSession
     if path_exists(spark, path):
         raise FileExistsError(path)
+    # the line number is the id: the ids must be exactly 0..n-1
+    st = (factors.filter(F.col("side") == side)
+          .agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("n"))
+          .first())
+    if st["n"] and (st["lo"] != 0 or st["hi"] != st["n"] - 1):
+        raise ValueError(f"{side} ids are not 0..n-1 (min {st['lo']}, max {st['hi']}, "
+                         f"{st['n']} rows); the text format numbers rows by line, use Parquet")
     lines = factor_lines(factors, side, decimals)
     if files is None:
         files = max(1, -(-(rows or ROWS_PER_TEXT_FILE) // ROWS_PER_TEXT_FILE))

@@ -156,3 +156,11 @@ def test_line_numbers_across_files_and_splits(spark, scratch):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == {i: f"v{i}" for i in range(3000)}
+
+
+def test_text_sink_refuses_gapped_ids(spark, scratch):
+    g = Grid(2, 9, 9, 5, 5)
+    f = init_factors(spark, g, 2).filter("NOT (side = 'W' AND id = 3)")
+    with pytest.raises(ValueError, match="not 0..n-1"):
+        write_factors_text(f, "W", scratch + "/gap")
+    write_factors_text(f, "H", scratch + "/ok")
