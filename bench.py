@@ -31,18 +31,26 @@ def main() -> None:
 
     timings: dict[str, float] = {}
     extra: dict = {}
+    errors: dict[str, str] = {}
     for name in ["ratings_scan", "grid_dims", "block_counts", "stratum_counts", "blocks_packed",
                  "factors_init", "predictions", "rmse_global", "rmse_blocks", "rmse_rollup"]:
         t = time.time()
-        run(Q.QUERIES[name](spark, sf_dir))
-        timings[name] = round(time.time() - t, 3)
+        try:
+            run(Q.QUERIES[name](spark, sf_dir))
+            timings[name] = round(time.time() - t, 3)
+        except Exception as ex:  # noqa: BLE001 - record and go on, the JSON line must print
+            errors[name] = str(ex)[:300]
 
     ratings = fixtures.ratings(spark, sf_dir)
     for p in (8, 4):
         t = time.time()
-        res = fit(ratings, 30, blocks=p, epochs=epochs, eta=0.001, decay=0.99, seed=1,
-                  eval_every=1)
-        hist = res.history.orderBy("epoch").collect()
+        try:
+            res = fit(ratings, 30, blocks=p, epochs=epochs, eta=0.001, decay=0.99, seed=1,
+                      eval_every=1)
+            hist = res.history.orderBy("epoch").collect()
+        except Exception as ex:  # noqa: BLE001
+            errors[f"fit_p{p}"] = str(ex)[:300]
+            continue
         total = time.time() - t
         timings[f"fit_p{p}_k30_e{epochs}"] = round(total, 3)
         secs = [h["seconds"] for h in hist]
@@ -58,6 +66,8 @@ def main() -> None:
     out = {"metric": "total_sec", "value": round(sum(timings.values()), 3), "unit": "sec",
            "queries": timings, "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
            "cpus": int(cpus), "training": extra}
+    if errors:
+        out["errors"] = errors
     print(json.dumps(out))
     spark.stop()
 
