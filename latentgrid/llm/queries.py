@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latentgrid.llm import pii, simhash
+from latentgrid.llm import pii, simhash, warc
 from latentgrid.llm.common import table
+from latentgrid.session import scratch_path
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,4 +27,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(pii.digest("pii")).alias("spans"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_pii": op2_pii}
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC records and read back from the archives."""
+    path = scratch_path(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), path, least=0)
+    return warc.page_records(spark, path).withColumnRenamed("record", "page_id")
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op2_pii": op2_pii, "op3_warc": op3_warc}
