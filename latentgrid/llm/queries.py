@@ -5,11 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latentgrid.llm import pii, simhash, warc
+from latentgrid.llm import bpe, pii, simhash, warc
 from latentgrid.llm.common import table
 from latentgrid.session import scratch_path
 
 
+#: Folder of the public vocabulary files; the driver reads them.
+TOKENIZERS = "/opt/tokenizers"
+
+
+def tokenizer_path(name: str, folder: str = TOKENIZERS) -> str:
+    return f"{folder}/{name}"
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents whose 4-word SimHash fingerprints link at 4 bits or fewer."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
@@ -34,4 +42,14 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(spark, path).withColumnRenamed("record", "page_id")
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_pii": op2_pii, "op3_warc": op3_warc}
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    codec = bpe.Codec(spark, tokenizer_path("byte_bpe_50k.json"))
+    coded = table(spark, sf_dir, "documents").select("doc_id", codec.encode("text").alias("ids"))
+    return coded.select(
+        "doc_id", F.expr("cast(octet_length(ids) DIV 4 AS bigint)").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(codec.decode("ids").cast("binary"), 256).alias("decoded_sha256"))
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op2_pii": op2_pii, "op3_warc": op3_warc, "op4_bpe": op4_bpe}
