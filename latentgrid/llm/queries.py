@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latentgrid.llm import bpe, pii, simhash, warc
+from latentgrid.llm import bpe, decontam, pii, simhash, warc
 from latentgrid.llm.common import table
 from latentgrid.session import scratch_path
 
@@ -52,4 +52,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(codec.decode("ids").cast("binary"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_pii": op2_pii, "op3_warc": op3_warc, "op4_bpe": op4_bpe}
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item, as it is or with other numbers and names."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op2_pii": op2_pii, "op3_warc": op3_warc, "op4_bpe": op4_bpe,
+           "op5_decontamination": op5_decontamination}
