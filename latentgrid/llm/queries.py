@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latentgrid.llm import bpe, decontam, pii, simhash, warc
+from latentgrid.llm import bpe, decontam, langid, pii, secrets, simhash, warc
 from latentgrid.llm.common import table
 from latentgrid.session import scratch_path
 
@@ -57,5 +57,23 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learnt from those that aren't held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.identify(docs).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = [r.name for r in secrets.BASE]
+    base = F.expr(f"filter(secrets, s -> s.kind IN ({', '.join(map(repr, names))}))")
+    return found.withColumn("base", base).select(
+        "doc_id",
+        *(F.expr(f"cast(size(filter(base, s -> s.kind = '{n}')) AS bigint)").alias(f"n_{n}") for n in names),
+        F.expr(f"sha2({pii.digest('base')}, 256)").alias("base_sha256"),
+        F.expr(pii.digest("secrets")).alias("spans"))
+
+
 QUERIES = {"op1_simhash": op1_simhash, "op2_pii": op2_pii, "op3_warc": op3_warc, "op4_bpe": op4_bpe,
-           "op5_decontamination": op5_decontamination}
+           "op5_decontamination": op5_decontamination, "op8_langid": op8_langid, "op9_secrets": op9_secrets}
