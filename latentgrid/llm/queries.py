@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latentgrid.llm import bpe, decontam, langid, pii, secrets, simhash, warc
+from latentgrid.llm import bpe, decontam, embeddings, langid, pii, quality, secrets, simhash, tokencount, warc
 from latentgrid.llm.common import table
 from latentgrid.session import scratch_path
 
@@ -57,6 +57,22 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of all documents under a model of those labelled good, and whether it keeps them."""
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality.classify(table(spark, sf_dir, "documents"), good)
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents, from flat token files written from them."""
+    codec = bpe.Codec(spark, tokenizer_path("byte_bpe_50k.json"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", codec.encode("text").alias("ids"))
+    path = scratch_path(spark, "tokens")
+    tokencount.write_flat(docs.select(tokencount.with_header(F.col("ids"), F.col("doc_id")).alias("value")), path)
+    counts = tokencount.token_counts(spark, path, header=tokencount.HEADER)
+    return counts.select(F.col("key").alias("doc_id"), "n_tokens")
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents, learnt from those that aren't held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -75,5 +91,12 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(pii.digest("secrets")).alias("spans"))
 
 
+def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and classes of all embeddings at a cosine of 0.95 or more."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 QUERIES = {"op1_simhash": op1_simhash, "op2_pii": op2_pii, "op3_warc": op3_warc, "op4_bpe": op4_bpe,
-           "op5_decontamination": op5_decontamination, "op8_langid": op8_langid, "op9_secrets": op9_secrets}
+           "op5_decontamination": op5_decontamination, "op6_quality": op6_quality, "op7_token_counts": op7_token_counts,
+           "op8_langid": op8_langid, "op9_secrets": op9_secrets,
+           "op10_embeddings": op10_embeddings}
