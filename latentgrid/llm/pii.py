@@ -105,12 +105,12 @@ def find_pii(df: DataFrame, text: str = "text", to: str = "pii", kinds: tuple[Ki
 
 
 def redact(df: DataFrame, text: str = "text", spans: str = "pii") -> DataFrame:
-    """Replace each span of ``text`` by its kind in brackets; of overlapping spans the first one counts."""
+    """Replace each span of ``text`` by its kind in brackets; a span that overlaps an earlier one only widens it."""
     return df.withColumn(text, F.expr(f"""
-        aggregate(array_sort({spans}, (a, b) -> CASE WHEN a.start != b.start THEN a.start - b.start ELSE b.end - a.end END),
-            named_struct('at', 0, 'out', ''),
-            (acc, s) -> CASE WHEN s.start < acc.at THEN acc ELSE named_struct('at', s.end, 'out',
-                concat(acc.out, substring(`{text}`, acc.at + 1, s.start - acc.at), '[', s.kind, ']')) END,
+        aggregate(array_sort({spans}, (a, b) -> a.start - b.start), named_struct('at', 0, 'out', ''),
+            (acc, s) -> CASE WHEN s.start < acc.at THEN named_struct('at', greatest(acc.at, s.end), 'out', acc.out)
+                ELSE named_struct('at', s.end, 'out', concat(
+                    acc.out, substring(`{text}`, acc.at + 1, s.start - acc.at), '[', s.kind, ']')) END,
             acc -> concat(acc.out, substring(`{text}`, acc.at + 1)))"""))
 
 

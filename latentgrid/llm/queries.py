@@ -96,7 +96,16 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {"op1_simhash": op1_simhash, "op2_pii": op2_pii, "op3_warc": op3_warc, "op4_bpe": op4_bpe,
            "op5_decontamination": op5_decontamination, "op6_quality": op6_quality, "op7_token_counts": op7_token_counts,
            "op8_langid": op8_langid, "op9_secrets": op9_secrets,
-           "op10_embeddings": op10_embeddings}
+           "op10_embeddings": op10_embeddings, "pipeline": pipeline}
+
+ORACLES: dict[str, str] = {}

@@ -176,3 +176,13 @@ def find_secrets(df: DataFrame, text: str = "text", to: str = "secrets", rules:
         return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(count)).astype(np.int32)), values)
 
     return df.withColumn(to, find(F.col(text)))
+
+
+def masked(text: str, spans: str) -> F.Column:
+    """The text with each span replaced by its kind in brackets; a span that overlaps an earlier one only widens it."""
+    return F.expr(f"""CASE WHEN size({spans}) = 0 THEN `{text}` ELSE aggregate({spans},
+        named_struct('at', 0, 'out', ''),
+        (acc, s) -> CASE WHEN s.start < acc.at THEN named_struct('at', greatest(acc.at, s.end), 'out', acc.out)
+            ELSE named_struct('at', s.end, 'out', concat(
+                acc.out, substring(`{text}`, acc.at + 1, s.start - acc.at), '[', s.kind, ']')) END,
+        acc -> concat(acc.out, substring(`{text}`, acc.at + 1))) END""")

@@ -68,6 +68,10 @@ def with_fingerprint(df: DataFrame, text: str = "text", shingle: int = 4, to: st
     return df.withColumn(to, simhash(F.col(text)))
 
 
+def hex_digits(fingerprint: str) -> F.Column:
+    return F.lpad(F.lower(F.hex(fingerprint)), 16, "0")
+
+
 def byte_subsets(need: int, size: int = 3) -> list[tuple[int, ...]]:
     """Sets of ``size`` byte positions of which each ``need`` positions hold at least one (greedy cover)."""
     open_ = set(combinations(range(BYTES), need))
@@ -168,4 +172,4 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", shing
     named = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     named = classes.join(named, "root").select("fingerprint", "component_id")
     return own.join(named, "fingerprint").select(
-        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+        "doc_id", hex_digits("fingerprint").alias("fingerprint"), "component_id")
