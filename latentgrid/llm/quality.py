@@ -183,7 +183,8 @@ def classify(df: DataFrame, trusted: DataFrame, id: str = "doc_id", text: str =
     """
     rows = df.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     ids = trusted.select(F.col(trusted.columns[0]).alias("doc_id")).distinct()
-    model = train(rows.join(ids, "doc_id", "left_semi"))
+    # texts are always dealt by id here; whether the ids could be broadcast would change with their number
+    model = train(rows.select("doc_id", "text").join(ids.hint("shuffle_hash"), "doc_id", "left_semi"))
     scored = written(with_perplexity(rows, model).select("doc_id", "lang", "perplexity"), "perplexity")
     known = scored.join(ids, "doc_id", "left_semi")
     limit = (F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000)) * factor).alias("threshold")
