@@ -22,7 +22,7 @@ from latentgrid.llm.common import (LETTER, PASS_BYTES, SPACE, char_classes, code
 SHORT = 32
 NONE = np.int32(2**31 - 1)
 #: Bytes of text that are cut into words at once; its distinct words are encoded together.
-PASS = 4 * PASS_BYTES
+PASS = PASS_BYTES
 
 
 def _byte_chars() -> dict[str, int]:

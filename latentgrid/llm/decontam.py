@@ -198,7 +198,7 @@ def _rows(ids: pa.Array, matches, base: int = 0, shared: int = 0):
             ], schema=_FIELDS)
 
 
-def window_table(df: DataFrame, id: str, text: str, lengths: list[int], keep=None, most: int = 4 * PASS_BYTES) -> DataFrame:
+def window_table(df: DataFrame, id: str, text: str, lengths: list[int], keep=None, most: int = PASS_BYTES) -> DataFrame:
     """``(id, pos, template, hash, value, kind)``: windows of whole texts whose hash passes ``keep``."""
     keep = keep or (lambda h: np.ones(len(h), bool))
 
