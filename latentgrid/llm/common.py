@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from latentgrid.session import scratch_path
 
 #: Bytes of text that one numpy pass works on; a longer text is a pass of its own.
-PASS_BYTES = 1 << 20
+PASS_BYTES = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

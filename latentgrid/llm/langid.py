@@ -18,7 +18,7 @@ BITS = 16
 MOST_LANGS = 200
 UNKNOWN = "und"
 _FACTORS = tuple(np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D))
-PASS = 2 * PASS_BYTES
+PASS = PASS_BYTES
 _lower: np.ndarray | None = None
 
 
