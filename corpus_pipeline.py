@@ -33,14 +33,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keep the document with the smallest id of each class of near duplicates, each repeated row once."""
     docs = docs.select(COLUMNS)
     classes = simhash.near_duplicates(docs, shingle=4, distance=4)
-    kept = classes.where("doc_id = component_id").select("doc_id").distinct()
-    first = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").distinct()
+    kept = written(classes.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("times")), "kept")
+    # the ids are the small side at any size; hashed, they need no sorted texts
+    named = docs.where("doc_id IS NOT NULL").join(kept.hint("shuffle_hash"), "doc_id")
+    first = named.where("times = 1").select(COLUMNS)
+    if not kept.where("times > 1").isEmpty():
+        first = first.union(named.where("times > 1").select(COLUMNS).distinct())
     # without an id a row can't stand for a class that has one; such texts stay if no class has them
     alone = classes.where("doc_id IS NULL AND component_id IS NULL").select("fingerprint").distinct()
     unnamed = simhash.with_fingerprint(docs.where("doc_id IS NULL"), "text", 4, "fingerprint").withColumn(
         "fingerprint", simhash.hex_digits("fingerprint"))
     unnamed = unnamed.join(alone, "fingerprint", "left_semi").dropDuplicates(["fingerprint"])
-    return first.select(COLUMNS).union(unnamed.select(COLUMNS))
+    return first.union(unnamed.select(COLUMNS))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

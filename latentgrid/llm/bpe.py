@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from latentgrid.llm.common import (LETTER, PASS_BYTES, SPACE, char_classes, code_points, flat, passes, ragged)
+from latentgrid.llm.common import (LETTER, PASS_BYTES, SPACE, bounded_batches, char_classes, code_points, flat, passes, ragged)
 
 #: Words over so many bytes are merged through a heap, which doesn't scan a long array again and again.
 SHORT = 32
@@ -316,6 +316,7 @@ class Codec:
     """
 
     def __init__(self, spark: SparkSession, path: str):
+        bounded_batches(spark)
         shared = spark.sparkContext.broadcast(load(path))
 
         @F.arrow_udf("binary")

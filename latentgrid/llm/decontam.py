@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latentgrid.llm.common import PASS_BYTES, flat, passes, written
+from latentgrid.llm.common import PASS_BYTES, bounded_batches, flat, passes, written
 
 #: Words of a window; items of fewer words have one window, down to LEAST words.
 WINDOW = 8
@@ -200,6 +200,7 @@ def _rows(ids: pa.Array, matches, base: int = 0, shared: int = 0):
 
 def window_table(df: DataFrame, id: str, text: str, lengths: list[int], keep=None, most: int = PASS_BYTES) -> DataFrame:
     """``(id, pos, template, hash, value, kind)``: windows of whole texts whose hash passes ``keep``."""
+    bounded_batches(df.sparkSession)
     keep = keep or (lambda h: np.ones(len(h), bool))
 
     def run(batches):

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latentgrid.llm.common import LETTER, PASS_BYTES, char_classes, code_points, flat, passes
+from latentgrid.llm.common import LETTER, PASS_BYTES, bounded_batches, char_classes, code_points, flat, passes
 
 ORDERS = (1, 2, 3)
 #: n-grams are hashed into 2**BITS buckets, so the model has that many numbers per language.
@@ -142,6 +142,7 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", orders=ORDERS,
                 [pa.array([name] * (len(some) + 1)), pa.array(np.append(some, -1).astype(np.int32)),
                  pa.array(np.append(total[some], docs[name]))], ["lang", "bucket", "n"])
 
+    bounded_batches(df.sparkSession)
     rows = df.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(text, F.col(lang).cast("string"))
     sums = (rows.mapInArrow(count, "lang string, bucket int, n bigint")
             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))

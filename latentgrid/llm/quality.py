@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latentgrid.llm.common import PASS_BYTES, flat, passes, ragged, written
+from latentgrid.llm.common import PASS_BYTES, bounded_batches, flat, passes, ragged, written
 
 #: Bytes in front of and behind a text.
 BEGIN, END = 2, 3
@@ -181,6 +181,7 @@ def classify(df: DataFrame, trusted: DataFrame, id: str = "doc_id", text: str =
     Rows above it, and texts without bytes (perplexity null), are not kept. Rows with a null id are never
     trusted; repeated rows count each time.
     """
+    bounded_batches(df.sparkSession)
     rows = df.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     ids = trusted.select(F.col(trusted.columns[0]).alias("doc_id")).distinct()
     # texts are always dealt by id here; whether the ids could be broadcast would change with their number

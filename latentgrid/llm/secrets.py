@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latentgrid.llm.common import PASS_BYTES, flat, passes
+from latentgrid.llm.common import PASS_BYTES, bounded_batches, flat, passes
 
 
 @dataclass(frozen=True)
@@ -149,6 +149,7 @@ def find_secrets(df: DataFrame, text: str = "text", to: str = "secrets", rules:
     """
     if to in df.columns:
         raise ValueError(f"column {to} exists")
+    bounded_batches(df.sparkSession)
     queries = [trigram_query(r.pattern) for r in rules]
     names = tuple(sorted(set().union(*map(trigrams_of, queries))))
     if len(names) > 254:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latentgrid.llm.common import flat, smallest_labels, written
+from latentgrid.llm.common import bounded_batches, flat, smallest_labels, written
 from latentgrid.llm.graph import components
 
 SEED = 42
@@ -59,6 +59,8 @@ def fingerprint(text: bytes, shingle: int = 4) -> int:
 
 def with_fingerprint(df: DataFrame, text: str = "text", shingle: int = 4, to: str = "fingerprint") -> DataFrame:
     """Add the fingerprint of the whole text as a signed 64-bit column (null text: 0, as an empty one)."""
+    bounded_batches(df.sparkSession)
+
     @F.arrow_udf("bigint")
     def simhash(column: pa.Array) -> pa.Array:
         data, at = flat(column)

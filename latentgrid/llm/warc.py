@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latentgrid.llm.common import flat, written
+from latentgrid.llm.common import bounded_batches, flat, written
 
 #: Bytes of payload in a chunk, and so in a WARC record.
 CHUNK = 1 << 16
@@ -67,6 +67,7 @@ def chunk_table(df: DataFrame, id: str, payload: str, uri: str | None = None, si
                         rows, held = [], 0
             yield _batch(rows, CHUNKS)
 
+    bounded_batches(df.sparkSession)
     target = F.col(uri).cast("string") if uri else F.lit(None).cast("string")
     return df.select(F.col(id).cast("bigint"), target, F.col(payload).cast("binary")).mapInArrow(
         cut, "record bigint, uri string, chunk int, chunks int, bytes binary, upto bigint, sha1 string, "
