@@ -338,7 +338,8 @@ class Codec:
             data, at = flat(column)
             return pa.ListArray.from_arrays(pa.array((at // 4).astype(np.int32)), pa.array(data.view("<i4")))
 
-        self._pack, self._unpack, self._array = pack, unpack, unpacked
+        # not deterministic, for the planner: else it puts a copy of the encoder under each use of its column
+        self._pack, self._unpack, self._array = pack.asNondeterministic(), unpack, unpacked
 
     def encode(self, text: Column | str) -> Column:
         return self._pack(text)
