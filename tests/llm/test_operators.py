@@ -11,6 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from corpus_fixtures import docs  # noqa: F401
 from latentgrid.llm import (bpe, decontam, embeddings, langid, pii, quality, queries, secrets, simhash, tokencount, warc)
 from latentgrid.llm.common import smallest_labels
 from latentgrid.session import scratch_path

@@ -2,6 +2,7 @@ import re
 
 import corpus_pipeline as P
 import __spark_entry__ as E
+from corpus_fixtures import docs  # noqa: F401
 from latentgrid.llm import decontam, langid, secrets, simhash
 from latentgrid.llm.common import written
 
