@@ -34,7 +34,7 @@ def parse_args(argv=None):
     a.add_argument("--out-h")
     a.add_argument("--out", help="native Parquet output (partitioned by side)")
     a.add_argument("--format", choices=["text", "parquet"], default="text")
-    a.add_argument("--blocks", default="8", help="block count P, or 'auto'")
+    a.add_argument("--blocks", type=int, default=8, help="block count P")
     a.add_argument("--epochs", type=int, default=10)
     a.add_argument("--eta", type=float, default=0.001)
     a.add_argument("--decay", type=float, default=0.99)
@@ -67,8 +67,7 @@ def main(argv=None) -> None:
                          "use --out (Parquet) with --ids seen")
     ratings = read_ratings(spark, args.ratings, sep=args.sep, mode=args.mode, header=args.header)
     init = load_factors(spark, args.init) if args.init else None
-    blocks = None if args.blocks == "auto" else int(args.blocks)
-    res = fit(ratings, args.rank, blocks=blocks, epochs=args.epochs, eta=args.eta,
+    res = fit(ratings, args.rank, blocks=args.blocks, epochs=args.epochs, eta=args.eta,
               decay=args.decay, seed=args.seed, schedule=args.schedule, dtype=args.dtype,
               init=init, eval_every=args.eval_every, ids=args.ids)
     if res.history is not None:
@@ -77,11 +76,9 @@ def main(argv=None) -> None:
     if args.out:
         write_factors(res.factors, args.out)
     if args.out_w:
-        write_factors_text(res.factors, "W", args.out_w, files=args.text_files,
-                           rows=res.grid.p * res.grid.x_dim)
+        write_factors_text(res.factors, "W", args.out_w, files=args.text_files)
     if args.out_h:
-        write_factors_text(res.factors, "H", args.out_h, files=args.text_files,
-                           rows=res.grid.p * res.grid.y_dim)
+        write_factors_text(res.factors, "H", args.out_h, files=args.text_files)
     print(json.dumps({"grid": res.grid.__dict__, "etas": res.etas}))
     res.cleanup()
 

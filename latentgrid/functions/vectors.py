@@ -12,7 +12,7 @@ def _c(x) -> Column:
 
 
 def dot(a, b, check_length: bool = True, k: int | None = None) -> Column:
-    """Dot product, summed left to right. Unequal lengths raise.
+    """Dot product, summed left to right. Unequal lengths raise, as do lengths other than ``k``.
 
     With the length ``k`` known the sum is unrolled into plain arithmetic on
     the elements, which whole-stage codegen compiles (the higher-order
@@ -28,7 +28,10 @@ def dot(a, b, check_length: bool = True, k: int | None = None) -> Column:
                         lambda acc, v: acc + v)
     if not check_length:
         return s
-    return F.when(F.size(a) != F.size(b),
+    wrong = F.size(a) != F.size(b)
+    if k is not None and k > 0:
+        wrong = wrong | (F.size(a) != k)
+    return F.when(wrong,
                   F.raise_error(F.lit("dot: vectors of different length"))).otherwise(s)
 
 
@@ -44,15 +47,6 @@ def axpy(v, g, eta) -> Column:
     return F.zip_with(_c(v), _c(g), lambda a, b: a - eta * b)
 
 
-def residual(r, p) -> Column:
-    return _c(r) - _c(p)
-
-
-def sq_residual(r, p) -> Column:
-    d = _c(r) - _c(p)
-    return d * d
-
-
 def join_text(v, sep: str = ",") -> Column:
     """Numbers joined into one line, each written as Spark spells the double."""
     return F.array_join(F.transform(_c(v), lambda x: x.cast("string")), sep)

@@ -60,6 +60,13 @@ def predict(ratings: DataFrame, factors: DataFrame, on_missing: str = "error",
     return j.select(*cols, p.alias("prediction"))
 
 
+def _rated(ratings: DataFrame) -> DataFrame:
+    """The three columns; a null rating, which a sum would leave out, fails the job."""
+    return ratings.select("x_id", "y_id", "rating").filter(
+        F.when(F.col("rating").isNull(), F.raise_error(F.lit("null rating")).cast("boolean"))
+        .otherwise(F.lit(True)))
+
+
 def _sse() -> F.Column:
     d = F.col("rating") - F.col("prediction")
     return F.sum(d * d)
@@ -77,7 +84,7 @@ def evaluate(ratings: DataFrame, factors: DataFrame, on_missing: str = "error",
              grid: Grid | None = None, rank: int | None = None,
              broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """A3: one row ``(squared_error, n, rmse)``; ``n = 0`` gives rmse NULL."""
-    p = predict(ratings.select("x_id", "y_id", "rating"), factors, on_missing,
+    p = predict(_rated(ratings), factors, on_missing,
                 grid=grid, rank=rank, broadcast_bytes=broadcast_bytes)
     agg = p.agg(_sse().alias("squared_error"), F.count(F.lit(1)).alias("n"))
     return _finish(agg)
@@ -95,7 +102,7 @@ def evaluate_wide(ratings: DataFrame, factors: DataFrame, rank: int, grid: Grid
     if grid is not None:
         w = _maybe_broadcast(w, grid.p * grid.x_dim, rank, broadcast_bytes)
         h = _maybe_broadcast(h, grid.p * grid.y_dim, rank, broadcast_bytes)
-    j = ratings.select("x_id", "y_id", "rating").join(w, "x_id", "left").join(h, "y_id", "left")
+    j = _rated(ratings).join(w, "x_id", "left").join(h, "y_id", "left")
     j = j.filter(F.when(F.col("_w0").isNull() | F.col("_h0").isNull(), F.raise_error(
         F.lit("rating without a factor row"))).otherwise(F.lit(True)))
     p = F.lit(0.0).cast("double")
@@ -114,7 +121,7 @@ def evaluate_blocks(ratings: DataFrame, factors: DataFrame, grid: Grid, totals:
     A5 (``totals=True``): rollup over ``(stratum, xb)`` -- per block row, per
     stratum subtotal and grand total, with a ``level`` label.
     """
-    p = predict(ratings.select("x_id", "y_id", "rating"), factors, on_missing,
+    p = predict(_rated(ratings), factors, on_missing,
                 grid=grid, rank=rank, broadcast_bytes=broadcast_bytes)
     p = p.select(xb_col(grid).alias("xb"), yb_col(grid).alias("yb"), "rating", "prediction")
     p = p.withColumn("stratum", stratum_col(grid.p))

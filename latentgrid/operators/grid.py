@@ -38,14 +38,27 @@ def block_dim(max_id: int, p: int) -> int:
 
 def compute_grid(ratings: DataFrame, p: int, x_col: str = "x_id", y_col: str = "y_id",
                  validate: bool = True) -> Grid:
-    """One aggregate job (max, min, count fused); only five scalars reach the driver."""
+    """One aggregate job (max, min, counts fused); only a few scalars reach the driver.
+
+    Null ids, and null or NaN ratings where there is a column ``rating``, raise: they
+    would be left out of training or spread through the factors.
+    """
     if p < 1:
         raise ValueError("block count P must be >= 1")
-    row = ratings.agg(F.max(x_col).alias("mx"), F.max(y_col).alias("my"),
-                      F.min(x_col).alias("nx"), F.min(y_col).alias("ny"),
+    x, y = F.col(x_col), F.col(y_col)
+    bad = F.col("rating").isNull() | F.isnan(F.col("rating").cast("double")) \
+        if "rating" in ratings.columns else F.lit(False)
+    row = ratings.agg(F.max(x).alias("mx"), F.max(y).alias("my"),
+                      F.min(x).alias("nx"), F.min(y).alias("ny"),
+                      F.count_if(x.isNull() | y.isNull()).alias("no_id"),
+                      F.count_if(bad).alias("no_rating"),
                       F.count(F.lit(1)).alias("n")).first()
     n = int(row["n"])
     if validate:
+        if row["no_id"]:
+            raise ValueError(f"{row['no_id']} ratings have a null id")
+        if row["no_rating"]:
+            raise ValueError(f"{row['no_rating']} ratings are null or NaN")
         if n == 0:
             raise ValueError("no ratings")
         if row["nx"] < 0 or row["ny"] < 0:
@@ -56,6 +69,13 @@ def compute_grid(ratings: DataFrame, p: int, x_col: str = "x_id", y_col: str = "
     return Grid(p, mx, my, block_dim(mx, p), block_dim(my, p), n, int(row["nx"]), int(row["ny"]))
 
 
+def check_in_grid(found: Grid, grid: Grid) -> None:
+    """Ratings whose grid is ``found`` must lie inside ``grid``: no step visits a block outside it."""
+    if found.max_x >= grid.p * grid.x_dim or found.max_y >= grid.p * grid.y_dim:
+        raise ValueError(f"ids up to ({found.max_x}, {found.max_y}) are outside the grid of "
+                         f"{grid.p * grid.x_dim} x {grid.p * grid.y_dim}")
+
+
 def grid_frame(ratings: DataFrame, p: int, x_col: str = "x_id", y_col: str = "y_id") -> DataFrame:
     """The grid as a one-row DataFrame, fully lazy (the ``grid_dims`` query)."""
     pl = F.lit(p).cast("bigint")
@@ -65,11 +85,6 @@ def grid_frame(ratings: DataFrame, p: int, x_col: str = "x_id", y_col: str = "y_
                     F.expr(f"(max_y + {p}) div {p}").alias("y_dim")))
 
 
-def validate(ratings: DataFrame, x_col: str = "x_id", y_col: str = "y_id") -> None:
-    """P10: ids must be non-negative, the input non-empty (one aggregate)."""
-    compute_grid(ratings, 1, x_col, y_col, validate=True)
-
-
 def xb_col(grid: Grid, x: str = "x_id") -> Column:
     return F.expr(f"cast({x} div {grid.x_dim} as int)")
 
@@ -107,15 +122,14 @@ def stratum(blocked: DataFrame, i: int) -> DataFrame:
     return blocked.filter(F.col("stratum") == F.lit(i))
 
 
-def rating_work_key() -> Column:
-    """Ratings meet their W block on the row block."""
-    return F.col("xb")
-
-
 def factor_work_key(p: int, i: int, side: str = "side", block: str = "block") -> Column:
     """W stays on its block; H block b goes to ``pmod(b - i, P)`` in stratum i."""
-    return F.when(F.col(side) == "W", F.col(block)).otherwise(
-        F.expr(f"cast(pmod({block} - {i}, {p}) as int)"))
+    return F.expr(work_key_sql(p, i, side, block))
+
+
+def work_key_sql(p: int, i: int, side: str = "side", block: str = "block") -> str:
+    """The P7 key as SQL, which the training step uses."""
+    return f"CASE WHEN {side} = 'W' THEN {block} ELSE CAST(pmod({block} - {i}, {p}) AS INT) END"
 
 
 def inverse_work_key(p: int, i: int, key: str = "work") -> Column:

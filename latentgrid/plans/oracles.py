@@ -8,6 +8,7 @@ from __future__ import annotations
 
 P = 8
 K = 4
+VECTOR_DIM = 100
 ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity"
 
 R = f"""r AS (
@@ -46,6 +47,23 @@ init AS (
   FROM ids)"""
 
 
+INIT_SEEN = f"""ids AS (
+  SELECT DISTINCT 'W' AS side, x_id AS id, xd AS dim FROM r, g
+  UNION ALL
+  SELECT DISTINCT 'H' AS side, y_id AS id, yd AS dim FROM r, g),
+init AS (
+  SELECT side, id, CAST(id // dim AS INTEGER) AS block,
+         [{", ".join(hash_value("side", "id", k) for k in range(K))}] AS v
+  FROM ids)"""
+
+VECTORS = f"""init AS (
+  SELECT 'W' AS side, vec_id AS id, CAST(vec_id // {VECTOR_DIM} AS INTEGER) AS block,
+         list_transform(embedding[1:{K}], lambda x: x::DOUBLE) AS v FROM embeddings
+  UNION ALL
+  SELECT 'H' AS side, vec_id AS id, CAST(vec_id // {VECTOR_DIM} AS INTEGER) AS block,
+         list_transform(embedding[1:{K}], lambda x: x::DOUBLE * 2) AS v FROM embeddings)"""
+
+
 def spread(v: str = "v", decimals: int | None = 6, prefix: str = "f") -> str:
     if decimals is None:
         return ", ".join(f"{v}[{k + 1}] AS {prefix}{k}" for k in range(K))
@@ -137,7 +155,7 @@ FROM fullgrid f LEFT JOIN c ON c.xb = f.xb AND c.yb = f.yb""",
         """SELECT CAST(f.xb + f.yb AS INTEGER) AS step, f.xb, f.yb,
        CAST(coalesce(c.n, 0) AS BIGINT) AS n
 FROM fullgrid f LEFT JOIN c ON c.xb = f.xb AND c.yb = f.yb""",
-    "rotation_identity": with_(R, G, "hs AS (SELECT unnest(range(0, %d * yd)) AS id, yd FROM g)" % P,
+    "rotation_identity": with_(R, G, "hs AS (SELECT DISTINCT y_id AS id, yd FROM r, g)",
                                "st AS (SELECT CAST(s AS INTEGER) AS step FROM range(%d) t(s))" % P,
                                f"""hw AS (SELECT id, CAST(id // yd AS INTEGER) AS block, step,
        CAST({pmod("CAST(id // yd AS INTEGER) - step")} AS INTEGER) AS work FROM hs, st)""") +
@@ -151,15 +169,15 @@ FROM fullgrid f LEFT JOIN pk ON pk.xb = f.xb AND pk.yb = f.yb""",
     "blocks_unpacked": with_(R, G, B) + f"""SELECT xb, yb,
        CAST(row_number() OVER (PARTITION BY xb, yb ORDER BY {ORDER}) - 1 AS INTEGER) AS pos,
        x_id, y_id, rating FROM b""",
-    "factors_init": with_(R, G, INIT) + f"SELECT side, id, block, {spread(decimals=None)} FROM init",
-    "factors_text": with_(R, G, INIT) + "SELECT side, id, " +
+    "factors_init": with_(R, G, INIT_SEEN) + f"SELECT side, id, block, {spread(decimals=None)} FROM init",
+    "factors_text": with_(VECTORS) + "SELECT side, id, " +
         " || ',' || ".join(fixed(f"v[{k + 1}]") for k in range(K)) + " AS line FROM init",
-    "factors_parsed": with_(R, G, INIT) + "SELECT side, id, " +
+    "factors_parsed": with_(VECTORS) + "SELECT side, id, " +
         ", ".join(f"CAST({fixed(f'v[{k + 1}]')} AS DOUBLE) AS f{k}" for k in range(K)) + " FROM init",
-    "factors_packed": with_(R, G, INIT) + "SELECT side, block, string_agg(" +
+    "factors_packed": with_(VECTORS) + "SELECT side, block, string_agg(" +
         " || ".join(f"{fixed(f'v[{k + 1}]')} || ','" for k in range(K)) +
         " || ';', '' ORDER BY id) AS packed FROM init GROUP BY side, block",
-    "factors_flattened": with_(R, G, INIT) + "SELECT side, id, block, " +
+    "factors_flattened": with_(VECTORS) + "SELECT side, id, block, " +
         ", ".join(f"CAST({fixed(f'v[{k + 1}]')} AS DOUBLE) AS f{k}" for k in range(K)) + " FROM init",
     "dot_products": with_("v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings)") +
         """SELECT a.vec_id, a.label, round(list_dot_product(a.v, a.v), 6) AS self_dot,
@@ -198,8 +216,8 @@ FROM pb GROUP BY ROLLUP (stratum, xb)""",
     "ratings_header_file": with_(R) + "SELECT x_id, y_id, rating FROM r",
     "ratings_blocked_stratum": with_(R, G, B) + f"""SELECT * FROM (
   SELECT *, CAST({pmod("yb - xb")} AS INTEGER) AS stratum FROM b) WHERE stratum = 3""",
-    "factors_text_file": with_(R, G, INIT) + f"SELECT side, id, {spread(decimals=None)} FROM init",
-    "factors_native": with_(R, G, INIT) + f"SELECT side, id, block, {spread(decimals=None)} FROM init",
+    "factors_text_file": with_(VECTORS) + f"SELECT side, id, {spread(decimals=None)} FROM init",
+    "factors_native": with_(VECTORS) + f"SELECT side, id, block, {spread(decimals=None)} FROM init",
 }
 
 

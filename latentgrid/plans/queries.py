@@ -29,6 +29,7 @@ P = 8
 K = 4
 SEED = 1
 PREFIX_N = 10_000
+VECTOR_DIM = 100
 PREFIX_LARGE_N = 30_000
 EPOCHS = 2
 ETA = 0.001
@@ -180,7 +181,7 @@ def q_schedule_row_major(spark, sf_dir):
 def q_rotation_identity(spark, sf_dir):
     """P7 then P8 for every H row and every stratum: ``back`` equals ``block``."""
     g = _grid(spark, sf_dir)
-    h = init_factors(spark, g, K, SEED).filter(F.col("side") == "H").select("side", "id", "block")
+    h = init_factors(spark, g, K, SEED, ratings=_ratings(spark, sf_dir)).filter(F.col("side") == "H").select("side", "id", "block")
     out = None
     for i in range(P):
         one = (h.select("id", "block", F.lit(i).alias("step"),
@@ -211,11 +212,23 @@ def q_blocks_unpacked(spark, sf_dir):
 
 
 def q_factors_init(spark, sf_dir):
-    return spread(init_factors(spark, _grid(spark, sf_dir), K, SEED), decimals=None)
+    """G1 for the ids that occur in the ratings."""
+    r = _ratings(spark, sf_dir)
+    return spread(init_factors(spark, compute_grid(r, P), K, SEED, ratings=r), decimals=None)
+
+
+def _vector_factors(spark, sf_dir):
+    """The embeddings as factor rows: W their first K values, H twice these; blocks of VECTOR_DIM ids."""
+    v = F.slice("v", 1, K)
+    e = fixtures.vectors(spark, sf_dir)
+    block = F.expr(f"cast(vec_id div {VECTOR_DIM} as int)").alias("block")
+    return (e.select(F.lit("W").alias("side"), F.col("vec_id").alias("id"), block, v.alias("factors"))
+            .unionByName(e.select(F.lit("H").alias("side"), F.col("vec_id").alias("id"), block,
+                                  F.transform(v, lambda x: x * 2).alias("factors"))))
 
 
 def q_factors_text(spark, sf_dir):
-    f = init_factors(spark, _grid(spark, sf_dir), K, SEED)
+    f = _vector_factors(spark, sf_dir)
     w = factor_lines(f, "W", 6).withColumn("side", F.lit("W"))
     h = factor_lines(f, "H", 6).withColumn("side", F.lit("H"))
     return w.unionByName(h).select("side", "id", "line")
@@ -230,7 +243,7 @@ def q_factors_parsed(spark, sf_dir):
 
 def q_factors_text_file(spark, sf_dir):
     """S6 -> S5: factor text files (range-partitioned parts), read back by line number."""
-    f = init_factors(spark, _grid(spark, sf_dir), K, SEED)
+    f = _vector_factors(spark, sf_dir)
     out = None
     for side in ("W", "H"):
         path = scratch_path(spark, f"q-factors-{side}")
@@ -242,20 +255,19 @@ def q_factors_text_file(spark, sf_dir):
 
 def q_factors_native(spark, sf_dir):
     """Native Parquet sink and source."""
-    f = init_factors(spark, _grid(spark, sf_dir), K, SEED)
+    f = _vector_factors(spark, sf_dir)
     path = scratch_path(spark, "q-factors-native")
     write_factors(f, path)
     return spread(load_factors(spark, path), decimals=None)
 
 
 def q_factors_packed(spark, sf_dir):
-    return pack_factors(init_factors(spark, _grid(spark, sf_dir), K, SEED), decimals=6)
+    return pack_factors(_vector_factors(spark, sf_dir), decimals=6)
 
 
 def q_factors_flattened(spark, sf_dir):
-    g = _grid(spark, sf_dir)
-    packed = pack_factors(init_factors(spark, g, K, SEED), decimals=6)
-    return spread(unpack_factors(packed, {"W": g.x_dim, "H": g.y_dim}), decimals=None)
+    packed = pack_factors(_vector_factors(spark, sf_dir), decimals=6)
+    return spread(unpack_factors(packed, {"W": VECTOR_DIM, "H": VECTOR_DIM}), decimals=None)
 
 
 # -- vectors -------------------------------------------------------------------------

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from latentgrid.functions.vectors import join_fixed, join_text, parse_nonempty_numbers, parse_numbers
-from latentgrid.session import list_files, path_exists
+from latentgrid.session import list_files, path_exists, scratch_path
 
 ROWS_PER_TEXT_FILE = 1_000_000
 
@@ -24,7 +24,7 @@ def factor_lines(factors: DataFrame, side: str, decimals: int | None = None) ->
 
 
 def write_factors_text(factors: DataFrame, side: str, path: str, files: int | None = None,
-                       rows: int | None = None, decimals: int | None = None) -> None:
+                       decimals: int | None = None) -> None:
     """Text export; fails when ``path`` exists (checked before any work).
 
     Ids are range-partitioned into ``files`` part files, each sorted by id, so
@@ -35,14 +35,14 @@ def write_factors_text(factors: DataFrame, side: str, path: str, files: int | No
         raise FileExistsError(path)
     # the line number is the id: the ids must be exactly 0..n-1
     st = (factors.filter(F.col("side") == side)
-          .agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("n"))
-          .first())
-    if st["n"] and (st["lo"] != 0 or st["hi"] != st["n"] - 1):
+          .agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("n"),
+               F.countDistinct("id").alias("ids")).first())
+    if st["n"] and (st["lo"] != 0 or st["hi"] != st["n"] - 1 or st["ids"] != st["n"]):
         raise ValueError(f"{side} ids are not 0..n-1 (min {st['lo']}, max {st['hi']}, "
-                         f"{st['n']} rows); the text format numbers rows by line, use Parquet")
+                         f"{st['n']} rows, {st['ids']} ids); the text format numbers rows by line, use Parquet")
     lines = factor_lines(factors, side, decimals)
     if files is None:
-        files = max(1, -(-(rows or ROWS_PER_TEXT_FILE) // ROWS_PER_TEXT_FILE))
+        files = max(1, -(-st["n"] // ROWS_PER_TEXT_FILE))
     out = lines.repartitionByRange(files, "id").sortWithinPartitions("id")
     out.select("line").write.mode("errorifexists").text(path)
 
@@ -54,8 +54,9 @@ def line_numbers(spark: SparkSession, path: str) -> DataFrame:
     Rows of one file split are contiguous and in order inside a scan partition,
     and ``monotonically_increasing_id`` counts them; one aggregate gives the
     row count and first id of every split (one small row per split reaches the
-    driver), from which each split's starting line follows. The scan is
-    deterministic, so both passes see the same ids.
+    driver), from which each split's starting line follows. The files are
+    scanned once, into a table in the scratch folder that both passes read: a second
+    scan could be split in another way, and its rows would miss their offsets.
     """
     files = list_files(spark, path)
     rank = {f: i for i, f in enumerate(files)}
@@ -64,6 +65,9 @@ def line_numbers(spark: SparkSession, path: str) -> DataFrame:
                      F.col("_metadata.file_path").alias("_file"),
                      F.col("_metadata.file_block_start").alias("_start"),
                      F.monotonically_increasing_id().alias("_mid")))
+    scanned = scratch_path(spark, "factor-lines")
+    lines.write.parquet(scanned)
+    lines = spark.read.schema(lines.schema).parquet(scanned)
     splits = (lines.groupBy("_file", "_start")
               .agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first")).collect())
 
@@ -76,7 +80,7 @@ def line_numbers(spark: SparkSession, path: str) -> DataFrame:
         table.append((r["_file"], int(r["_start"]), offset - int(r["_first"])))
         offset += int(r["_n"])
     shift = spark.createDataFrame(table, "_file string, _start long, _shift long")
-    return (lines.join(F.broadcast(shift), ["_file", "_start"])
+    return (lines.join(shift, ["_file", "_start"])
             .select("line", (F.col("_mid") + F.col("_shift")).alias("pos")))
 
 
@@ -108,8 +112,8 @@ def load_factors(spark: SparkSession, path: str) -> DataFrame:
 def pack_factors(factors: DataFrame, decimals: int | None = None) -> DataFrame:
     """One record per (side, block): rows ended by ``;``, values ended by ``,``.
 
-    The rows of a block are gathered with ``collect_list`` -- a block holds
-    ``dim`` rows, bounded by the grid, not by the data volume.
+    The format holds a block of ``dim = max_id / P`` rows in one record: P is to be chosen
+    so that a block fits a record.
     """
     fmt = (lambda x: x.cast("string")) if decimals is None else \
         (lambda x: F.format_string(f"%.{decimals}f", x))

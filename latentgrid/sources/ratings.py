@@ -63,11 +63,12 @@ def read_ratings(spark: SparkSession, path: str, sep: str = ",", mode: str = "st
         while len(first3) < 3:
             first3.append(None)
         parts = [F.col(f"`{c}`") if c else F.lit(None).cast("string") for c in first3]
-        line = F.concat_ws(sep, *[F.coalesce(p, F.lit("")) for p in parts])
+        # a quoted separator stays inside its cell, which then is not a number
+        line = F.concat_ws(sep, *[F.replace(F.coalesce(p, F.lit("")), F.lit(sep), F.lit(" ")) for p in parts])
         lines = raw.select(line.alias("value"))
     else:
         lines = spark.read.text(path)
-    if min_partitions and lines.rdd.getNumPartitions() < min_partitions:
+    if min_partitions:
         lines = lines.repartition(min_partitions)
     return parse_rating_lines(lines, sep, mode)
 

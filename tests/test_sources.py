@@ -164,3 +164,32 @@ def test_text_sink_refuses_gapped_ids(spark, scratch):
     with pytest.raises(ValueError, match="not 0..n-1"):
         write_factors_text(f, "W", scratch + "/gap")
     write_factors_text(f, "H", scratch + "/ok")
+
+
+def test_factor_lines_survive_another_split_layout(spark, scratch):
+    f = spark.range(5000).select(F.lit("W").alias("side"), "id", F.lit(0).alias("block"),
+                                 F.array(F.col("id").cast("double"), F.lit(0.5)).alias("factors"))
+    write_factors_text(f, "W", scratch, files=2)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+        back = read_factors(spark, scratch, "W")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64m")
+        assert back.filter(F.col("factors")[0] == F.col("id")).count() == 5000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_factor_text_needs_each_id_once(spark, scratch):
+    f = spark.createDataFrame([("W", i, 0, [1.0]) for i in (0, 0, 2)],
+                              "side string, id long, block int, factors array<double>")
+    with pytest.raises(ValueError, match="not 0..n-1"):
+        write_factors_text(f, "W", scratch)
+
+
+def test_quoted_separator_in_a_header_file_raises(spark, tmp_path):
+    p = tmp_path / "q.csv"
+    p.write_text('x,y,r\n1,2,"4,5"\n')
+    with pytest.raises(Exception):
+        read_ratings(spark, str(p), header=True).collect()
+    assert read_ratings(spark, str(p), header=True, mode="drop").count() == 0

@@ -159,12 +159,6 @@ def test_missing_factor_row_fails(spark, slice_ratings):
         fit(slice_ratings, K, blocks=4, epochs=1, init=init).factors.count()
 
 
-def test_automatic_block_count(spark, slice_ratings):
-    res = fit(slice_ratings, K, blocks=None, epochs=1)
-    assert res.grid.p >= 1
-    assert res.factors.count() == res.grid.p * (res.grid.x_dim + res.grid.y_dim)
-
-
 def test_rand_init_shape(spark, slice_ratings):
     g = compute_grid(slice_ratings, 4)
     f = init_factors(spark, g, 5, seed=7, method="rand").collect()
@@ -181,39 +175,6 @@ def test_hash_init_is_deterministic_and_uniform(spark, slice_ratings):
     assert 0 <= v.min() and v.max() < 1 and abs(v.mean() - 0.5) < 0.05
 
 
-@pytest.mark.parametrize("schedule", ["diagonal", "row_major"])
-def test_blocked_evaluation_equals_join(spark, slice_ratings, schedule):
-    a = fit(slice_ratings, K, blocks=4, epochs=2, eval_every=1, eval_method="join",
-            schedule=schedule)
-    b = fit(slice_ratings, K, blocks=4, epochs=2, eval_every=1, eval_method="blocked",
-            schedule=schedule)
-    ha = a.history.orderBy("epoch").collect()
-    hb = b.history.orderBy("epoch").collect()
-    for x, y in zip(ha, hb):
-        assert x["n"] == y["n"]
-        assert abs(x["squared_error"] - y["squared_error"]) < 1e-9 * x["squared_error"]
-
-
-def test_blocked_evaluation_plan_keeps_ratings_in_place(spark, slice_ratings):
-    from latentgrid.operators.evaluate import evaluate
-    from latentgrid.operators.step import StepPlanner
-    g = compute_grid(slice_ratings, 4)
-    keys = balanced_keys(spark, 4)
-    prep = prepare_ratings(slice_ratings, g, "diagonal", keys, ["x_id", "y_id", "rating"])
-    pl = StepPlanner(prep, g, keys, "diagonal", ["x_id", "y_id", "rating"], "double", K)
-    ev = pl.evaluate(init_factors(spark, g, K))
-    e1 = ev.first()
-    plan = ev._jdf.queryExecution().executedPlan().toString()
-    cached = sum(prep.part(s)._jdf.queryExecution().executedPlan().toString()
-                 .count("Exchange hashpartitioning") for s in range(4))
-    # only the factor copies are shuffled on top of the per-step caches
-    assert plan.count("Exchange hashpartitioning") == 1 + cached
-    e2 = evaluate(slice_ratings, init_factors(spark, g, K)).first()
-    assert e1["n"] == e2["n"] and abs(e1["squared_error"] - e2["squared_error"]) < 1e-6
-    pl.close()
-    prep.unpersist()
-
-
 @pytest.mark.parametrize("schedule", ["diagonal", "row_major"])
 def test_blocks_streamed_in_many_batches(spark, slice_ratings, schedule):
     """Blocks spanning many Arrow batches (factor rows and ratings split across
@@ -283,3 +244,50 @@ def test_initial_step_plan_keeps_partitioning(spark, slice_ratings, aqe):
         prep.unpersist()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def ratings_of(spark, rows):
+    return spark.createDataFrame(rows, "x_id long, y_id long, rating double")
+
+
+GOOD = [(0, 0, 1.0), (1, 2, 3.0), (2, 1, 5.0), (3, 3, 2.0)]
+
+
+@pytest.mark.parametrize("schedule", ["diagonal", "row_major"])
+@pytest.mark.parametrize("row, message", [
+    ((None, 1, 2.0), "null id"), ((1, None, 2.0), "null id"),
+    ((1, 1, None), "null or NaN"), ((1, 1, float("nan")), "null or NaN")])
+def test_incomplete_ratings_raise(spark, schedule, row, message):
+    with pytest.raises(ValueError, match=message):
+        fit(ratings_of(spark, [*GOOD, row]), K, blocks=2, epochs=1, schedule=schedule)
+
+
+@pytest.mark.parametrize("schedule", ["diagonal", "row_major"])
+def test_ratings_outside_the_grid_raise(spark, schedule):
+    g = compute_grid(ratings_of(spark, GOOD), 2)
+    with pytest.raises(ValueError, match="outside the grid"):
+        fit(ratings_of(spark, [*GOOD, (9, 9, 1.0)]), K, blocks=2, epochs=1, schedule=schedule, grid=g)
+
+
+@pytest.mark.parametrize("schedule", ["diagonal", "row_major"])
+def test_every_rating_is_used(spark, slice_ratings, schedule):
+    res = fit(slice_ratings, K, blocks=4, epochs=1, eval_every=1, schedule=schedule)
+    assert res.history.first()["n"] == slice_ratings.count()
+
+
+def test_rank_must_be_that_of_init(spark):
+    r = ratings_of(spark, GOOD)
+    init = init_factors(spark, compute_grid(r, 2), 6)
+    with pytest.raises(ValueError, match="do not have 4 values"):
+        fit(r, 4, blocks=2, epochs=1, init=init)
+
+
+def test_vectors_of_another_length_raise_in_evaluation(spark):
+    from latentgrid.operators.evaluate import evaluate
+    r = ratings_of(spark, GOOD)
+    f = init_factors(spark, compute_grid(r, 2), 6)
+    assert evaluate(r, f, rank=6).first()["n"] == len(GOOD)
+    with pytest.raises(Exception, match="different length"):
+        evaluate(r, f, rank=4).first()
+    with pytest.raises(Exception, match="null rating"):
+        evaluate(ratings_of(spark, [*GOOD, (1, 1, None)]), f, rank=6).first()
