@@ -102,6 +102,29 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)
 
 
+_R = np.uint64(0x9E3779B97F4A7C15)
+_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n + 1, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
+
+
+def span_hashes(chars: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """64-bit hash of each ``chars[a[k]:b[k]]``: a polynomial, as a difference of prefix sums. ``chars`` are above 0."""
+    power = _powers(_R, len(chars))
+    prefix = np.append(np.uint64(0), np.cumsum(chars * power[:-1], dtype=np.uint64))
+    return mix((prefix[b] - prefix[a]) * _powers(_INV, len(chars))[a])
+
+
 def smallest_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For nodes 0..n-1 and edges a[k] - b[k]: the smallest node of each node's component."""
     lab = np.arange(n)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latentgrid.llm.common import PASS_BYTES, bounded_batches, flat, passes, written
+from latentgrid.llm.common import PASS_BYTES, bounded_batches, flat, mix, passes, span_hashes, written
 
 #: Words of a window; items of fewer words have one window, down to LEAST words.
 WINDOW = 8
@@ -27,23 +27,9 @@ UNITS = ("mm cm m km in ft yd mi g kg mg lb oz t l ml s sec min h hr day days ho
          "year years month months meter meters metre metres mile miles kilometer kilometers gram grams kilogram "
          "kilograms pound pounds dollar dollars euro euros cent cents percent usd eur w kw v hz mhz ghz kb mb gb tb").split()
 NUMBER, NAME, UNIT = 1, 2, 3
-_R = np.uint64(0x9E3779B97F4A7C15)
-_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _Q = np.uint64(0xD6E8FEB86659FD93)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(32))
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n + 1, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out)
-
-
 def words(data: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start byte, hash and class (0, NUMBER, NAME, UNIT) of each word of concatenated UTF-8 texts.
 
@@ -64,14 +50,11 @@ def words(data: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     at = np.flatnonzero(begin)
     if not len(at):
         return at, np.zeros(0, np.uint64), np.zeros(0, np.uint8)
-    # a polynomial over the kept bytes, as a difference of prefix sums
     count = np.append(0, np.cumsum(kept))
     chars = low[kept].astype(np.uint64) + np.uint64(1)
-    power = _powers(_R, len(chars))
-    prefix = np.append(np.uint64(0), np.cumsum(chars * power[:-1], dtype=np.uint64))
     end = np.append(at[1:], len(data))
     a, b = count[at], count[end]
-    value = _mix((prefix[b] - prefix[a]) * _powers(_INV, len(chars))[a])
+    value = span_hashes(chars, a, b)
     digits = np.append(0, np.cumsum(digit))
     all_digits = (digits[end] - digits[at] == b - a)
     capital = upper | accent
@@ -122,7 +105,7 @@ def window_hashes(value: np.ndarray, length: int) -> np.ndarray:
         with np.errstate(over="ignore"):
             out = out + value[k:k + n] * power
             power = power * _Q
-    return _mix(out)
+    return mix(out)
 
 
 def _parts(body: np.ndarray, most: int, widest: int):

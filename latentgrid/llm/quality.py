@@ -1,74 +1,147 @@
-"""Quality by a language model: interpolated modified Kneser-Ney over bytes, trained on trusted text.
+"""Quality by a language model: interpolated modified Kneser-Ney over word pairs, trained on trusted text.
 
-Trigram counts of all trusted texts are added up and joined, sharded by context, with the counts of their
-contexts and continuations. A model over bytes has at most 256**3 trigrams at any size of the corpus, which
-bounds what is broadcast to score documents.
+Counts of all trusted texts are added up, sharded by n-gram. The word pairs of all documents are joined with them, and
+the logarithms added up per document. No count is dropped and none is gathered on the driver: both sides grow
+with the input and meet in shuffles. Words are 64-bit hashes.
 """
 
 from __future__ import annotations
 
-import functools
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from latentgrid.llm.common import PASS_BYTES, bounded_batches, flat, passes, ragged, written
-
-#: Bytes in front of and behind a text.
-BEGIN, END = 2, 3
-PASS = 4 * PASS_BYTES
-
-
-def _codes(data: np.ndarray, at: np.ndarray):
-    """(text, trigram code) of the padded bytes of some texts; a long text comes in parts."""
-    for i, j in passes(at, PASS):
-        begin, end = int(at[i]), int(at[j])
-        if end - begin <= PASS:
-            yield from _padded(i, data[begin:end], at[i:j + 1] - begin, None, True)
-            continue
-        for k in range(begin, end, PASS):
-            part = data[k:min(k + PASS, end)]
-            yield from _padded(i, part, np.array([0, len(part)]), data[k - 2:k] if k > begin else None, k + PASS >= end)
-
-
-def _padded(i: int, body: np.ndarray, at: np.ndarray, front: np.ndarray | None, last: bool):
-    """Codes of texts with two bytes in front, BEGIN or those before the part, and END behind the last part."""
-    size = np.diff(at)
-    rows = np.flatnonzero(size)
-    if not len(rows):
-        return
-    size = size[rows]
-    length = size + 2 + last
-    start = np.cumsum(length) - length
-    out = np.full(int(length.sum()), END, np.uint32)
-    out[start] = out[start + 1] = BEGIN
-    if front is not None:
-        out[:2] = front
-    out[ragged(start + 2, size)] = body
-    k = ragged(start, length - 2)
-    yield np.repeat(i + rows, length - 2), out[k] << 16 | out[k + 1] << 8 | out[k + 2]
-
-
-def trigram_counts(df: DataFrame, text: str = "text") -> DataFrame:
-    """``(a, b, c, n)``: counts of the byte trigrams of all texts, added up in each task first."""
+from latentgrid.llm.common import PASS_BYTES, bounded_batches, flat, passes, span_hashes, written
+
+#: What stands in front of the first and behind the last word of a text.
+BEGIN, END = np.uint64(1), np.uint64(2)
+#: A key that holds more than one in HOT of all rows is looked up by broadcast; there are fewer than HOT such keys.
+HOT = 10_000
+PAIR = ["before", "word"]
+
+
+def tokens(data: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and hash of each token of concatenated UTF-8 texts; ``fresh`` marks first bytes of texts.
+
+    A token is a run of ASCII letters, digits and other characters, or a run of ASCII signs; A-Z count as a-z.
+    """
+    white = (data <= 32) | (data == 127)
+    low = data + np.uint8(32) * ((data >= 65) & (data <= 90))
+    sign = ~white & (data < 128) & ~((data >= 48) & (data <= 57)) & ~((low >= 97) & (low <= 122))
+    begin = ~white
+    begin[1:] &= white[:-1] | (sign[1:] != sign[:-1]) | fresh[1:len(data)]
+    at = np.flatnonzero(begin)
+    kept = np.append(0, np.cumsum(~white))
+    return at, span_hashes(low[~white].astype(np.uint64) + np.uint64(1), kept[at], kept[np.append(at[1:], len(data))])
+
+
+def _counted(row: np.ndarray, before: np.ndarray, word: np.ndarray, n: np.ndarray):
+    """Equal (row, before, word) as one, with the sum of ``n``."""
+    order = np.lexsort((word, before, row))
+    row, before, word, n = row[order], before[order], word[order], n[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (before[1:] != before[:-1]) | (word[1:] != word[:-1])
+    first = np.flatnonzero(new)
+    return row[first], before[first], word[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _short(data: np.ndarray, at: np.ndarray):
+    """Counted word pairs of some texts."""
+    fresh = np.zeros(len(data) + 1, bool)
+    fresh[at] = True
+    start, value = tokens(data, fresh)
+    row = np.searchsorted(at, start, "right") - 1
+    lead = np.ones(len(row), bool)
+    lead[1:] = row[1:] != row[:-1]
+    ends = np.append(np.flatnonzero(lead)[1:], len(row)) - 1 if len(row) else np.zeros(0, np.int64)
+    before = np.where(lead, BEGIN, np.roll(value, 1))
+    return _counted(np.concatenate([row, row[ends]]), np.concatenate([before, value[ends]]),
+                    np.concatenate([value, np.full(len(ends), END)]), np.ones(len(row) + len(ends), np.int64))
+
+
+def _long(data: np.ndarray, size: int):
+    """Counted word pairs of one text, in parts that end at white space."""
+    found, last, begin = [], BEGIN, 0
+    while begin < len(data):
+        end = begin + size
+        while end < len(data):
+            gap = np.flatnonzero(data[end:end + size] <= 32)
+            end += int(gap[0]) if len(gap) else size
+            if len(gap):
+                break
+        part = data[begin:end]
+        value = tokens(part, np.zeros(len(part) + 1, bool))[1]
+        if len(value):
+            found.append(_counted(np.zeros(len(value), np.int64), np.append(last, value[:-1]), value, np.ones(len(value), np.int64)))
+            last = value[-1]
+        begin = end
+    if found:
+        found.append((np.zeros(1, np.int64), np.array([last]), np.array([END]), np.ones(1, np.int64)))
+        return _counted(*map(np.concatenate, zip(*found)))
+    return _short(data[:0], np.zeros(2, np.int64))
+
+
+def pairs(column: pa.Array, size: int = PASS_BYTES):
+    """(row, before, word, n) of the word pairs of whole texts, for some rows at once."""
+    data, at = flat(column)
+    for i, j in passes(at, size):
+        body = data[at[i]:at[j]]
+        row, before, word, n = _short(body, at[i:j + 1] - at[i]) if len(body) <= size else _long(body, size)
+        yield row + i, before, word, n
+
+
+def pair_counts(df: DataFrame, text: str = "text") -> DataFrame:
+    """``(before, word, n)``: counts of the word pairs of all texts; each task adds up what it reads together."""
     def count(batches):
-        total = np.zeros(1 << 24, np.int64)
         for batch in batches:
-            for _, codes in _codes(*flat(batch.column(0))):
-                found, n = np.unique(codes, return_counts=True)
-                total[found] += n
-        some = np.flatnonzero(total)
-        for k in range(0, len(some), 100_000):
-            s = some[k:k + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(s.astype(np.int32)), pa.array(total[s])], ["code", "n"])
+            for row, before, word, n in pairs(batch.column(0)):
+                _, before, word, n = _counted(np.zeros_like(row), before, word, n)
+                yield pa.RecordBatch.from_arrays([pa.array(before.view(np.int64)), pa.array(word.view(np.int64)), pa.array(n)],
+                                                 [*PAIR, "n"])
 
-    code = F.col("code")
-    return (df.select(text).mapInArrow(count, "code int, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
-            .select(F.shiftright(code, 16).alias("a"), F.shiftright(code, 8).bitwiseAND(F.lit(255)).alias("b"),
-                    code.bitwiseAND(F.lit(255)).alias("c"), "n"))
+    return (df.select(text).mapInArrow(count, "before bigint, word bigint, n bigint")
+            .groupBy(*PAIR).agg(F.sum("n").alias("n")))
+
+
+def _document_pairs(df: DataFrame) -> DataFrame:
+    """``(key, before, word, n, lead)`` of ``(key, text)``: the pairs of each text, and how often ``before`` leads one.
+
+    Of rows with one key a task gives the pairs once: they are those of one text, and its mean stays the same.
+    """
+    def run(batches):
+        seen: set[int] = set()
+        for batch in batches:
+            key = batch.column(0).to_numpy()
+            new = np.zeros(len(key), bool)
+            for k, v in enumerate(key.tolist()):
+                new[k] = v not in seen
+                seen.add(v)
+            batch, key = batch.filter(pa.array(new)), key[new]
+            for row, before, word, n in pairs(batch.column(1)):
+                first = np.ones(len(row), bool)
+                first[1:] = (row[1:] != row[:-1]) | (before[1:] != before[:-1])
+                at = np.flatnonzero(first)
+                lead = np.repeat(np.add.reduceat(n, at), np.diff(np.append(at, len(row)))) if len(at) else n
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[row]), pa.array(before.view(np.int64)), pa.array(word.view(np.int64)),
+                     pa.array(n.astype(np.int32)), pa.array(lead.astype(np.int32))], ["key", *PAIR, "n", "lead"])
+
+    return df.select("key", "text").mapInArrow(run, "key bigint, before bigint, word bigint, n int, lead int")
+
+
+def lookup(rows: DataFrame, found: DataFrame, keys: list[str], sizes: DataFrame) -> DataFrame:
+    """Left join of ``rows`` with ``found``, which has each key once; ``sizes``: ``(*keys, rows)``.
+
+    Keys with more than one in HOT of all rows, fewer than HOT, are broadcast with what is found for them. All
+    others are shuffled.
+    """
+    total = sizes.agg(F.sum("rows")).first()[0] or 0
+    hot = written(sizes.where(F.col("rows") * HOT > total).select(*keys, F.lit(True).alias("hot")), "hot")
+    known = found.join(F.broadcast(hot), keys)
+    marked = rows.join(F.broadcast(hot), keys, "left")
+    return (marked.where("hot").drop("hot").join(F.broadcast(known.drop("hot")), keys, "left")
+            .unionByName(marked.where("hot IS NULL").drop("hot").join(found, keys, "left")))
 
 
 def _discounts(counts: DataFrame) -> list[float]:
@@ -80,115 +153,85 @@ def _discounts(counts: DataFrame) -> list[float]:
     return [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.01), k) for k in (1, 2, 3)]
 
 
-def _level(counts: DataFrame, context: list[str]) -> tuple[DataFrame, DataFrame]:
-    """``counts`` with the discounted share ``alpha`` of each n-gram, and the weight ``gamma`` left in each context."""
-    d = _discounts(counts)
-    cut = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-    sums = counts.groupBy(*context) if context else counts.groupBy()
-    sums = sums.agg(F.sum("n").alias("total"), F.sum(cut).alias("cut"))
-    share = counts.join(sums, context) if context else counts.crossJoin(sums)  # one row of sums
-    share = share.withColumn("alpha", (F.col("n") - cut) / F.col("total"))
-    return share, sums.select(*context, (F.col("cut") / F.col("total")).alias("gamma"))
+def _cut(n: Column, d: list[float]) -> Column:
+    return F.when(n <= 0, 0.0).when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2])
 
 
-@dataclass
 class Model:
-    """Logarithms of the probabilities of seen trigrams, and what the others fall back on."""
-
-    code: np.ndarray     # seen trigrams
-    log_p: np.ndarray    # their log-probabilities
-    gamma: np.ndarray    # weight left in each of 65,536 contexts
-    two: np.ndarray      # probability of each byte after each byte, 65,536
-
-    @functools.cached_property
-    def dense(self) -> np.ndarray:
-        out = np.empty((256, 65536), np.float32)
-        for a in range(256):
-            out[a] = np.log(np.repeat(self.gamma[a * 256:(a + 1) * 256], 256) * self.two)
-        out = out.ravel()
-        out[self.code] = self.log_p
-        return out
-
-    def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "dense"}
-
-    def perplexity(self, column: pa.Array) -> np.ndarray:
-        """Perplexity per byte of each text; NaN for one without bytes."""
-        data, at = flat(column)
-        total, n = np.zeros(len(at) - 1), np.zeros(len(at) - 1)
-        for row, codes in _codes(data, at):
-            if len(row):
-                first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-                total[row[first]] += np.add.reduceat(self.dense[codes].astype(np.float64), first)
-                n[row[first]] += np.diff(np.append(first, len(row)))
-        with np.errstate(invalid="ignore"):
-            return np.exp(-total / np.where(n, n, np.nan))
-
-
-def train(df: DataFrame, text: str = "text") -> Model:
-    """Estimate the model from all texts of ``df``; without a text all bytes are equally likely."""
-    three = written(trigram_counts(df, text), "trigrams")
-    two = written(three.groupBy("b", "c").agg(F.count("*").alias("n")), "bigrams")
-    one = two.groupBy("c").agg(F.count("*").alias("n"))
-    share3, left3 = _level(three, ["a", "b"])
-    share2, left2 = _level(two, ["b"])
-    share1, left1 = _level(one, [])
-    p1 = share1.crossJoin(left1).select("c", (F.col("alpha") + F.col("gamma") / 256).alias("p1"))  # one row of weights
-    p2 = written(share2.join(left2, "b").join(p1, "c").select(
-        "b", "c", (F.col("alpha") + F.col("gamma") * F.col("p1")).alias("p2")), "bigram_p")
-    p3 = share3.join(left3, ["a", "b"]).join(p2, ["b", "c"]).select(
-        (F.col("a") * 65536 + F.col("b") * 256 + F.col("c")).cast("int").alias("code"),
-        F.log(F.col("alpha") + F.col("gamma") * F.col("p2")).cast("float").alias("log_p"))
-
-    def arrays(frame: DataFrame, *names: str):
-        found = frame.toArrow()  # at most 256**3 rows
-        return [found.column(k).to_numpy() for k in names]
-
-    uni = np.full(256, 1 / 256)
-    c, p = arrays(p1, "c", "p1")
-    if len(c):
-        uni[:] = left1.first()[0] / 256
-        uni[c] = p
-    bi = np.tile(uni, (256, 1))
-    b, g = arrays(left2, "b", "gamma")
-    bi[b] = g[:, None] * uni
-    b, c, p = arrays(p2, "b", "c", "p2")
-    bi[b, c] = p
-    gamma = np.ones(65536)
-    a, b, g = arrays(left3, "a", "b", "gamma")
-    gamma[a * 256 + b] = g
-    code, log_p = arrays(p3, "code", "log_p")
-    return Model(code, log_p, gamma, bi.ravel())
-
-
-def with_perplexity(df: DataFrame, model: Model, text: str = "text", to: str = "perplexity") -> DataFrame:
-    """Add the perplexity per byte of each whole text (null text or no bytes: null)."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
-
-    @F.arrow_udf("double")
-    def score(column: pa.Array) -> pa.Array:
-        return pa.array(shared.value.perplexity(column), pa.float64(), from_pandas=True)
-
-    return df.withColumn(to, score(F.col(text)))
+    """Tables of a model: ``two`` (before, word, n), ``left`` (before, total, gamma), ``one`` (word, p).
+
+    ``unseen`` is the probability of each word that the trusted texts don't have, taken as one more word.
+    """
+
+    def __init__(self, trusted: DataFrame, text: str = "text"):
+        self.two = written(pair_counts(trusted, text), "pairs")
+        self.discounts = _discounts(self.two)
+        n = F.col("n")
+        self.left = written(self.two.groupBy("before").agg(
+            F.sum("n").alias("total"), F.sum(_cut(n, self.discounts)).alias("cut"))
+            .select("before", "total", (F.col("cut") / F.col("total")).alias("gamma")), "contexts")
+        one = written(self.two.groupBy("word").agg(F.count("*").alias("n")), "words")
+        d = _discounts(one)
+        words, total, cut = one.agg(F.count("*"), F.sum("n"), F.sum(_cut(n, d))).first()
+        self.unseen = cut / total / (words + 1) if words else 1.0
+        self.one = one.select("word", ((n - _cut(n, d)) / (total or 1) + self.unseen).alias("p"))
+
+    def probabilities(self, grams: DataFrame) -> DataFrame:
+        """``grams`` (before, word) with the count n, the total and gamma of the context, and p of the word alone."""
+        def sizes(key):
+            return grams.groupBy(key).agg(F.count("*").alias("rows"))
+
+        out = grams.join(self.two, PAIR, "left")
+        out = lookup(out, self.left, ["before"], sizes("before"))
+        out = lookup(out, self.one, ["word"], sizes("word"))
+        return out.select(*PAIR, F.coalesce("n", F.lit(0)).alias("seen"), F.coalesce("total", F.lit(0)).alias("total"),
+                          (F.coalesce("gamma", F.lit(1.0)) * F.coalesce("p", F.lit(self.unseen))).alias("rest"),
+                          F.coalesce("p", F.lit(self.unseen)).alias("alone"))
+
+    def perplexities(self, df: DataFrame) -> DataFrame:
+        """``(key, perplexity, without)`` of ``(key, text)``, for texts with a word.
+
+        ``without`` is the perplexity after the pairs of the text itself are taken from the counts.
+        """
+        rows = _document_pairs(df)
+        sizes = written(rows.groupBy(*PAIR).agg(F.count("*").alias("rows")), "sizes")
+        p = written(self.probabilities(sizes.select(*PAIR)), "probabilities")
+
+        def mean(p: Column) -> Column:
+            return F.exp(-F.sum(F.col("n") * F.log(p)) / F.sum("n"))
+
+        def share(n: Column, total: Column) -> Column:
+            return F.when(total > 0, F.greatest(n - _cut(n, self.discounts), F.lit(0.0)) / total + F.col("rest")).otherwise(F.col("alone"))
+
+        seen, total = F.col("seen"), F.col("total")
+        return lookup(rows, p, PAIR, sizes).groupBy("key").agg(
+            mean(share(seen, total)).alias("perplexity"),
+            mean(share(seen - F.col("n"), total - F.col("lead"))).alias("without"))
 
 
 def classify(df: DataFrame, trusted: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang",
-             quantile: float = 0.75, factor: float = 1.15) -> DataFrame:
+             quantile: float = 0.75, factor: float = 1.5) -> DataFrame:
     """``(doc_id, lang, perplexity, threshold, keep)`` for each row of ``df``.
 
-    The model is trained on all rows whose id is in ``trusted``. The threshold of a language (null is one) is ``factor``
-    times the ``quantile`` of the perplexities of its trusted rows; languages without any have that of all.
-    Rows above it, and texts without bytes (perplexity null), are not kept. Rows with a null id are never
-    trusted; repeated rows count each time.
+    The model is trained on all rows whose id is in ``trusted``; such a row itself is judged without its own counts.
+    The threshold of a language (null is one) is ``factor`` times the ``quantile`` of the perplexities of its trusted
+    rows; languages without any have that of all. Rows above it, and texts without words (perplexity null),
+    are not kept. Rows with a null id are never trusted; repeated rows count each time. Texts are told apart by their
+    XXH64: two texts with one hash would get their common mean.
     """
     bounded_batches(df.sparkSession)
-    rows = df.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    ids = trusted.select(F.col(trusted.columns[0]).alias("doc_id")).distinct()
+    rows = df.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"),
+                     F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("key"))
+    ids = trusted.select(F.col(trusted.columns[0]).alias("doc_id")).where("doc_id IS NOT NULL").distinct()
     # texts are always dealt by id here; whether the ids could be broadcast would change with their number
-    model = train(rows.select("doc_id", "text").join(ids.hint("shuffle_hash"), "doc_id", "left_semi"))
-    scored = written(with_perplexity(rows, model).select("doc_id", "lang", "perplexity"), "perplexity")
-    known = scored.join(ids, "doc_id", "left_semi")
+    model = Model(rows.select("doc_id", "text").join(ids.hint("shuffle_hash"), "doc_id", "left_semi"))
+    found = written(model.perplexities(rows.select("key", "text")), "perplexities")
+    named = rows.select("doc_id", "lang", "key").join(ids.withColumn("good", F.lit(True)), "doc_id", "left")
+    sizes = named.groupBy("key").agg(F.count("*").alias("rows"))
+    scored = written(lookup(named, found, ["key"], sizes).select(
+        "doc_id", "lang", "good", F.when(F.col("good"), F.col("without")).otherwise(F.col("perplexity")).alias("perplexity")), "scored")
     limit = (F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000)) * factor).alias("threshold")
+    known = scored.where("good")
     own = known.groupBy("lang").agg(limit).select(F.col("lang").alias("own"), "threshold")
     every = known.agg(limit).first()[0]
     return (scored.join(own, F.col("lang").eqNullSafe(F.col("own")), "left")

@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, with nulls, empty and long texts, ties, repeated rows and empty tables."""
 
 import base64
+import collections
 import hashlib
 import random
 import re
@@ -256,22 +257,70 @@ def test_templates_and_slots(spark, docs):
 
 # -- quality ------------------------------------------------------------------
 
-def test_kneser_ney_sums_to_one_and_matches_a_plain_model(spark):
-    model = quality.train(spark.createDataFrame([("abracadabra",), (None,), ("",), ("abrac" * 50,)], "text string"))
-    dense = np.exp(model.dense.astype(np.float64)).reshape(256, 256, 256)
-    assert np.allclose(dense.sum(2), 1, atol=1e-3)
-    data = [2, 2, *b"abrac", 3]
-    want = np.exp(-np.mean([np.log(dense[a, b, c]) for a, b, c in zip(data, data[1:], data[2:])]))
-    got = model.perplexity(pa.array(["abrac", None, "", "zzzz"]))
-    assert got[0] == pytest.approx(want, rel=1e-5) and np.isnan(got[1:3]).all() and got[3] > 10 * got[0]
-
-
-def test_long_texts_score_as_in_one_pass(monkeypatch):
-    text = pa.array(["some words here " * 500, "x"])
-    whole = [np.concatenate(x).tolist() for x in zip(*quality._codes(*quality.flat(text)))]
-    monkeypatch.setattr(quality, "PASS", 1000)
-    parts = [np.concatenate(x).tolist() for x in zip(*quality._codes(*quality.flat(text)))]
-    assert whole == parts
+def slow_pairs(text):
+    words = ["<"] + re.findall(r"[a-z0-9\u0080-\U0010ffff]+|[!-/:-@\\[-`{-~]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) + [">"]
+    return collections.Counter(zip(words, words[1:])) if len(words) > 2 else collections.Counter()
+
+
+def slow_perplexities(trusted, texts):
+    """Perplexity of each text by a word pair model of the trusted ones, as it is and without the text's own counts."""
+    def discounts(counts):
+        n = [sum(v == k for v in counts.values()) for k in (1, 2, 3, 4)]
+        if not all(n):
+            return [0, 0.5, 0.75, 0.9]
+        y = n[0] / (n[0] + 2 * n[1])
+        return [0, *(min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.01), k) for k in (1, 2, 3))]
+
+    two = sum(map(slow_pairs, trusted), collections.Counter())
+    one = collections.Counter(w for _, w in two)
+    d2, d1 = discounts(two), discounts(one)
+    unseen = sum(d1[min(n, 3)] for n in one.values()) / sum(one.values()) / (len(one) + 1)
+    out = []
+    for text in texts:
+        own = slow_pairs(text)
+        means = []
+        for less in (collections.Counter(), own):
+            log = 0
+            for (a, b), n in own.items():
+                alone = unseen + (one[b] - d1[min(one[b], 3)]) / sum(one.values())
+                all_ = sum(v for (x, _), v in two.items() if x == a)
+                cut = sum(d2[min(v, 3)] for (x, _), v in two.items() if x == a)
+                total = all_ - sum(v for (x, _), v in less.items() if x == a)
+                seen = max(two[a, b] - less[a, b], 0)
+                p = max(seen - d2[min(seen, 3)], 0) / total + cut / all_ * alone if total > 0 else alone
+                log += n * np.log(p)
+            means.append(np.exp(-log / sum(own.values())))
+        out.append(means)
+    return out
+
+
+def test_kneser_ney_matches_a_plain_model(spark, monkeypatch):
+    rng = random.Random(4)
+    some = [" ".join(rng.choice(["the", "Cat", "sat,", "on", "a", "mat.", "x|y", "é"]) for _ in range(rng.randint(1, 40))) for _ in range(30)]
+    trusted, texts = some + ["one two"] * 2 + [None, ""], some + ["never seen !!", "one two"]
+    want = slow_perplexities(trusted, texts)
+    monkeypatch.setattr(quality, "HOT", 20)  # some keys go by broadcast, some are shuffled
+    model = quality.Model(spark.createDataFrame([(t,) for t in trusted], "text string"))
+    rows = [(k, t) for k, t in enumerate(texts)] * 2 + [(100, ""), (101, " ")]  # copies don't change the mean
+    got = {r.key: (r.perplexity, r.without) for r in model.perplexities(spark.createDataFrame(rows, "key long, text string")).collect()}
+    assert sorted(got) == list(range(len(texts)))
+    assert [got[k] for k in range(len(texts))] == [pytest.approx(w, rel=1e-9) for w in want]
+
+
+def test_kneser_ney_sums_to_one(spark):
+    model = quality.Model(spark.createDataFrame([("a b a c",), ("a b d",), ("b a",)], "text string"))
+    words = [r.word for r in model.one.collect()] + [7]
+    grams = spark.createDataFrame([(r.before, w) for r in model.left.collect() for w in words], "before long, word long")
+    n, total = F.col("seen"), F.col("total")
+    p = F.when(n > 0, (n - quality._cut(n, model.discounts)) / total).otherwise(0) + F.col("rest")
+    assert all(r.s == pytest.approx(1) for r in model.probabilities(grams).groupBy("before").agg(F.sum(p).alias("s")).collect())
+
+
+def test_long_texts_count_as_in_one_pass():
+    text = pa.array(["some words, here and there " * 500 + "z" * 3000 + " end", "x", None, "", "x y"])
+    whole = [np.concatenate(x).tolist() for x in zip(*quality.pairs(text))]
+    for size in (100, 1000):
+        assert whole == [np.concatenate(x).tolist() for x in zip(*quality.pairs(text, size))]
 
 
 def test_quality_keeps_good_and_drops_bad(spark):
