@@ -133,15 +133,20 @@ def _document_pairs(df: DataFrame) -> DataFrame:
 def lookup(rows: DataFrame, found: DataFrame, keys: list[str], sizes: DataFrame) -> DataFrame:
     """Left join of ``rows`` with ``found``, which has each key once; ``sizes``: ``(*keys, rows)``.
 
-    Keys with more than one in HOT of all rows, fewer than HOT, are broadcast with what is found for them. All
-    others are shuffled.
+    Keys with more than one in HOT of all rows, fewer than HOT, are broadcast with what is found for them; only the
+    others meet ``found`` in one task a key. ``rows`` is evaluated once.
     """
     total = sizes.agg(F.sum("rows")).first()[0] or 0
-    hot = written(sizes.where(F.col("rows") * HOT > total).select(*keys, F.lit(True).alias("hot")), "hot")
-    known = found.join(F.broadcast(hot), keys)
-    marked = rows.join(F.broadcast(hot), keys, "left")
-    return (marked.where("hot").drop("hot").join(F.broadcast(known.drop("hot")), keys, "left")
-            .unionByName(marked.where("hot IS NULL").drop("hot").join(found, keys, "left")))
+    values = [c for c in found.columns if c not in keys]
+    often = written(sizes.where(F.col("rows") * HOT > total).select(*keys), "often")
+    known = found.join(F.broadcast(often), keys)
+    hot = written(often.join(F.broadcast(known), keys, "left").select(*keys, F.struct(*values).alias("known")), "hot")
+    # rows of hot keys are spread by a column in which nothing matches them; pmod(_, 1) is 0, but not folded
+    spread = F.when(F.col("known").isNotNull(), F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 20)) + 1).otherwise(F.lit(0))
+    return (rows.join(F.broadcast(hot), keys, "left").withColumn("spread", spread.cast("bigint"))
+            .join(found.withColumn("spread", F.pmod(F.xxhash64(*keys), F.lit(1)).cast("bigint")), [*keys, "spread"], "left")
+            .select(*rows.columns, *(F.when(F.col("known").isNotNull(), F.col(f"known.{v}")).otherwise(F.col(v)).alias(v)
+                                     for v in values)))
 
 
 def _discounts(counts: DataFrame) -> list[float]:
