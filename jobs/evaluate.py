@@ -25,6 +25,8 @@ def main(argv=None) -> None:
     a.add_argument("paths", nargs="+")
     a.add_argument("--native")
     a.add_argument("--sep", default=",")
+    a.add_argument("--header", action="store_true")
+    a.add_argument("--mode", choices=["strict", "drop"], default="strict")
     a.add_argument("--on-missing", choices=["error", "drop", "nan"], default="error")
     args = a.parse_args(argv)
     spark = SparkSession.builder.appName("latentgrid-evaluate").getOrCreate()
@@ -36,7 +38,7 @@ def main(argv=None) -> None:
             raise SystemExit("usage: evaluate.py <w> <h> <data>")
         w, h, data = args.paths
         factors = read_factors(spark, w, "W").unionByName(read_factors(spark, h, "H"))
-    ratings = read_ratings(spark, data, sep=args.sep)
+    ratings = read_ratings(spark, data, sep=args.sep, mode=args.mode, header=args.header)
     e = evaluate(ratings, factors, on_missing=args.on_missing).first()
     rmse = float("nan") if e["rmse"] is None else e["rmse"]
     print("Calculated_RMSE=%f" % rmse)

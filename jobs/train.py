@@ -1,9 +1,9 @@
 """Train a factor model.
 
 spark-submit --py-files latentgrid.zip jobs/train.py --ratings R --rank 30 --out-w W --out-h H
-    [--blocks 8|auto] [--epochs 10] [--eta 0.001] [--decay 0.99] [--seed 1]
+    [--blocks 8] [--epochs 10] [--eta 0.001] [--decay 0.99] [--seed 1]
     [--schedule diagonal|row_major] [--eval-every 0] [--sep ,] [--mode strict]
-    [--format text|parquet] [--out PATH] [--dtype double|float] [--init PATH] [--ids grid|seen]
+    [--out PATH] [--dtype double|float] [--init PATH] [--ids grid|seen]
 
 Output paths are checked before training starts.
 """
@@ -33,7 +33,6 @@ def parse_args(argv=None):
     a.add_argument("--out-w")
     a.add_argument("--out-h")
     a.add_argument("--out", help="native Parquet output (partitioned by side)")
-    a.add_argument("--format", choices=["text", "parquet"], default="text")
     a.add_argument("--blocks", type=int, default=8, help="block count P")
     a.add_argument("--epochs", type=int, default=10)
     a.add_argument("--eta", type=float, default=0.001)

@@ -9,6 +9,7 @@ from __future__ import annotations
 P = 8
 K = 4
 VECTOR_DIM = 100
+PACK_PIECE = 50
 ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity"
 
 R = f"""r AS (
@@ -133,7 +134,7 @@ FROM judged WHERE reason IS NULL
 UNION ALL
 SELECT 'bad', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE), reason
 FROM judged WHERE reason IS NOT NULL""",
-    "ratings_prefix": with_(R) + f"SELECT * FROM r ORDER BY {ORDER} LIMIT 10000",
+    "ratings_prefix": with_(R) + f"SELECT * FROM r ORDER BY {ORDER} LIMIT (SELECT count(*) // 6 FROM r)",
     "grid_dims": with_(R, G) + f"SELECT CAST({P} AS BIGINT) AS p, max_x, max_y, xd AS x_dim, yd AS y_dim FROM g",
     "block_assign": with_(R, G, B) + "SELECT * FROM b",
     "block_offset": with_(R, G) + """SELECT r.*, CAST(x_id % xd AS INTEGER) AS x_off,
@@ -160,14 +161,16 @@ FROM fullgrid f LEFT JOIN c ON c.xb = f.xb AND c.yb = f.yb""",
                                f"""hw AS (SELECT id, CAST(id // yd AS INTEGER) AS block, step,
        CAST({pmod("CAST(id // yd AS INTEGER) - step")} AS INTEGER) AS work FROM hs, st)""") +
         f"SELECT id, block, step, work, CAST({pmod('work + step')} AS INTEGER) AS back FROM hw",
-    "blocks_packed": with_(R, G, B, FULL, f"""pk AS (
-  SELECT xb, yb, string_agg(CAST(x_id AS VARCHAR) || ',' || CAST(y_id AS VARCHAR) || ',' ||
-                            CAST(rating AS VARCHAR) || ';', '' ORDER BY {ORDER}) AS packed
-  FROM b GROUP BY xb, yb)""") + f"""SELECT f.xb, f.yb, CAST(f.xb * {P} + f.yb AS INTEGER) AS line_no,
-       coalesce(pk.packed, '') AS packed
+    "blocks_packed": with_(R, G, B, FULL, f"""ps AS (
+  SELECT *, row_number() OVER (PARTITION BY xb, yb ORDER BY {ORDER}) - 1 AS pos FROM b),
+pk AS (
+  SELECT xb, yb, pos - pos % {PACK_PIECE} AS start, string_agg(CAST(x_id AS VARCHAR) || ',' || CAST(y_id AS VARCHAR) || ',' ||
+                            CAST(rating AS VARCHAR) || ';', '' ORDER BY pos) AS packed
+  FROM ps GROUP BY xb, yb, start)""") + f"""SELECT f.xb, f.yb, CAST(f.xb * {P} + f.yb AS INTEGER) AS line_no,
+       CAST(coalesce(pk.start, 0) AS BIGINT) AS start, coalesce(pk.packed, '') AS packed
 FROM fullgrid f LEFT JOIN pk ON pk.xb = f.xb AND pk.yb = f.yb""",
     "blocks_unpacked": with_(R, G, B) + f"""SELECT xb, yb,
-       CAST(row_number() OVER (PARTITION BY xb, yb ORDER BY {ORDER}) - 1 AS INTEGER) AS pos,
+       CAST(row_number() OVER (PARTITION BY xb, yb ORDER BY {ORDER}) - 1 AS BIGINT) AS pos,
        x_id, y_id, rating FROM b""",
     "factors_init": with_(R, G, INIT_SEEN) + f"SELECT side, id, block, {spread(decimals=None)} FROM init",
     "factors_text": with_(VECTORS) + "SELECT side, id, " +
@@ -211,7 +214,7 @@ FROM pred, g GROUP BY 1, 2, 3""",
        round(sqrt(sum(se) / count(*)), 6) AS rmse
 FROM pb GROUP BY ROLLUP (stratum, xb)""",
     "sgd_one_sample": _one_sample(),
-    "ratings_prefix_large": with_(R) + f"SELECT * FROM r ORDER BY {ORDER} LIMIT 30000",
+    "ratings_prefix_large": with_(R) + f"SELECT * FROM r ORDER BY {ORDER} LIMIT (SELECT count(*) // 2 FROM r)",
     "ratings_text_file": with_(R) + "SELECT x_id, y_id, rating FROM r",
     "ratings_header_file": with_(R) + "SELECT x_id, y_id, rating FROM r",
     "ratings_blocked_stratum": with_(R, G, B) + f"""SELECT * FROM (

@@ -22,15 +22,14 @@ from latentgrid.session import scratch_path
 from latentgrid.sources.blocks import pack_blocks, read_stratum, unpack_blocks, write_blocked
 from latentgrid.sources.factors import (factor_lines, load_factors, pack_factors, read_factors,
                                         unpack_factors, write_factors, write_factors_text)
-from latentgrid.sources.ratings import (parse_rating_lines, prefix_sample, prefix_sample_large,
+from latentgrid.sources.ratings import (parse_rating_lines, prefix_sample,
                                         rating_lines, read_ratings)
 
 P = 8
 K = 4
 SEED = 1
-PREFIX_N = 10_000
+PACK_PIECE = 50
 VECTOR_DIM = 100
-PREFIX_LARGE_N = 30_000
 EPOCHS = 2
 ETA = 0.001
 DECAY = 0.99
@@ -98,22 +97,26 @@ def q_ratings_quarantine(spark, sf_dir):
     return g.unionByName(b)
 
 
+def _prefix(spark, sf_dir, part: int):
+    r = _ratings(spark, sf_dir)
+    return prefix_sample(r, r.count() // part, ORDER_COLS, scratch_path(spark, "q-prefix"))
+
+
 def q_ratings_prefix(spark, sf_dir):
-    return prefix_sample(_ratings(spark, sf_dir), PREFIX_N, ORDER_COLS)
+    """The first sixth of the ratings."""
+    return _prefix(spark, sf_dir, 6)
 
 
 def q_ratings_prefix_large(spark, sf_dir):
-    """S4 for a large n (half the table): range sort, per-partition counts, position filter."""
-    r = _ratings(spark, sf_dir)
-    return prefix_sample_large(r, PREFIX_LARGE_N, ORDER_COLS, scratch_path(spark, "q-prefix"),
-                               partitions=8)
+    """The first half of the ratings."""
+    return _prefix(spark, sf_dir, 2)
 
 
 def q_ratings_text_file(spark, sf_dir):
     """S1 through real files: the fixture written as text part files, read back strictly."""
     path = scratch_path(spark, "q-ratings-text")
     rating_lines(_ratings(spark, sf_dir), ",", extra=["l_orderkey"]).write.text(path)
-    return read_ratings(spark, path, ",", "strict", min_partitions=4)
+    return read_ratings(spark, path, ",", "strict")
 
 
 def q_ratings_header_file(spark, sf_dir):
@@ -195,7 +198,7 @@ def q_rotation_identity(spark, sf_dir):
 
 def q_blocks_packed(spark, sf_dir):
     r = _ratings(spark, sf_dir)
-    return pack_blocks(r, compute_grid(r, P), ORDER_COLS)
+    return pack_blocks(r, compute_grid(r, P), ORDER_COLS, piece=PACK_PIECE)
 
 
 def q_ratings_blocked_stratum(spark, sf_dir):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from latentgrid.operators.grid import Grid, assign_blocks, schedule
@@ -10,9 +10,10 @@ from latentgrid.operators.grid import Grid, assign_blocks, schedule
 
 def write_blocked(ratings: DataFrame, grid: Grid, path: str, mode: str = "errorifexists") -> None:
     """Ratings stored by stratum (a partition column), sorted by block inside
-    the files. Reading one stratum prunes the other folders."""
+    the files. Reading one stratum prunes the other folders. Ranges of ids are dealt out, so that
+    a large block is written by several tasks."""
     b = assign_blocks(ratings, grid)
-    (b.repartition(grid.p, "stratum", "xb").sortWithinPartitions("stratum", "xb", "yb")
+    (b.repartitionByRange("stratum", "xb", "yb", "x_id", "y_id").sortWithinPartitions("stratum", "xb", "yb")
      .write.mode(mode).partitionBy("stratum").parquet(path))
 
 
@@ -25,41 +26,36 @@ def _sample_text(rating_fmt) -> F.Column:
                     F.lit(","), rating_fmt, F.lit(";"))
 
 
-MAX_PACKED_SAMPLES = 5_000_000
+#: Samples of a packed record.
+PIECE = 100_000
 
 
-def pack_blocks(ratings: DataFrame, grid: Grid, order_cols: list[str] | None = None,
-                max_samples: int | None = MAX_PACKED_SAMPLES) -> DataFrame:
-    """One record per block in row-major block order: ``x,y,r;`` per sample
-    (in ``order_cols`` order), empty string for an empty block.
+def pack_blocks(ratings: DataFrame, grid: Grid, order_cols: list[str] | None = None, piece: int = PIECE) -> DataFrame:
+    """``x,y,r;`` per sample (in ``order_cols`` order), in row-major block order.
 
-    The format puts a whole block into one record. Before gathering, one
-    aggregate checks the largest block against ``max_samples`` and raises if it
-    is exceeded (use more blocks); nothing is dropped.
+    A block comes in records of ``piece`` samples; ``start`` is the position of a record's first one. An
+    empty block is one empty record. Positions come from a window over each block, which spills; only the
+    samples of one record are gathered.
     """
     order_cols = order_cols or ["x_id", "y_id", "rating"]
-    b = assign_blocks(ratings, grid)
-    if max_samples is not None:
-        biggest = b.groupBy("xb", "yb").count().agg(F.max("count")).first()[0] or 0
-        if biggest > max_samples:
-            raise ValueError(f"a block holds {biggest} samples (> {max_samples}); "
-                             "raise the block count to pack it")
-    sample = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
-                      _sample_text(F.col("rating").cast("string")).alias("_t"))
-    g = b.groupBy("xb", "yb").agg(F.array_sort(F.collect_list(sample)).alias("s"))
+    pos = F.row_number().over(Window.partitionBy("xb", "yb").orderBy(*order_cols)).cast("bigint") - 1
+    b = assign_blocks(ratings, grid).withColumn("pos", pos).withColumn("start", F.col("pos") - F.col("pos") % piece)
+    sample = F.struct("pos", _sample_text(F.col("rating").cast("string")).alias("_t"))
+    g = b.groupBy("xb", "yb", "start").agg(F.array_sort(F.collect_list(sample)).alias("s"))
     full = schedule(ratings.sparkSession, grid.p).select("xb", "yb")
     j = full.join(g, ["xb", "yb"], "left")
     return j.select("xb", "yb", (F.col("xb") * grid.p + F.col("yb")).alias("line_no"),
+                    F.coalesce("start", F.lit(0)).cast("bigint").alias("start"),
                     F.coalesce(F.array_join(F.transform("s", lambda t: t["_t"]), ""),
                                F.lit("")).alias("packed"))
 
 
 def unpack_blocks(packed: DataFrame) -> DataFrame:
-    """S9 reader: ``(xb, yb, packed)`` -> one row per sample, with its position."""
+    """S9 reader: ``(xb, yb, start, packed)`` -> one row per sample, with its position in the block."""
     samples = F.filter(F.split("packed", ";", -1), lambda t: t != F.lit(""))
-    ex = packed.select("xb", "yb", F.posexplode(samples).alias("pos", "t"))
+    ex = packed.select("xb", "yb", "start", F.posexplode(samples).alias("at", "t"))
     parts = F.split("t", ",", -1)
-    return ex.select("xb", "yb", "pos",
+    return ex.select("xb", "yb", (F.col("start") + F.col("at")).alias("pos"),
                      F.get(parts, 0).cast("bigint").alias("x_id"),
                      F.get(parts, 1).cast("bigint").alias("y_id"),
                      F.get(parts, 2).cast("double").alias("rating"))

@@ -27,15 +27,20 @@ def parse_rating_lines(lines: DataFrame, sep: str = ",", mode: str = "strict",
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     toks = F.split(F.col(line_col), _java_regex_quote(sep), -1)
-    t0, t1, t2 = (F.get(toks, i) for i in range(3))
+    return _parse_fields(lines, F.col(line_col), [F.get(toks, i) for i in range(3)], F.size(toks) < 3, mode)
+
+
+def _parse_fields(df: DataFrame, line: Column, fields: list[Column], short: Column, mode: str):
+    """``(x_id, y_id, rating)`` of three text columns; ``line`` is what is reported of a malformed row."""
+    t0, t1, t2 = fields
     x = F.when(t0.rlike(_INT), F.trim(t0).try_cast("bigint"))
     y = F.when(t1.rlike(_INT), F.trim(t1).try_cast("bigint"))
     r = F.trim(t2).try_cast("double")
-    reason = (F.when(F.size(toks) < 3, F.lit("fewer than three fields"))
+    reason = (F.when(short, F.lit("fewer than three fields"))
               .when(x.isNull(), F.lit("bad row id"))
               .when(y.isNull(), F.lit("bad column id"))
               .when(r.isNull(), F.lit("bad rating")))
-    parsed = lines.select(F.col(line_col).alias("line"), x.alias("x_id"), y.alias("y_id"),
+    parsed = df.select(line.alias("line"), x.alias("x_id"), y.alias("y_id"),
                           r.alias("rating"), reason.alias("reason"))
     if mode == "strict":
         # a filter, not a projection: column pruning cannot drop the check
@@ -50,27 +55,22 @@ def parse_rating_lines(lines: DataFrame, sep: str = ",", mode: str = "strict",
 
 
 def read_ratings(spark: SparkSession, path: str, sep: str = ",", mode: str = "strict",
-                 header: bool = False, min_partitions: int | None = None):
+                 header: bool = False):
     """Read rating text files (paths and globs as Hadoop accepts them).
 
-    ``sep="::"`` reads the ``a::b::c::ts`` files directly. ``header=True`` skips
-    the first line of every file (the CSV reader's header handling).
+    ``sep="::"`` reads the ``a::b::c::ts`` files directly. ``header=True`` reads the
+    columns of CSV files with a header line; a quoted separator stays inside its cell.
     """
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
     if header:
         raw = (spark.read.option("header", True).option("sep", sep)
                .option("mode", "PERMISSIVE").csv(path))
-        first3 = raw.columns[:3]
-        while len(first3) < 3:
-            first3.append(None)
-        parts = [F.col(f"`{c}`") if c else F.lit(None).cast("string") for c in first3]
-        # a quoted separator stays inside its cell, which then is not a number
-        line = F.concat_ws(sep, *[F.replace(F.coalesce(p, F.lit("")), F.lit(sep), F.lit(" ")) for p in parts])
-        lines = raw.select(line.alias("value"))
-    else:
-        lines = spark.read.text(path)
-    if min_partitions:
-        lines = lines.repartition(min_partitions)
-    return parse_rating_lines(lines, sep, mode)
+        cells = [F.col(f"`{c}`") for c in raw.columns[:3]]
+        line = F.concat_ws(sep, *[F.coalesce(c, F.lit("")) for c in cells])
+        fields = cells + [F.lit(None).cast("string")] * (3 - len(cells))
+        return _parse_fields(raw, line, fields, F.lit(len(cells) < 3), mode)
+    return parse_rating_lines(spark.read.text(path), sep, mode)
 
 
 def rating_lines(ratings: DataFrame, sep: str = ",", extra: list | None = None) -> DataFrame:
@@ -80,18 +80,9 @@ def rating_lines(ratings: DataFrame, sep: str = ",", extra: list | None = None)
     return ratings.select(F.concat_ws(sep, *parts).alias("value"))
 
 
-def prefix_sample(df: DataFrame, n: int, order_cols: list[str]) -> DataFrame:
-    """The first ``n`` rows in ``order_cols`` order (a top-k, the limit is the feature).
-
-    Spark keeps a bounded heap per partition for small ``n``; above
-    ``spark.sql.execution.topKSortFallbackThreshold`` see ``prefix_sample_large``.
-    """
-    return df.orderBy(*order_cols).limit(n)
-
-
-def prefix_sample_large(df: DataFrame, n: int, order_cols: list[str], scratch: str,
-                        partitions: int | None = None) -> DataFrame:
-    """S4 for a large ``n``: exact, without passing the prefix through one task.
+def prefix_sample(df: DataFrame, n: int, order_cols: list[str], scratch: str,
+                  partitions: int | None = None) -> DataFrame:
+    """The first ``n`` rows in ``order_cols`` order, without passing the prefix through one task.
 
     Range-partition and sort by the order, write with a (partition, position)
     tag, count rows per partition (one row per partition reaches the driver),
@@ -111,5 +102,5 @@ def prefix_sample_large(df: DataFrame, n: int, order_cols: list[str], scratch: s
         offset += c
     starts = spark.createDataFrame(list(start.items()), "_part long, _start long")
     pos = F.col("_start") + (F.col("_mid") - F.shiftleft(F.col("_part"), 33))
-    out = t.join(F.broadcast(starts), "_part").filter(pos < F.lit(n))
+    out = t.join(starts, "_part").filter(pos < F.lit(n))
     return out.drop("_part", "_start", "_mid")

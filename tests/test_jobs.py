@@ -21,3 +21,14 @@ def test_train_then_evaluate(spark, scratch):
     assert abs(a - b) < 1e-12
     ev.main([scratch + "/w", scratch + "/h", csv])
     ev.main(["--native", scratch + "/native", csv])
+
+
+def test_evaluate_reads_headers_and_skips_malformed_lines(spark, scratch, tmp_path, capsys):
+    from jobs import evaluate as ev
+    from latentgrid.sources.factors import write_factors
+    f = spark.createDataFrame([("W", 0, 0, [2.0]), ("H", 0, 0, [2.0])], "side string, id bigint, block int, factors array<double>")
+    write_factors(f, scratch + "/f")
+    p = tmp_path / "h.csv"
+    p.write_text("x,y,r\n0,0,5\n0,zero,1\n")
+    ev.main(["--native", scratch + "/f", "--header", "--mode", "drop", str(p)])
+    assert "Calculated_RMSE=1.000000" in capsys.readouterr().out

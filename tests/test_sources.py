@@ -10,7 +10,7 @@ from latentgrid.plans import fixtures
 from latentgrid.sources.blocks import pack_blocks, read_stratum, unpack_blocks, write_blocked
 from latentgrid.sources.factors import (load_factors, pack_factors, read_factors, unpack_factors,
                                         with_blocks, write_factors, write_factors_text)
-from latentgrid.sources.ratings import prefix_sample, prefix_sample_large, read_ratings
+from latentgrid.sources.ratings import prefix_sample, read_ratings
 
 
 def rows(df, *cols):
@@ -128,20 +128,23 @@ def test_blocked_store_prunes(spark, scratch):
     assert s1.count() == assign_blocks(r, g).filter("stratum = 1").count()
 
 
-def test_prefix_large_equals_topk(spark, scratch):
+def test_prefix_equals_topk(spark, scratch):
     r = fixtures.ratings(spark, SF_SMALL)
-    a = prefix_sample(r, 1234, fixtures.ORDER_COLS)
-    b = prefix_sample_large(r, 1234, fixtures.ORDER_COLS, scratch + "/p", partitions=5)
+    a = r.orderBy(*fixtures.ORDER_COLS).limit(1234)
+    b = prefix_sample(r, 1234, fixtures.ORDER_COLS, scratch + "/p", partitions=5)
     cols = fixtures.ORDER_COLS
     assert rows(a, *cols) == rows(b, *cols)
 
 
-def test_pack_guard_raises_instead_of_dropping(spark):
-    r = read_ratings(spark, data("dups.csv"))
-    g = compute_grid(r, 1)
-    with pytest.raises(ValueError, match="raise the block count"):
-        pack_blocks(r, g, max_samples=2)
-    assert pack_blocks(r, g, max_samples=3).count() == 1
+def test_large_blocks_are_packed_in_pieces(spark):
+    r = fixtures.ratings(spark, SF_SMALL)
+    g = compute_grid(r, 2)
+    packed = pack_blocks(r, g, fixtures.ORDER_COLS, piece=100)
+    sizes = sorted(p["n"] for p in packed.selectExpr("size(split(packed, ';')) - 1 AS n").collect())
+    assert sizes[-1] == 100 and len(sizes) > 50 and sum(sizes) == r.count()
+    back, whole = unpack_blocks(packed), unpack_blocks(pack_blocks(r, g, fixtures.ORDER_COLS))
+    cols = ("xb", "yb", "pos", "x_id", "y_id", "rating")
+    assert rows(back, *cols) == rows(whole, *cols)
 
 
 def test_line_numbers_across_files_and_splits(spark, scratch):
@@ -190,6 +193,8 @@ def test_factor_text_needs_each_id_once(spark, scratch):
 def test_quoted_separator_in_a_header_file_raises(spark, tmp_path):
     p = tmp_path / "q.csv"
     p.write_text('x,y,r\n1,2,"4,5"\n')
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="bad rating"):
         read_ratings(spark, str(p), header=True).collect()
+    with pytest.raises(ValueError, match="mode"):
+        read_ratings(spark, str(p), header=True, mode="other")
     assert read_ratings(spark, str(p), header=True, mode="drop").count() == 0

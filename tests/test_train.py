@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL, data
 from latentgrid.functions.init import init_factors
 from latentgrid.operators.grid import compute_grid
-from latentgrid.operators.kernel import sgd_serial
+from serial_sgd import sgd_serial
 from latentgrid.operators.step import balanced_keys, prepare_ratings
 from latentgrid.plans import fixtures
 from latentgrid.plans.train import fit
