@@ -161,12 +161,12 @@ def _matches(body: np.ndarray, at: np.ndarray, lengths: list[int], keep):
             yield row[k], k - first[row[k]], length, template, h[k], k, value, kind
 
 
-_SCHEMA = "id bigint, pos int, template boolean, hash bigint, value array<bigint>, kind array<tinyint>"
-_FIELDS = pa.schema([("id", pa.int64()), ("pos", pa.int32()), ("template", pa.bool_()), ("hash", pa.int64()),
+_SCHEMA = "id bigint, row bigint, pos int, template boolean, hash bigint, value array<bigint>, kind array<tinyint>"
+_FIELDS = pa.schema([("id", pa.int64()), ("row", pa.int64()), ("pos", pa.int32()), ("template", pa.bool_()), ("hash", pa.int64()),
                      ("value", pa.list_(pa.int64())), ("kind", pa.list_(pa.int8()))])
 
 
-def _rows(ids: pa.Array, matches, base: int = 0, shared: int = 0):
+def _rows(ids: pa.Array, keys: pa.Array, matches, base: int = 0, shared: int = 0):
     for row, pos, length, template, h, k, value, kind in matches:
         new = np.flatnonzero(k + length > shared)
         for a in range(0, len(new), 20_000):
@@ -174,7 +174,7 @@ def _rows(ids: pa.Array, matches, base: int = 0, shared: int = 0):
             cells = k[b, None] + np.arange(length)
             ends = pa.array(np.arange(len(b) + 1, dtype=np.int32) * length)
             yield pa.RecordBatch.from_arrays([
-                ids.take(pa.array(row[b])), pa.array((pos[b] + base).astype(np.int32)),
+                ids.take(pa.array(row[b])), keys.take(pa.array(row[b])), pa.array((pos[b] + base).astype(np.int32)),
                 pa.array(np.full(len(b), template)), pa.array(h[b].view(np.int64)),
                 pa.ListArray.from_arrays(ends, pa.array(value[cells].ravel().view(np.int64))),
                 pa.ListArray.from_arrays(ends, pa.array(kind[cells].ravel().astype(np.int8))),
@@ -182,22 +182,26 @@ def _rows(ids: pa.Array, matches, base: int = 0, shared: int = 0):
 
 
 def window_table(df: DataFrame, id: str, text: str, lengths: list[int], keep=None, most: int = PASS_BYTES) -> DataFrame:
-    """``(id, pos, template, hash, value, kind)``: windows of whole texts whose hash passes ``keep``."""
+    """``(id, row, pos, template, hash, value, kind)``: windows of whole texts whose hash passes ``keep``.
+
+    ``row`` is a key of the id with the text: rows that repeat an id, or have none, are told apart by it.
+    """
     bounded_batches(df.sparkSession)
     keep = keep or (lambda h: np.ones(len(h), bool))
 
     def run(batches):
         for batch in batches:
-            data, at = flat(batch.column(1))
+            data, at = flat(batch.column(2))
             for i, j in passes(at, most):
-                own, body = batch.column(0).slice(i), data[at[i]:at[j]]
+                own, body = (batch.column(0).slice(i), batch.column(1).slice(i)), data[at[i]:at[j]]
                 if len(body) <= most:
-                    yield from _rows(own, _matches(body, at[i:j + 1] - at[i], lengths, keep))
+                    yield from _rows(*own, _matches(body, at[i:j + 1] - at[i], lengths, keep))
                 else:
                     for part, base, shared in _parts(body, most, max(lengths)):
-                        yield from _rows(own, _matches(part, np.array([0, len(part)]), lengths, keep), base, shared)
+                        yield from _rows(*own, _matches(part, np.array([0, len(part)]), lengths, keep), base, shared)
 
-    return df.select(F.col(id).cast("bigint"), F.col(text)).mapInArrow(run, _SCHEMA)
+    key = F.col(id).cast("bigint")
+    return df.select(key, F.xxhash64(key, F.col(text)), F.col(text)).mapInArrow(run, _SCHEMA)
 
 
 def _filter(hashes: DataFrame, bits: int = FILTER):
@@ -226,10 +230,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
     A window of ``window`` words counts if an item has the same words (``n_literal``), or the same template with
     consistently filled slots along the alignment. Of items that share a window, the smallest stands for all, so
     that a passage that many documents and items share isn't multiplied. Items under LEAST words and
-    texts without words (null, empty) match nothing; rows with the same id (or null) are reported as
-    one; no benchmark means no rows. Texts aren't shuffled, only the windows that pass the filter.
+    texts without words (null, empty) match nothing; rows with the same id (or null) are matched each by
+    itself, equal ones once, and reported as one; no benchmark means no rows. Texts aren't shuffled, only the windows that pass the filter.
     """
-    every = window_table(benchmark, item, item_text, list(range(min(LEAST, window), window + 1)))
+    every = window_table(benchmark, item, item_text, list(range(min(LEAST, window), window + 1))).drop("row")
     every = written(every.where("id IS NOT NULL"), "items")
     widest = every.groupBy("id").agg(F.max(F.size("value")).alias("width"))
     index = written(
@@ -246,10 +250,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
 
     hits = (window_table(docs, id, text, lengths, keep).join(index, ["template", "hash"])
             .where(F.size("value") == F.size("own"))
-            .select("id", "item", (F.col("pos") - F.col("at")).alias("shift"), "pos", "template",
+            .select("id", "row", "item", (F.col("pos") - F.col("at")).alias("shift"), "pos", "template",
                     (F.col("value") == F.col("own")).alias("same"), "value", "kind", "own"))
     hits = written(hits.where("NOT template OR NOT same"), "hits")
-    one = ["id", "item", "shift"]
+    one = ["id", "row", "item", "shift"]
     slots = (hits.where("template")
              .select(*one, F.explode(F.arrays_zip("own", "value", "kind")).alias("s"))
              .where("s.kind > 0").groupBy(*one, F.col("s.kind").alias("kind"), F.col("s.own").alias("own"))
@@ -257,7 +261,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
              .groupBy(*one).agg(F.count("*").alias("slots"), F.count_if(F.expr("low != high")).alias("odd")))
     runs = (hits.groupBy(*one).agg(F.countDistinct("pos").alias("all"),
                                    F.countDistinct(F.when(~F.col("template"), F.col("pos"))).alias("literal")))
-    same = F.expr("r.id <=> s.id AND r.item = s.item AND r.shift = s.shift")
+    same = F.expr("r.id <=> s.id AND r.row = s.row AND r.item = s.item AND r.shift = s.shift")
     runs = (runs.alias("r").join(slots.alias("s"), same, "left")
             .select("r.*", F.coalesce("slots", F.lit(0)).alias("slots"), F.coalesce("odd", F.lit(0)).alias("odd"))
             .withColumn("n", F.when(F.col("odd") == 0, F.col("all")).otherwise(F.col("literal"))).where("n > 0"))

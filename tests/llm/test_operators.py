@@ -255,6 +255,14 @@ def test_templates_and_slots(spark, docs):
     assert decontam.contaminated(df.limit(0), items).count() == 0
 
 
+def test_rows_of_one_id_keep_their_slots_apart(spark, docs):
+    items = spark.createDataFrame([(1, "Today Tom has 12 apples and 7 pears, so he ate 12 apples")], "item_id long, text string")
+    texts = [f"Today Bob has {n} apples and 9 pears, so he ate {n} apples" for n in (30, 31, 30)]
+    rows = [(None, t) for t in texts] + [(1, t) for t in texts] + [(2, texts[0])]
+    got = {r.doc_id: (r.item_ids, r.n_windows) for r in decontam.contaminated(docs(rows), items).collect()}
+    assert got[None] == got[1] == ([1], 2 * got[2][1])
+
+
 # -- quality ------------------------------------------------------------------
 
 def slow_pairs(text):
