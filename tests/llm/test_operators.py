@@ -263,6 +263,26 @@ def test_rows_of_one_id_keep_their_slots_apart(spark, docs):
     assert got[None] == got[1] == ([1], 2 * got[2][1])
 
 
+def leaked(spark, docs, items, *texts):
+    """Numbers of the texts that hold a passage of an item."""
+    items = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {r.doc_id for r in decontam.contaminated(docs(list(enumerate(texts))), items).collect()}
+
+
+def test_each_item_of_a_template_family_is_tried(spark, docs):
+    family = ["Today she has {} red apples and he has {} green pears".format(*n) for n in ((5, 5), (5, 7), (8, 8))]
+    text = "Today she has {} red apples and he has {} green pears"
+    assert leaked(spark, docs, family, text.format(6, 9)) == {0}
+    assert leaked(spark, docs, family[::2], text.format(6, 9), text.format(6, 6)) == {1}
+    # the shared passage alone doesn't tell the items apart, the alignment with one of them does
+    long = [f + " and they ate {} red apples today".format(n) for f, n in zip(family, (5, 7, 9))]
+    assert leaked(spark, docs, long, text.format(6, 9) + " and they ate 9 red apples today",
+                  text.format(6, 9) + " and they ate 4 red apples today") == {0}
+
+
+
+
+
 # -- quality ------------------------------------------------------------------
 
 def slow_pairs(text):
