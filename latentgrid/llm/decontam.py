@@ -1,7 +1,9 @@
 """Benchmark decontamination by template windows and slot consistency.
 
-Texts are cut into words without ASCII signs, in lower case. In a template, numbers, names (title-case words
-inside a sentence) and units after a number become typed placeholders. Windows of words, and of templates, are hashed and joined by hash. A template match counts if its slots are
+Texts are cut into words without ASCII signs, in lower case. In a template, numbers (digits or words), names
+(title-case words) and units after a number become typed placeholders, a name or number of several words one.
+There are two templates of a text: in the second, title-case words that open a sentence are names as well.
+Windows of words, and of both templates, are hashed and joined by hash. A template match counts if its slots are
 filled consistently: along one alignment of a document with an item, equal slot values of the item stand for equal values.
 """
 
@@ -112,11 +114,11 @@ def words(data: np.ndarray, fresh: np.ndarray) -> Words:
     value, number, unit = np.split(span_hashes(chars, np.concatenate([a, a[mixed], mid]), np.concatenate([b, mid, b[mixed]])),
                                    [len(a), len(a) + len(mixed)])
     front, back = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
-    joint = np.zeros(len(mixed), bool)
+    joint = np.isin(unit, units)
     front[mixed[joint]], back[mixed[joint]] = number[joint], unit[joint]
     capital = upper | accent
     capitals = np.append(0, np.cumsum(capital))
-    first = at
+    first = place[a]
     lead = upper[first] | ((data[first] == 0xC3) & accent[np.minimum(first + 1, len(data) - 1)])
     # the last byte of the word before, and a line break between, end a sentence
     last = np.zeros(len(at), np.uint8)
@@ -132,7 +134,7 @@ def words(data: np.ndarray, fresh: np.ndarray) -> Words:
     glued[1:] &= kept[before]
     title = lead & (capitals[end] - capitals[at] == 1) & (b - a >= 2)
     k = np.minimum(np.searchsorted(spelt_keys, value), len(spelt_keys) - 1)
-    spelt = np.zeros(len(at), bool)
+    spelt = spelt_keys[k] == value
     kind = np.zeros(len(at), np.uint8)
     kind[title & ~opening] = NAME
     kind[(n_digits == b - a) | spelt] = NUMBER
@@ -169,6 +171,7 @@ def tokens(w: Words, row: np.ndarray, named: bool) -> Tokens:
         kind[new], kind[new + 1], glued[new], glued[new + 1] = NUMBER, UNIT, False, False
         value[new], value[new + 1] = w.front[at], w.back[at]
     joined = np.zeros(len(kind), bool)
+    joined[1:] = glued[1:] & (((kind[1:] == NAME) & (kind[:-1] == NAME)) | (spelt[1:] & (kind[:-1] == NUMBER)))
     head = np.flatnonzero(~joined)
     size = np.diff(np.append(head, len(kind)))
     joined &= np.repeat(size <= RUN, size)
@@ -246,7 +249,7 @@ def _item_rows(ids: pa.Array, w: Words, row: np.ndarray, window: int):
                 pa.array(np.zeros(len(k), np.int64)), pa.array((k - start[k]).astype(np.int32)),
                 pa.array(np.full(len(k), length, np.int32)), pa.nulls(len(k), pa.int64()),
                 none.cast(pa.list_(pa.int32())), none], names=_names(_ITEM))
-    for variant in (TEMPLATE,) if n else ():
+    for variant in (TEMPLATE, NAMED) if n else ():
         t = tokens(w, row, variant == NAMED)
         i, chars, item = np.arange(len(t.kind)), _template_chars(t), row[t.first]
         begin = np.searchsorted(item, item)
@@ -358,7 +361,7 @@ def _doc_rows(ids: pa.Array, keys: pa.Array, w: Words, row: np.ndarray, shape: S
             pos = k - first[row[k]] + base
             yield rows(PLAIN, k, pos, pos, h[k], pa.ListArray.from_arrays(
                 pa.array(np.zeros(len(k) + 1, np.int32)), pa.array([], pa.int64())))
-    for variant in (TEMPLATE,) if shape.widest else ():
+    for variant in (TEMPLATE, NAMED) if shape.widest else ():
         t = tokens(w, row, variant == NAMED)
         i, chars = np.arange(len(t.kind)), _template_chars(t)
         before = 0

@@ -280,7 +280,35 @@ def test_each_item_of_a_template_family_is_tried(spark, docs):
                   text.format(6, 9) + " and they ate 4 red apples today") == {0}
 
 
-
+def test_names_that_open_sentences_and_typed_words(spark, docs):
+    def same(a, b):
+        return leaked(spark, docs, [a], b) == {0}
+
+    item = "Tom bought 12 apples for 3 dollars today"
+    assert same(item, "Anna bought 15 apples for 4 dollars today")
+    assert same(item, "Anna Lee bought 15 apples for 4 dollars today")
+    assert same(item, 'He wrote that "Anna bought fifteen apples for twenty-one euros today"')
+    assert same("We walk (Tom leads) about 5km to the old town", "We walk (Anna leads) about seven miles to the old town")
+    assert same("Tom has 5 pens. Anna has 7 pens. Who has more?", "Bob has 6 pens. Eve has 9 pens. Who has more?")
+    assert not same("The red car drove 12 miles to town", "Some red car drove 14 miles to town")
+
+
+
+def test_template_windows_across_parts(spark, docs, monkeypatch):
+    item = "Tom Smith has 12 apples and 7 pears, so Tom ate 12 apples and kept 7 pears"
+    bad = "Anna has 30 apples and 9 pears, so Anna ate 31 apples and kept 8 pears"
+    good = "Anna Lee has 30 apples and 9 pears, so Anna ate 30 apples and kept 9 pears"
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    run = decontam.doc_windows
+
+    def found(most):
+        monkeypatch.setattr(decontam, "doc_windows", lambda *a: run(*a, most))
+        fill = "New York has 5km of it. "
+        rows = [(10 * k + n, fill * k + t + ". " + fill * 40) for k in range(0, 40, 3) for n, t in enumerate((good, bad))]
+        return sorted(map(tuple, decontam.contaminated(docs(rows), items).collect()))
+
+    want = found(1 << 18)
+    assert {r[0] for r in want} == set(range(0, 400, 30)) and found(300) == want
 
 
 # -- quality ------------------------------------------------------------------
