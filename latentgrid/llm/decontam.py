@@ -21,10 +21,10 @@ from latentgrid.llm.common import PASS_BYTES, bounded_batches, flat, mix, passes
 
 #: Words of a window; items of fewer words have one window.
 WINDOW = 8
-#: Words of a template window that must not be placeholders.
+#: Words of a template window that must not be placeholders: a window short of them is longer.
 LITERAL = 5
-#: Least tokens of an item's template.
-LEAST = 4
+#: Least tokens, and words among them, of a template window that ends with its item before it has LITERAL words.
+LEAST, FEW = 4, 2
 #: Most words of a name or number; each word of a longer run is a placeholder.
 RUN = 6
 #: Words at an end of a part of a text whose classes the words outside may change.
@@ -205,9 +205,8 @@ def _template_chars(t: Tokens) -> np.ndarray:
 def _ends(t: Tokens, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Where the window that begins at each token ends (maybe behind the text), and running numbers of words."""
     plain = np.append(0, np.cumsum(t.kind == 0))
-    end = np.arange(len(t.kind)) + window
-    few = plain[np.minimum(end, len(t.kind))] - plain[:-1] < min(LITERAL, max(window - 1, 1))
-    return np.where(few, len(t.kind) + window, end), plain
+    return np.maximum(np.arange(len(t.kind)) + window,
+                      np.searchsorted(plain, plain[:-1] + min(LITERAL, max(window - 1, 1)))), plain
 
 
 def _slots(t: Tokens, a: np.ndarray, b: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
@@ -267,8 +266,8 @@ def _item_rows(ids: pa.Array, w: Words, row: np.ndarray, window: int):
         whole = end <= t.stop
         b = np.minimum(end, t.stop)
         some = plain[b] - plain[i]
-        ok = (b - i > some) & (whole | ((some >= np.minimum(LITERAL, b - i - 1)) & (b - i >= min(LEAST, window))
-                                        & (b - i < window) & (i == begin)))
+        ok = (b - i > some) & (whole | ((some >= min(FEW, window - 1)) & (b - i >= min(LEAST, window))
+                                        & ((b - i >= window) | (i == begin))))
         every = np.flatnonzero(ok)
         for k in np.split(every, range(_STEP, len(every), _STEP)):
             head = span_hashes(chars, k, np.minimum(k + min(LEAST, window), b[k]))
@@ -444,8 +443,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
     """One row per document that holds a window of an item: ``(doc_id, item_ids, n_windows, n_literal, slots)``.
 
     A window of ``window`` words counts if an item has the same words (``n_literal``), or the same template with
-    consistently filled slots along the alignment with an item. A template window needs LITERAL words besides its slots. Items under ``window`` words match as a
-    whole; as templates, if they have LEAST tokens and all but one or LITERAL are words. Of items that share a window of words,
+    consistently filled slots along the alignment with an item. A template window with fewer than LITERAL words
+    besides its slots goes on until it has them or the item ends. Items under ``window`` words match as a
+    whole; as templates, if they have LEAST tokens and FEW words besides slots. Of items that share a window of words,
     the smallest id stands for all; for templates, of items with the same whole template and the same slots equal,
     which no filling tells apart. ``n_windows`` counts a position once, ``slots`` adds the most
     slots along one alignment of each item. Texts without words (null, empty) match nothing; rows with the same id (or

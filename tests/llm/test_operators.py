@@ -293,6 +293,21 @@ def test_names_that_open_sentences_and_typed_words(spark, docs):
     assert not same("The red car drove 12 miles to town", "Some red car drove 14 miles to town")
 
 
+def test_windows_with_many_slots_and_short_items(spark, docs):
+    def same(a, b):
+        return leaked(spark, docs, [a], f"so they say: {b} and that is all there is") == {0}
+
+    assert same("15 apples at 3 dollars and 12 pears at 4 dollars", "16 apples at 5 dollars and 13 pears at 6 dollars")
+    assert same("What is 17 plus 25?", "What is 31 plus 46?")
+    assert same("How far is 12 km?", "How far is 14 miles?")
+    assert same("Is 7 more than 7?", "is 8 more than 8") and not same("Is 7 more than 7?", "is 8 more than 9")
+    assert same("Add 17 to 25", "add 18 to 26")
+    assert same("17 + 25", "17 + 25") and not same("17 + 25", "18 + 26")
+    dense = "Take {0} and add them, then take {1}"
+    runs = [" ".join(map(str, range(n, n + 9))) for n in (1, 11, 21)]
+    assert same(dense.format(runs[0], runs[0]), dense.format(runs[1], runs[1]))
+    assert not same(dense.format(runs[0], runs[0]), dense.format(runs[1], runs[2]))
+
 
 def test_template_windows_across_parts(spark, docs, monkeypatch):
     item = "Tom Smith has 12 apples and 7 pears, so Tom ate 12 apples and kept 7 pears"
