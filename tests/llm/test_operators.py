@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import os
 import random
 import re
 
@@ -220,6 +221,20 @@ def test_token_counts_across_blocks(spark, block):
     assert tokencount.token_counts(spark, empty).count() == 0
 
 
+def test_token_counts_of_a_file_over_2_gb(spark):
+    path = scratch_path(spark, "flat-large")
+    os.makedirs(path.removeprefix("file:"))
+    ids = [3, 1 << 29, (1 << 30) + 5]  # where the separators are; all other ids are in holes of the file
+    with open(path.removeprefix("file:") + "/tokens", "wb") as f:
+        for k in ids:
+            f.seek(2 * k)
+            f.write(b"\7\0")
+        f.truncate(2 * ids[-1] + 2 + 8)
+    got = tokencount.token_counts(spark, path, eod=7, block=1 << 24).orderBy("document").collect()
+    assert [(r.n_tokens, r.closed) for r in got] == [
+        (3, True), (ids[1] - ids[0] - 1, True), (ids[2] - ids[1] - 1, True), (4, False)]
+
+
 # -- contamination ------------------------------------------------------------
 
 def test_decontamination_equals_brute_force(spark):
