@@ -29,9 +29,13 @@ START = "WARC/1.1\r\n"
 
 
 def cuts(payload: memoryview, size: int = CHUNK) -> list[int]:
-    """Ends of the chunks of ``payload``: every ``size`` bytes, and inside each record start line."""
+    """Ends of the chunks of ``payload``: every ``size`` bytes, and inside each record start line.
+
+    A chunk follows the blank line of its header: it is also cut inside a start line that it begins with.
+    """
     out = list(range(size, len(payload), size))
     out += [m.start() + 8 for m in re.finditer(re.escape(b"\r\n\r\nWARC/1.1"), payload)]
+    out += [k + 4 for k in [0, *out] if re.match(rb"(\r\n)?WARC/1\.1", payload[k:k + 10])]
     return sorted({*out, len(payload)})
 
 

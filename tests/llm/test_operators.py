@@ -157,6 +157,15 @@ def test_warc_round_trip(spark):
     assert warc.page_records(spark, empty).count() == 0
 
 
+def test_warc_chunks_that_begin_with_a_start_line(spark):
+    line = "WARC/1.1\r\n"
+    rows = [(1, line), (2, "\r\n" + line + "x"), (3, "z" * 65536 + line + "x"), (4, "z" * 65536 + "\r\n" + line),
+            (5, "WARC/1.1"), (6, line + "\r\n" + line), (7, "z" * 65534 + "\r\n" + line)]
+    path = scratch_path(spark, "warc-test")
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, html string"), path, uri=None)
+    assert as_rows(warc.page_records(spark, path), *FIELDS) == slow_records(rows)
+
+
 def test_warc_query_over_many_splits(spark):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
