@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from latentgrid.session import scratch_path
+from latentgrid.session import remove_path, scratch_path
 
 #: Bytes of text that one numpy pass works on; a longer text is a pass of its own.
 PASS_BYTES = 1 << 18
@@ -39,7 +39,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``written`` made, once nothing reads them any more."""
+    for df in tables:
+        if path := getattr(df, "scratch", None):
+            remove_path(df.sparkSession, path)
 
 
 def flat(column) -> tuple[np.ndarray, np.ndarray]:

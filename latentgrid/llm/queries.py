@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latentgrid.llm import bpe, decontam, embeddings, langid, pii, quality, secrets, simhash, tokencount, warc
+from latentgrid.llm import bpe, decontam, embeddings, langid, pii, quality, secrets, simhash, spelling, tokencount, warc
 from latentgrid.llm.common import table
 from latentgrid.session import scratch_path
 
 
+#: Code points of the words whose spellings are grouped.
+LEAST_WORD = 7
 #: Folder of the public vocabulary files; the driver reads them.
 TOKENIZERS = "/opt/tokenizers"
 
@@ -96,6 +98,16 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, some occurrences with a letter left out, and the frequent spelling that each is near to."""
+    runs = spelling.letter_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), least=LEAST_WORD)
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")).cast("binary"))
+    runs = runs.select("run", h.alias("h"))
+    word = F.expr("if(h % 31 = 0, concat(substring(run, 1, int(h % length(run))), substring(run, int(h % length(run)) + 2)), run)")
+    words = runs.select(word.alias("word")).where(F.length("word") >= LEAST_WORD)
+    return spelling.variants(words.groupBy("word").agg(F.count("*").alias("n")).where("n >= 2"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -106,6 +118,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op1_simhash": op1_simhash, "op2_pii": op2_pii, "op3_warc": op3_warc, "op4_bpe": op4_bpe,
            "op5_decontamination": op5_decontamination, "op6_quality": op6_quality, "op7_token_counts": op7_token_counts,
            "op8_langid": op8_langid, "op9_secrets": op9_secrets,
-           "op10_embeddings": op10_embeddings, "pipeline": pipeline}
+           "op10_embeddings": op10_embeddings, "op11_spelling": op11_spelling, "pipeline": pipeline}
 
 ORACLES: dict[str, str] = {}
