@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latentgrid.llm import bpe, decontam, embeddings, langid, pii, quality, secrets, simhash, spelling, tokencount, warc
+from latentgrid.llm import bpe, chunkbpe, decontam, embeddings, langid, pii, quality, secrets, simhash, spelling, tokencount, warc
 from latentgrid.llm.common import table
 from latentgrid.session import scratch_path
 
@@ -108,6 +109,16 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(words.groupBy("word").agg(F.count("*").alias("n")).where("n >= 2"))
 
 
+def op12_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by a rank file in overlapping chunks, and decoded to bytes."""
+    codec = chunkbpe.Codec(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    coded = codec.encode(table(spark, sf_dir, "documents"))
+    return coded.select(
+        "doc_id", F.expr("cast(octet_length(ids) DIV 4 AS bigint)").alias("n_tokens"),
+        F.sha2(codec.decimal("ids").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(codec.decode("ids"), 256).alias("decoded_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -118,6 +129,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op1_simhash": op1_simhash, "op2_pii": op2_pii, "op3_warc": op3_warc, "op4_bpe": op4_bpe,
            "op5_decontamination": op5_decontamination, "op6_quality": op6_quality, "op7_token_counts": op7_token_counts,
            "op8_langid": op8_langid, "op9_secrets": op9_secrets,
-           "op10_embeddings": op10_embeddings, "op11_spelling": op11_spelling, "pipeline": pipeline}
+           "op10_embeddings": op10_embeddings, "op11_spelling": op11_spelling,
+           "op12_bytes": op12_bytes, "pipeline": pipeline}
 
 ORACLES: dict[str, str] = {}
