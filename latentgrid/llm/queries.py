@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latentgrid.llm import bpe, chunkbpe, decontam, embeddings, langid, pii, quality, secrets, simhash, spelling, tokencount, warc
+from latentgrid.llm import bpe, chunkbpe, decontam, embeddings, langid, periodic, pii, quality, secrets, simhash, spelling, tokencount, warc
 from latentgrid.llm.common import table
 from latentgrid.session import scratch_path
 
@@ -119,6 +119,37 @@ def op12_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(codec.decode("ids"), 256).alias("decoded_sha256"))
 
 
+def repeated(docs: DataFrame) -> DataFrame:
+    """Texts of a tenth of the documents with words that repeat the first ones after a place, both chosen by the id's CRC-32."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeat(words):
+        n = F.size(words)
+        a = g % n
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+        again = F.transform(F.sequence(F.lit(0), n - 1), lambda i: words[F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")])
+        return F.when(n == 0, F.lit("")).otherwise(F.array_join(again, " "))
+
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    text = F.when(h % 10 == 0, F.transform(F.array(words), repeat)[0]).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, some of which are made to repeat."""
+    found = periodic.find_runs(repeated(table(spark, sf_dir, "documents")))
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r.length).alias("less"), r.start.alias("start"), r.period.alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period)), "\n")
+    every = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(F.lit(""))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.col("best.start").alias("start"),
+        (-F.col("best.less")).alias("length"), F.col("best.period").alias("period"),
+        F.expr("(-best.less * 1000) DIV best.period").alias("exponent_milli"),
+        F.sha2(every.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -130,6 +161,6 @@ QUERIES = {"op1_simhash": op1_simhash, "op2_pii": op2_pii, "op3_warc": op3_warc,
            "op5_decontamination": op5_decontamination, "op6_quality": op6_quality, "op7_token_counts": op7_token_counts,
            "op8_langid": op8_langid, "op9_secrets": op9_secrets,
            "op10_embeddings": op10_embeddings, "op11_spelling": op11_spelling,
-           "op12_bytes": op12_bytes, "pipeline": pipeline}
+           "op12_bytes": op12_bytes, "op13_runs": op13_runs, "pipeline": pipeline}
 
 ORACLES: dict[str, str] = {}
