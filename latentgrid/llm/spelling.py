@@ -69,9 +69,10 @@ def _prefixes(strings: DataFrame) -> DataFrame:
 
 
 def _edges(strings: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """``(parent, label, child, words, ends)``: the tries' edges, with the number of words below and the word that ends there.
+    """``(parent, label, first, last, size, child, words, ends, follow)``: the tries' edges.
 
-    Kept nodes: the middle of a word, its end, and those that more than one code point follows.
+    ``words`` is the number of words below, ``ends`` the word that ends there, ``follow`` the code points that the labels
+    after this one begin with. Kept nodes: the middle of a word, its end, and those that more than one code point follows.
     """
     branching = (prefixes.groupBy("node").agg(F.min("next").alias("low"), F.max("next").alias("high"))
                  .where("low != high").select("node"))
@@ -85,9 +86,17 @@ def _edges(strings: DataFrame, prefixes: DataFrame) -> DataFrame:
         "wid", "s", "path", F.explode(F.expr("sequence(0, size(path) - 2)")).alias("k"))
     here, after = F.col("path")[F.col("k")], F.col("path")[F.col("k") + 1]
     leaf = F.col("k") == F.size("path") - 2
-    return (steps.select(here.node.alias("parent"), F.substring(F.col("s"), here.pos + 1, after.pos - here.pos).alias("label"),
-                         after.node.alias("child"), F.when(leaf, F.col("wid")).alias("end"))
-            .groupBy("parent", "label", "child").agg(F.count("*").alias("words"), F.collect_set("end").alias("ends")))
+    edges = written(steps.select(
+        here.node.alias("parent"), F.substring(F.col("s"), here.pos + 1, after.pos - here.pos).alias("label"),
+        after.node.alias("child"), F.when(leaf, F.col("wid")).alias("end"))
+        .groupBy("parent", "label", "child").agg(F.count("*").alias("words"), F.collect_set("end").alias("ends")), "labels")
+    first = F.substring("label", 1, 1)
+    follow = edges.groupBy(F.col("parent").alias("child")).agg(F.array_join(F.collect_set(first), "").alias("follow"))
+    out = written(edges.join(follow, "child", "left").select(
+        "parent", "label", first.alias("first"), F.substring("label", -1, 1).alias("last"), F.length("label").alias("size"),
+        "child", "words", "ends", F.coalesce("follow", F.lit("")).alias("follow")), "edges")
+    discard(edges)
+    return out
 
 
 def _starts(strings: DataFrame) -> DataFrame:
@@ -115,17 +124,27 @@ def _starts(strings: DataFrame) -> DataFrame:
 
 
 def _advance(states: DataFrame, edges: DataFrame) -> DataFrame:
-    """States after one edge: the label as it is, or with the one edit in it."""
-    size = F.length("label")
-    far = size + F.col("shorter").cast("int")
-    part = F.expr("substring(rest, 1, length(label) + cast(shorter AS int))")
-    same = F.col("rest").startswith(F.col("label")) & ((F.col("edits") == 1) | F.col("shorter") | (F.col("words") > 1))
+    """States after one edge: the label as it is, or with the one edit in it. States that no later label can follow are left out."""
+
+    def goes(at):
+        return F.instr(F.col("follow"), F.substring(F.col("rest"), at + 1, F.lit(1))) > 0
+
+    def ahead(used):  # the word ends with this label, or one of the next begins as it goes on
+        return (F.col("follow") == "") | goes(used)
+
+    far = F.col("size") + F.col("shorter").cast("int")
+    part = F.expr("substring(rest, 1, size + cast(shorter AS int))")
+    same = F.col("rest").startswith(F.col("label")) & F.when(F.col("edits") == 1, ahead(F.col("size"))).otherwise(
+        F.when(F.col("shorter"), goes(F.col("size")) | goes(F.col("size") + 1)).otherwise(F.col("words") > 1))
+    # strings one edit apart share their first or their last code point, but for single ones
+    close = (part.startswith(F.col("first")) | part.endswith(F.col("last")) | (far == 1)) & (
+        (far == 1) | (F.levenshtein(part, F.col("label"), 1) == 1))
     # of two words of equal length the one with the larger code point at the edit finds the pair
-    edit = ((F.col("edits") == 0) & (F.length(part) == far) & (F.col("shorter") | (F.col("label") < part))
-            & (F.levenshtein(part, F.col("label"), 1) == 1))
-    step = F.filter(F.array(F.struct(F.col("edits").alias("edits"), size.alias("used"), same.alias("ok")),
+    edit = ((F.col("edits") == 0) & (F.length("rest") >= far) & (F.col("shorter") | (F.col("label") < part)) & close & ahead(far))
+    step = F.filter(F.array(F.struct(F.col("edits").alias("edits"), F.col("size").alias("used"), same.alias("ok")),
                             F.struct(F.lit(1).alias("edits"), far.alias("used"), edit.alias("ok"))), lambda x: x.ok)
-    moved = states.join(edges, states.node == edges.parent).select(
+    # the edges of a node are few, so the hash of a partition of them is the smaller side
+    moved = states.join(edges.hint("shuffle_hash"), states.node == edges.parent).select(
         "wid", F.col("child").alias("node"), "rest", "shorter", "ends", F.explode(step).alias("step"))
     return moved.select("wid", "node", F.expr("substring(rest, step.used + 1)").alias("rest"), "shorter",
                         F.col("step.edits").alias("edits"), "ends")
@@ -140,7 +159,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     strings = written(words.select("wid", F.lit(False).alias("back"), F.col("word").alias("s"))
                       .union(words.select("wid", F.lit(True), F.reverse("word"))), "strings")
     prefixes = written(_prefixes(strings), "prefixes")
-    edges = written(_edges(strings, prefixes), "edges")
+    edges = _edges(strings, prefixes)
     table = frontier = written(_starts(strings), "states")
     discard(strings, prefixes)
     found = []
