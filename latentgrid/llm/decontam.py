@@ -449,14 +449,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
     the smallest id stands for all; for templates, of items with the same whole template and the same slots equal,
     which no filling tells apart. ``n_windows`` counts a position once, ``slots`` adds the most
     slots along one alignment of each item. Texts without words (null, empty) match nothing; rows with the same id (or
-    null) are matched each by itself, equal ones once, and reported as one; no benchmark means no rows.
+    null) are matched each by itself, equal ones once, and reported as one; no benchmark means no rows. Items
+    without an id match like others, but have no place in ``item_ids``, which may be empty for that.
     Texts aren't shuffled, only the windows that pass the filter.
     """
-    every = written(item_windows(benchmark, item, item_text, window).where("id IS NOT NULL"), "items")
+    named, unnamed = benchmark.where(F.col(item).isNotNull()), benchmark.where(F.col(item).isNull())
+    by_text = unnamed.select(F.xxhash64(item_text).alias(item), F.col(item_text)).distinct()
+    every = written(item_windows(named, item, item_text, window).withColumn("unnamed", F.lit(False))
+                    .union(item_windows(by_text, item, item_text, window).withColumn("unnamed", F.lit(True))), "items")
     index = written(
         every.groupBy("kind", "hash", "class", F.when(F.col("kind") > PLAIN, F.col("at")).alias("place_at"))
-        .agg(F.min(F.struct("id", "at", "width", "head", "label", "own")).alias("w"))
-        .select("kind", "hash", "class", F.col("w.id").alias("item"), "w.at", "w.width", "w.head", "w.label", "w.own"), "index")
+        .agg(F.min(F.struct("unnamed", "id", "at", "width", "head", "label", "own")).alias("w"))
+        .select("kind", "hash", "class", "w.unnamed", F.col("w.id").alias("item"), "w.at", "w.width", "w.head", "w.label", "w.own"),
+        "index")
     plain, short, widest = index.agg(
         F.collect_set(F.when(F.col("kind") == PLAIN, F.col("width"))),
         F.collect_set(F.when(F.col("head").isNotNull(), F.col("width"))),
@@ -468,7 +473,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
         top = (h >> np.uint64(64 - FILTER)).astype(np.int64)
         return (bits.value[top >> 3] >> (7 - (top & 7)).astype(np.uint8)) & 1 == 1
 
-    one = ["row", "item", "kind", "class", "shift"]
+    one = ["row", "unnamed", "item", "kind", "class", "shift"]
     hits = (doc_windows(docs, id, text, shape, keep).join(index, ["kind", "hash"])
             .where(F.size("value") == F.size("label")).where((F.col("kind") == PLAIN) | (F.col("value") != F.col("own")))
             .withColumn("shift", F.col("place") - F.col("at")).select("id", *one, "pos", "label", "value"))
@@ -479,12 +484,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
              .groupBy(*one).agg(F.count("*").alias("slots"), F.count_if(F.expr("low != high")).alias("odd"))
              .where("odd = 0"))
     matched = written(
-        filled.join(slots, one).select("id", "row", "item", "pos", "slots", F.lit(0).alias("literal"))
-        .union(hits.where(F.col("kind") == PLAIN).select("id", "row", "item", "pos", F.lit(0), F.lit(1))), "matched")
+        filled.join(slots, one).select("id", "row", "unnamed", "item", "pos", "slots", F.lit(0).alias("literal"))
+        .union(hits.where(F.col("kind") == PLAIN).select("id", "row", "unnamed", "item", "pos", F.lit(0), F.lit(1))), "matched")
     windows = (matched.groupBy("id", "row", "pos").agg(F.max("literal").alias("literal"))
                .select("id", F.lit(None).cast("bigint").alias("item"), F.lit(1).alias("n"), "literal", F.lit(0).alias("slots")))
-    items = (matched.groupBy("id", "row", "item").agg(F.max("slots").alias("slots"))
-             .select("id", "item", F.lit(0), F.lit(0), "slots"))
+    items = (matched.groupBy("id", "row", "unnamed", "item").agg(F.max("slots").alias("slots"))
+             .select("id", F.when(~F.col("unnamed"), F.col("item")), F.lit(0), F.lit(0), "slots"))
     return windows.union(items).groupBy(F.col("id").alias("doc_id")).agg(
         F.sort_array(F.collect_set("item")).alias("item_ids"), F.sum("n").alias("n_windows"),
         F.sum("literal").alias("n_literal"), F.sum("slots").alias("slots"))

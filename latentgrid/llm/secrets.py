@@ -8,6 +8,7 @@ the query, and only the texts left are searched. Rules without mandatory trigram
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 from dataclasses import dataclass
 from re import _constants as C
@@ -141,22 +142,17 @@ def matches(rule: Rule, text: str) -> list[tuple[int, int]]:
     return [m.span() for m in rule.compiled.finditer(text) if m.end(rule.group) - m.start(rule.group) >= rule.least]
 
 
-def find_secrets(df: DataFrame, text: str = "text", to: str = "secrets", rules: tuple[Rule, ...] = BASE + EXTRA) -> DataFrame:
-    """Add ``to``: ``array<struct<kind, start, end>>`` by start and then rule; code points, ends exclusive.
+SPANS = "array<struct<kind: string, start: int, end: int>>"
 
-    Whole texts, map-only. A null text counts as empty and gives an empty array; repeated rows give
-    repeated results; other columns stay. A column ``to`` must not exist.
-    """
-    if to in df.columns:
-        raise ValueError(f"column {to} exists")
-    bounded_batches(df.sparkSession)
+
+def _finder(rules: tuple[Rule, ...]):
+    """Function of an Arrow column of texts: rows (text number, start, rule number, end) by text, start and rule."""
     queries = [trigram_query(r.pattern) for r in rules]
     names = tuple(sorted(set().union(*map(trigrams_of, queries))))
     if len(names) > 254:
         raise ValueError("the rules need more than 254 trigrams")
 
-    @F.arrow_udf("array<struct<kind: string, start: int, end: int>>")
-    def find(column: pa.Array) -> pa.Array:
+    def find(column: pa.Array) -> list[tuple[int, int, int, int]]:
         data, at = flat(column)
         found: list[tuple[int, int, int, int]] = []
         for i, j in passes(at, PASS_BYTES):
@@ -170,20 +166,67 @@ def find_secrets(df: DataFrame, text: str = "text", to: str = "secrets", rules:
                         body = held[t] = own[ends[t]:ends[t + 1]].tobytes().decode("utf-8", "replace")
                     found += [(i + t, a, k, b) for a, b in matches(rule, body)]
         found.sort()
-        count = np.bincount([f[0] for f in found], minlength=len(at) - 1) if found else np.zeros(len(at) - 1, int)
-        values = pa.StructArray.from_arrays(
-            [pa.array([rules[f[2]].name for f in found], pa.string()), pa.array([f[1] for f in found], pa.int32()),
-             pa.array([f[3] for f in found], pa.int32())], ["kind", "start", "end"])
-        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(count)).astype(np.int32)), values)
+        return found
+
+    return find
+
+
+def _lists(found: list[tuple[int, int, int, int]], rules: tuple[Rule, ...], n: int) -> pa.Array:
+    count = np.bincount([f[0] for f in found], minlength=n) if found else np.zeros(n, int)
+    values = pa.StructArray.from_arrays(
+        [pa.array([rules[f[2]].name for f in found], pa.string()), pa.array([f[1] for f in found], pa.int32()),
+         pa.array([f[3] for f in found], pa.int32())], ["kind", "start", "end"])
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(count)).astype(np.int32)), values)
+
+
+def find_secrets(df: DataFrame, text: str = "text", to: str = "secrets", rules: tuple[Rule, ...] = BASE + EXTRA) -> DataFrame:
+    """Add ``to``: ``array<struct<kind, start, end>>`` by start and then rule; code points, ends exclusive.
+
+    Whole texts, map-only. A null text counts as empty and gives an empty array; repeated rows give
+    repeated results; other columns stay. A column ``to`` must not exist.
+    """
+    if to in df.columns:
+        raise ValueError(f"column {to} exists")
+    bounded_batches(df.sparkSession)
+    search = _finder(rules)
+
+    @F.arrow_udf(SPANS)
+    def find(column: pa.Array) -> pa.Array:
+        return _lists(search(column), rules, len(column))
 
     return df.withColumn(to, find(F.col(text)))
 
 
-def masked(text: str, spans: str) -> F.Column:
-    """The text with each span replaced by its kind in brackets; a span that overlaps an earlier one only widens it."""
-    return F.expr(f"""CASE WHEN size({spans}) = 0 THEN `{text}` ELSE aggregate({spans},
-        named_struct('at', 0, 'out', ''),
-        (acc, s) -> CASE WHEN s.start < acc.at THEN named_struct('at', greatest(acc.at, s.end), 'out', acc.out)
-            ELSE named_struct('at', s.end, 'out', concat(
-                acc.out, substring(`{text}`, acc.at + 1, s.start - acc.at), '[', s.kind, ']')) END,
-        acc -> concat(acc.out, substring(`{text}`, acc.at + 1))) END""")
+def covered(text: str, spans: list[tuple[int, int, str]]) -> str:
+    """``text`` with each span (start, end, kind) replaced by its kind in brackets; one that overlaps an earlier one only widens it."""
+    out, at = [], 0
+    for start, end, kind in spans:
+        if start < at:
+            at = max(at, end)
+        else:
+            out += [text[at:start], f"[{kind}]"]
+            at = end
+    return "".join([*out, text[at:]])
+
+
+def mask_secrets(df: DataFrame, text: str = "text", to: str = "secrets", rules: tuple[Rule, ...] = BASE + EXTRA) -> DataFrame:
+    """``find_secrets`` with the spans (which refer to the text as it was) replaced by their kinds in ``text``.
+
+    The text is put together where its spans are found, in time linear in both; a text without secrets stays as it is.
+    """
+    if to in df.columns:
+        raise ValueError(f"column {to} exists")
+    bounded_batches(df.sparkSession)
+    search = _finder(rules)
+
+    @F.arrow_udf(f"struct<spans: {SPANS}, text: string>")
+    def find(column: pa.Array) -> pa.Array:
+        found = search(column)
+        masked: list[str | None] = [None] * len(column)
+        for t, rows in itertools.groupby(found, lambda f: f[0]):
+            masked[t] = covered(column[t].as_py(), [(a, b, rules[k].name) for _, a, k, b in rows])
+        return pa.StructArray.from_arrays([_lists(found, rules, len(column)), pa.array(masked, pa.string())], ["spans", "text"])
+
+    # not deterministic, for the planner: else it puts a copy of the search under each use
+    both = df.withColumn("__found", find.asNondeterministic()(F.col(text)))
+    return both.withColumns({to: F.col("__found.spans"), text: F.coalesce("__found.text", text)}).drop("__found")

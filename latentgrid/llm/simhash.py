@@ -156,9 +156,11 @@ def links(prints: DataFrame, distance: int = 4, subset: int = 3) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4,
-                    distance: int = 4) -> DataFrame:
+                    distance: int = 4, class_to: str | None = None) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` for each row of ``df``.
 
+    ``class_to`` names a further column with a key of the row's class, which tells classes of one id apart.
+
     ``fingerprint`` has 16 hex digits. ``component_id`` is the smallest id reachable over
     fingerprints that differ in at most ``distance`` bits, the row's own included. Texts without
     a word (null, empty, white space) have fingerprint zero and are linked like any other;
@@ -172,6 +174,7 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", shing
     classes = (prints.join(roots, prints.fingerprint == roots.node, "left")
                .select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")))
     named = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = classes.join(named, "root").select("fingerprint", "component_id")
+    named = classes.join(named, "root").select("fingerprint", "component_id", "root")
     return own.join(named, "fingerprint").select(
-        "doc_id", hex_digits("fingerprint").alias("fingerprint"), "component_id")
+        "doc_id", hex_digits("fingerprint").alias("fingerprint"), "component_id",
+        *([F.col("root").alias(class_to)] if class_to else []))

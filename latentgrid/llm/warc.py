@@ -217,11 +217,13 @@ def payload_digests(records: DataFrame) -> DataFrame:
 
 def page_records(spark: SparkSession, path: str) -> DataFrame:
     """``(record, payload_bytes, payload_digest, record_type, refers_to)`` of each record of an archive,
-    revisits with the size and digest of the payload that they refer to."""
+    revisits with the size and digest of the payload that they refer to.
+
+    Rows that share an id are records of their own; a revisit means the one with its id and its declared digest."""
     records = read_warc(spark, path)
     own = written(payload_digests(records), "payloads")
-    again = records.where("type = 'revisit'").select("record", "refers_to").alias("r")
-    there = own.dropDuplicates(["record"]).alias("o")
+    again = records.where("type = 'revisit'").select("record", "refers_to", "declared").alias("r")
+    there = own.dropDuplicates(["record", "payload_digest"]).alias("o")
     return own.select("*", F.lit("response").alias("record_type"), F.lit(None).cast("bigint").alias("refers_to")).union(
-        again.join(there, F.expr("r.refers_to = o.record"), "left")
+        again.join(there, F.expr("r.refers_to = o.record AND r.declared = o.payload_digest"), "left")
         .select("r.record", "payload_bytes", "payload_digest", F.lit("revisit"), "r.refers_to"))

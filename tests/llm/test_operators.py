@@ -157,6 +157,15 @@ def test_warc_round_trip(spark):
     assert warc.page_records(spark, empty).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 2, 5])
+def test_warc_ids_that_repeat_with_other_payloads(spark, parts):
+    long = "y" * 70_000
+    rows = [(5, "AAAA"), (5, "BB"), (3, "AAAA"), (4, "BB"), (9, long), (9, long + "z"), (2, long), (1, long + "z")]
+    path = scratch_path(spark, "warc-test")
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, html string").repartition(parts), path, uri=None)
+    assert as_rows(warc.page_records(spark, path), *FIELDS) == slow_records(rows)
+
+
 def test_warc_chunks_that_begin_with_a_start_line(spark):
     line = "WARC/1.1\r\n"
     rows = [(1, line), (2, "\r\n" + line + "x"), (3, "z" * 65536 + line + "x"), (4, "z" * 65536 + "\r\n" + line),
@@ -279,6 +288,15 @@ def test_templates_and_slots(spark, docs):
     assert decontam.contaminated(df.limit(0), items).count() == 0
 
 
+def test_items_without_an_id(spark, docs):
+    items = spark.createDataFrame([(None, "one two three four five"), (None, "six seven eight nine ten"), (4, "one two three four five"),
+                                   (None, "Today Tom has 12 apples and 7 pears, so he ate 12 apples")], "item_id long, text string")
+    rows = [(1, "say one two three four five now"), (2, "six seven eight nine ten"), (3, "Today Bob has 30 apples and 9 pears, so he ate 30 apples"),
+            (4, "six seven nine ten"), (5, "Today Bob has 30 apples and 9 pears, so he ate 31 apples")]
+    got = {r.doc_id: r.item_ids for r in decontam.contaminated(docs(rows), items).collect()}
+    assert got == {1: [4], 2: [], 3: []}
+
+
 def test_rows_of_one_id_keep_their_slots_apart(spark, docs):
     items = spark.createDataFrame([(1, "Today Tom has 12 apples and 7 pears, so he ate 12 apples")], "item_id long, text string")
     texts = [f"Today Bob has {n} apples and 9 pears, so he ate {n} apples" for n in (30, 31, 30)]
