@@ -6,7 +6,7 @@ reads it again as the next one's documents.
 
 Rows with a null id go through every stage like others (they are never taken for the same document). Null
 and empty texts are rejected by the first stage, as they have no language. Repeated rows are copies, of which the
-second stage keeps one. Extra columns are dropped, empty tables give empty results.
+second stage keeps one; rows that share an id with other texts are judged each by itself. Extra columns are dropped, empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -30,28 +30,36 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each class of near duplicates, each repeated row once."""
+    """Keep one document of each class of near duplicates: the one with the smallest id, of rows with that id the smallest text.
+
+    A row is judged by its own id and fingerprint: another row with an id that is kept goes if its class has a smaller one.
+    """
     docs = docs.select(COLUMNS)
-    classes = simhash.near_duplicates(docs, shingle=4, distance=4)
-    kept = written(classes.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("times")), "kept")
+    classes = written(simhash.near_duplicates(docs, shingle=4, distance=4, class_to="class"), "classes")
+    first = F.col("doc_id") == F.col("component_id")
+    kept = written(classes.where("doc_id IS NOT NULL").groupBy("doc_id")
+                   .agg(F.count("*").alias("rows"), F.count_if(first).alias("firsts")).where("firsts > 0"), "kept")
     # the ids are the small side at any size; hashed, they need no sorted texts
     named = docs.where("doc_id IS NOT NULL").join(kept.hint("shuffle_hash"), "doc_id")
-    first = named.where("times = 1").select(COLUMNS)
-    if not kept.where("times > 1").isEmpty():
-        first = first.union(named.where("times > 1").select(COLUMNS).distinct())
-    # without an id a row can't stand for a class that has one; such texts stay if no class has them
-    alone = classes.where("doc_id IS NULL AND component_id IS NULL").select("fingerprint").distinct()
-    unnamed = simhash.with_fingerprint(docs.where("doc_id IS NULL"), "text", 4, "fingerprint").withColumn(
-        "fingerprint", simhash.hex_digits("fingerprint"))
-    unnamed = unnamed.join(alone, "fingerprint", "left_semi").dropDuplicates(["fingerprint"])
-    return first.union(unnamed.select(COLUMNS))
+    out = named.where("rows = 1").select(COLUMNS)
+    # ids that repeat, and rows without one, which stand for a class only if it has no id
+    repeated = not kept.where("rows > 1").isEmpty()
+    unnamed = not classes.where("doc_id IS NULL").isEmpty()
+    if repeated or unnamed:
+        open_ = named.where("rows > 1").select(COLUMNS).union(docs.where("doc_id IS NULL"))
+        own = simhash.with_fingerprint(open_, "text", 4, "fingerprint").withColumn("fingerprint", simhash.hex_digits("fingerprint"))
+        stay = (classes.where(first | (F.col("doc_id").isNull() & F.col("component_id").isNull()))
+                .select(F.col("doc_id").alias("id"), F.col("fingerprint").alias("print"), "class").distinct())
+        own = own.join(stay, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("fingerprint") == F.col("print")))
+        one = own.groupBy("doc_id", "class").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("row"))
+        out = out.union(one.select("doc_id", "row.*"))
+    return out
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a passage of a benchmark item."""
+    """Drop documents that hold a passage of a benchmark item; a row is judged by its own text, whatever others share its id."""
     docs = docs.select(COLUMNS)
-    # rows without an id are looked up by their text
-    key = F.coalesce(F.col("doc_id"), F.xxhash64("text"))
+    key = F.xxhash64("doc_id", "text")
     leaked = written(decontam.contaminated(docs.withColumn("doc_id", key), table(spark, sf_dir, "benchmark"))
                      .select(F.col("doc_id").alias("leaked")), "leaked")
     return docs.join(leaked, key == F.col("leaked"), "left_anti").select(COLUMNS)
@@ -59,9 +67,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace each secret by its kind in brackets; all documents stay."""
-    found = secrets.find_secrets(docs.select(COLUMNS))
-    text = secrets.masked("text", "secrets")
-    return found.withColumn("text", text).withColumn(
+    found = secrets.mask_secrets(docs.select(COLUMNS))
+    return found.withColumn(
         "n_chars", F.when(F.size("secrets") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(COLUMNS)
 
 
