@@ -3,9 +3,11 @@ finding the shared scratch folder that training writes its step tables to."""
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -63,6 +65,51 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SHIPPED = "spark.latentgrid.shipped"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, once per application, as a zip in the shared scratch folder.
+
+    Workers start in folders of their own, where the repository need not be on the path.
+    """
+    sc = spark.sparkContext
+    if sc.getLocalProperty(_SHIPPED):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    body = io.BytesIO()
+    with zipfile.ZipFile(body, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in sorted(os.walk(here)):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    path = scratch_path(spark, "package") + ".zip"
+    write_bytes(spark, path, body.getvalue())
+    sc.addPyFile(path)
+    sc.setLocalProperty(_SHIPPED, path)
+
+
+def write_bytes(spark: SparkSession, path: str, body: bytes) -> None:
+    """Write a small file, whole or not at all: under another name first, then renamed."""
+    fs, p = _fs_and_path(spark, path)
+    part = p.suffix(".part")
+    out = fs.create(part, True)
+    try:
+        out.write(body)
+    finally:
+        out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(part, p):
+        raise OSError(f"can't write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file that ``write_bytes`` wrote."""
+    return "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
+
+
 def _fs_and_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
