@@ -27,9 +27,11 @@ def letter_runs(df: DataFrame, text: str = "text", least: int = 7, to: str = "ru
 
     Null and empty texts give none; repeated rows count again; the other columns are kept.
     """
-    found = F.regexp_extract_all(F.translate(F.col(text), UPPER, LOWER), F.lit(f"([{LETTERS}]{{{least},}})"))
+    found = F.regexp_extract_all(F.col(text), F.lit(f"([{LETTERS}]{{{least},}})"))
     keep = [c for c in df.columns if c not in (text, to)]
-    return df.select(*keep, F.explode(found).alias(to))
+    plain = F.octet_length(to) == F.length(to)
+    low = F.when(plain, F.lower(to)).otherwise(F.translate(to, UPPER, LOWER))
+    return df.select(*keep, F.explode(found).alias(to)).withColumn(to, low)
 
 
 def _nodes(chars: np.ndarray, start: np.ndarray, pos: np.ndarray, size: np.ndarray, back: np.ndarray) -> np.ndarray:
@@ -143,8 +145,8 @@ def _advance(states: DataFrame, edges: DataFrame) -> DataFrame:
     edit = ((F.col("edits") == 0) & (F.length("rest") >= far) & (F.col("shorter") | (F.col("label") < part)) & close & ahead(far))
     step = F.filter(F.array(F.struct(F.col("edits").alias("edits"), F.col("size").alias("used"), same.alias("ok")),
                             F.struct(F.lit(1).alias("edits"), far.alias("used"), edit.alias("ok"))), lambda x: x.ok)
-    # the edges of a node are few, so the hash of a partition of them is the smaller side
-    moved = states.join(edges.hint("shuffle_hash"), states.node == edges.parent).select(
+    # the edges of a node are few, so the hash of a partition of them is the smaller side; most pairs end in the join's condition
+    moved = states.join(edges.hint("shuffle_hash"), (states.node == edges.parent) & (same | edit)).select(
         "wid", F.col("child").alias("node"), "rest", "shorter", "ends", F.explode(step).alias("step"))
     return moved.select("wid", "node", F.expr("substring(rest, step.used + 1)").alias("rest"), "shorter",
                         F.col("step.edits").alias("edits"), "ends")
