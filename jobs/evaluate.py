@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from latentgrid.operators.evaluate import evaluate  # noqa: E402
+from latentgrid.operators.evaluate import evaluate, require_factors  # noqa: E402
 from latentgrid.sources.factors import load_factors, read_factors  # noqa: E402
 from latentgrid.sources.ratings import read_ratings  # noqa: E402
 
@@ -39,6 +39,8 @@ def main(argv=None) -> None:
         w, h, data = args.paths
         factors = read_factors(spark, w, "W").unionByName(read_factors(spark, h, "H"))
     ratings = read_ratings(spark, data, sep=args.sep, mode=args.mode, header=args.header)
+    if args.on_missing == "error":
+        require_factors(ratings, factors)
     e = evaluate(ratings, factors, on_missing=args.on_missing).first()
     rmse = float("nan") if e["rmse"] is None else e["rmse"]
     print("Calculated_RMSE=%f" % rmse)

@@ -3,9 +3,11 @@
 spark-submit --py-files latentgrid.zip jobs/train.py --ratings R --rank 30 --out-w W --out-h H
     [--blocks 8] [--epochs 10] [--eta 0.001] [--decay 0.99] [--seed 1]
     [--schedule diagonal|row_major] [--eval-every 0] [--sep ,] [--mode strict]
-    [--out PATH] [--dtype double|float] [--init PATH] [--ids grid|seen]
+    [--out PATH] [--dtype double|float] [--init PATH | --init-w W --init-h H] [--init-method hash|stream]
+    [--ids grid|seen] [--run FOLDER]
+spark-submit jobs/train.py --resume FOLDER --out-w W --out-h H
 
-Output paths are checked before training starts.
+Output paths are checked before training starts. Evaluated epochs are printed as they end.
 """
 
 from __future__ import annotations
@@ -19,17 +21,18 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from latentgrid.plans.train import fit  # noqa: E402
+from latentgrid.operators.grid import compute_grid  # noqa: E402
+from latentgrid.plans.train import fit, resume  # noqa: E402
 from latentgrid.session import ensure_checkpoint_dir, path_exists  # noqa: E402
-from latentgrid.sources.factors import (load_factors, write_factors,  # noqa: E402
-                                        write_factors_text)
+from latentgrid.sources.factors import (load_factors, read_factors, with_blocks,  # noqa: E402
+                                        write_factors, write_factors_text)
 from latentgrid.sources.ratings import read_ratings  # noqa: E402
 
 
 def parse_args(argv=None):
     a = argparse.ArgumentParser(description="fit W and H by blocked SGD")
-    a.add_argument("--ratings", required=True)
-    a.add_argument("--rank", type=int, required=True)
+    a.add_argument("--ratings")
+    a.add_argument("--rank", type=int)
     a.add_argument("--out-w")
     a.add_argument("--out-h")
     a.add_argument("--out", help="native Parquet output (partitioned by side)")
@@ -45,10 +48,39 @@ def parse_args(argv=None):
     a.add_argument("--mode", choices=["strict", "drop"], default="strict")
     a.add_argument("--dtype", choices=["double", "float"], default="double")
     a.add_argument("--init", help="warm start from native factors")
+    a.add_argument("--init-w", help="warm start from factor text (with --init-h)")
+    a.add_argument("--init-h")
+    a.add_argument("--init-method", choices=["hash", "stream"], default="hash")
+    a.add_argument("--run", help="folder of the run, kept when it stops before its end")
+    a.add_argument("--resume", help="continue the run in this folder (--ratings and --rank aren't needed)")
     a.add_argument("--text-files", type=int, default=None)
     a.add_argument("--ids", choices=["grid", "seen"], default="grid",
                    help="factor rows for every id of the grid, or only for ids in the ratings")
-    return a.parse_args(argv)
+    args = a.parse_args(argv)
+    if not args.resume and (args.ratings is None or args.rank is None):
+        a.error("--ratings and --rank are required, but for --resume")
+    if bool(args.init_w) != bool(args.init_h):
+        a.error("--init-w and --init-h go together")
+    return args
+
+
+def report(row: dict) -> None:
+    """One line per evaluated epoch, as it ends."""
+    print(row["epoch"], round(row["seconds"], 3), row["squared_error"], row["rmse"], flush=True)
+
+
+def _train(spark, args):
+    ratings = read_ratings(spark, args.ratings, sep=args.sep, mode=args.mode, header=args.header)
+    init = None
+    if args.init:
+        init = load_factors(spark, args.init)
+    elif args.init_w:
+        text = read_factors(spark, args.init_w, "W").unionByName(read_factors(spark, args.init_h, "H"))
+        grid = compute_grid(ratings, args.blocks)
+        init = with_blocks(text, grid.x_dim, grid.y_dim)
+    return fit(ratings, args.rank, blocks=args.blocks, epochs=args.epochs, eta=args.eta,
+               decay=args.decay, seed=args.seed, schedule=args.schedule, dtype=args.dtype,
+               init=init, init_method=args.init_method, eval_every=args.eval_every, ids=args.ids, path=args.run, on_epoch=report)
 
 
 def main(argv=None) -> None:
@@ -64,14 +96,7 @@ def main(argv=None) -> None:
     if args.ids == "seen" and (args.out_w or args.out_h):
         raise SystemExit("text output numbers rows by line and needs every id; "
                          "use --out (Parquet) with --ids seen")
-    ratings = read_ratings(spark, args.ratings, sep=args.sep, mode=args.mode, header=args.header)
-    init = load_factors(spark, args.init) if args.init else None
-    res = fit(ratings, args.rank, blocks=args.blocks, epochs=args.epochs, eta=args.eta,
-              decay=args.decay, seed=args.seed, schedule=args.schedule, dtype=args.dtype,
-              init=init, eval_every=args.eval_every, ids=args.ids)
-    if res.history is not None:
-        for h in res.history.orderBy("epoch").collect():
-            print(h["epoch"], round(h["seconds"], 3), h["squared_error"], h["rmse"])
+    res = resume(spark, args.resume, on_epoch=report) if args.resume else _train(spark, args)
     if args.out:
         write_factors(res.factors, args.out)
     if args.out_w:

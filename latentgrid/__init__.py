@@ -8,7 +8,7 @@ jobs (one per stratum step) whose only Python part is the per-block update.
 from latentgrid.operators.grid import Grid, compute_grid, assign_blocks
 from latentgrid.functions.init import init_factors
 from latentgrid.operators.evaluate import predict, evaluate, evaluate_blocks
-from latentgrid.plans.train import fit, FitResult
+from latentgrid.plans.train import fit, resume, FitResult
 
 __all__ = [
     "Grid",
@@ -19,5 +19,6 @@ __all__ = [
     "evaluate",
     "evaluate_blocks",
     "fit",
+    "resume",
     "FitResult",
 ]

@@ -3,7 +3,8 @@
 ``hash`` (default): value k of id i on side s is
 ``conv(substr(md5('seed:s:i:k'), 1, 13), 16, 10) / 2^52`` -- uniform in [0, 1),
 independent of partitioning and equal to the same expression in other SQL
-engines. ``rand``: Spark's ``rand(seed)``, which depends on partitioning.
+engines. ``stream``: the draws of one seeded generator in the order in which a sequential program
+makes them, all rows of W by id and then all of H; every task jumps to the draws of its ids.
 """
 
 from __future__ import annotations
@@ -15,6 +16,11 @@ from latentgrid.operators.grid import Grid
 
 TWO_POW_52 = float(2 ** 52)
 
+# L'Ecuyer's combined generator of 1988, (modulus, multiplier) of its two parts.
+PARTS = ((2147483563, 40014), (2147483399, 40692))
+#: Bits of a draw's number.
+JUMP_BITS = 61
+
 
 def hash_uniform(seed, side, idc, k) -> Column:
     """Uniform [0,1) double from the md5 of ``seed:side:id:k`` (52 bits)."""
@@ -22,23 +28,48 @@ def hash_uniform(seed, side, idc, k) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / F.lit(TWO_POW_52)
 
 
+def stream_states(seed: int) -> tuple[int, int]:
+    """States of the generator's two parts before the first draw: 1 to the modulus - 1."""
+    return tuple(1 + (seed * 2 + k) % (m - 1) for k, (m, _) in enumerate(PARTS))
+
+
+def stream_uniform(seed: int, first: Column, k: int) -> Column:
+    """Draws ``first`` to ``first + k - 1`` of the stream, each in (0, 1).
+
+    After n draws a part's state is ``state * a^n mod m``; the power is put together from the bits of n,
+    so a draw costs the same wherever it is. All products stay below 2^62.
+    """
+    parts = []
+    for state, (m, a) in zip(stream_states(seed), PARTS):
+        powers = F.array(*[F.lit(pow(a, 1 << b, m)).cast("bigint") for b in range(JUMP_BITS)])
+        jump = F.aggregate(
+            F.sequence(F.lit(0), F.lit(JUMP_BITS - 1)), F.lit(state).cast("bigint"),
+            lambda s, b: F.when(F.call_function("getbit", first, b) == 1, s * F.get(powers, b) % m).otherwise(s))
+        # the state before the first of these draws, then one step for each
+        parts.append(F.aggregate(
+            F.sequence(F.lit(1), F.lit(k)), F.array(jump),
+            lambda out, _: F.array_append(out, F.element_at(out, -1) * F.lit(a).cast("bigint") % m)))
+    top = PARTS[0][0]
+    return F.transform(F.slice(F.zip_with(parts[0], parts[1], lambda x, y: F.pmod(x - y, F.lit(top - 1).cast("bigint"))), 2, k),
+                       lambda z: F.when(z == 0, F.lit(top - 1)).otherwise(z).cast("double") / F.lit(float(top)))
+
+
 def factor_rows(spark: SparkSession, side: str, n_rows: int, dim: int, k: int,
                 seed: int = 1, method: str = "hash", dtype: str = "double",
-                ids: DataFrame | None = None) -> DataFrame:
+                ids: DataFrame | None = None, drawn: int = 0) -> DataFrame:
     """Factor rows ``(side, id, block, factors)`` for ids ``0..n_rows-1``, or for
-    the ids of the one-column DataFrame ``ids``."""
+    the ids of the one-column DataFrame ``ids``. ``drawn``: rows that the stream has drawn before id 0."""
     ids = spark.range(n_rows) if ids is None else ids.select(F.col(ids.columns[0]).alias("id"))
     s = F.lit(side)
     if method == "hash":
         vec = F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
                           lambda kk: hash_uniform(seed, s, F.col("id"), kk))
-    elif method == "rand":
-        base = seed * 1_000_003 + (0 if side == "W" else 500_001)
-        vec = F.array(*[F.rand(base + j) for j in range(k)])
+    elif method == "stream":
+        vec = stream_uniform(seed, (F.col("id") + F.lit(drawn).cast("bigint")) * F.lit(k).cast("bigint"), k)
     else:
         raise ValueError(f"unknown init method {method!r}")
     out = ids.select(s.alias("side"), F.col("id"),
-                     (F.col("id") / F.lit(dim)).cast("int").alias("block"),
+                     F.expr(f"cast(id div {dim} as int)").alias("block"),
                      vec.alias("factors"))
     if dtype == "float":
         out = out.withColumn("factors", F.col("factors").cast("array<float>"))
@@ -51,18 +82,17 @@ def init_factors(spark: SparkSession, grid: Grid, k: int, seed: int = 1,
     """W and H for a grid: ``P * dim`` rows each (``pad=False``: ids up to the max only).
 
     With ``ratings`` given, rows are made only for the ids that occur there
-    (for sparse id spaces); with the hash method their values are the same as
-    in the dense tables.
+    (for sparse id spaces); their values are the same as in the dense tables.
     """
     if k < 1:
         raise ValueError("rank must be >= 1")
+    nx = grid.p * grid.x_dim if pad else grid.max_x + 1
+    ny = grid.p * grid.y_dim if pad else grid.max_y + 1
     if ratings is not None:
         wx = ratings.select(F.col("x_id").cast("bigint")).distinct()
         hy = ratings.select(F.col("y_id").cast("bigint")).distinct()
         return (factor_rows(spark, "W", 0, grid.x_dim, k, seed, method, dtype, ids=wx)
-                .unionByName(factor_rows(spark, "H", 0, grid.y_dim, k, seed, method, dtype, ids=hy)))
-    nx = grid.p * grid.x_dim if pad else grid.max_x + 1
-    ny = grid.p * grid.y_dim if pad else grid.max_y + 1
+                .unionByName(factor_rows(spark, "H", 0, grid.y_dim, k, seed, method, dtype, ids=hy, drawn=nx)))
     w = factor_rows(spark, "W", nx, grid.x_dim, k, seed, method, dtype)
-    h = factor_rows(spark, "H", ny, grid.y_dim, k, seed, method, dtype)
+    h = factor_rows(spark, "H", ny, grid.y_dim, k, seed, method, dtype, drawn=nx)
     return w.unionByName(h)

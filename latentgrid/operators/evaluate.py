@@ -8,6 +8,8 @@ broadcast from runtime sizes or split a skewed key.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,6 +62,43 @@ def predict(ratings: DataFrame, factors: DataFrame, on_missing: str = "error",
     return j.select(*cols, p.alias("prediction"))
 
 
+def _id_bitmaps(ids: DataFrame, name: str) -> DataFrame:
+    """``(side, bucket, <name>)``: a bit for each id of ``ids(side, id)``, 32,768 to a row."""
+    return ids.groupBy("side", F.bitmap_bucket_number("id").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias(name))
+
+
+def missing_id_set(ratings: DataFrame, factors: DataFrame, x: str = "x_id", y: str = "y_id") -> DataFrame:
+    """``(side, id)``: ids that occur in the ratings and have no factor row.
+
+    Rated and known ids are gathered as bitmaps, pre-aggregated in each task, and compared bucket by bucket: the
+    ratings are read once, a bit per id is shuffled and nothing is joined with the ratings. Null ids don't count.
+    """
+    rated = ratings.select(F.lit("W").alias("side"), F.col(x).cast("bigint").alias("id")).union(
+        ratings.select(F.lit("H"), F.col(y).cast("bigint"))).where("id IS NOT NULL")
+    known = factors.select("side", F.col("id").cast("bigint").alias("id"))
+    both = _id_bitmaps(rated, "rated").join(_id_bitmaps(known, "known"), ["side", "bucket"], "left")
+
+    def differ(batches):
+        for batch in batches:
+            for side, bucket, r, k in zip(*(batch.column(c).to_pylist() for c in ("side", "bucket", "rated", "known"))):
+                bits = np.frombuffer(r, np.uint8)
+                if k is not None:
+                    bits = bits & ~np.frombuffer(k, np.uint8)
+                at = np.flatnonzero(np.unpackbits(bits, bitorder="little")).astype(np.int64)
+                ids = at + (bucket - 1) * 32768 + 1 if bucket > 0 else bucket * 32768 - at
+                yield pa.RecordBatch.from_arrays([pa.array([side] * len(ids), pa.string()), pa.array(ids)], ["side", "id"])
+
+    return both.select("side", "bucket", "rated", "known").mapInArrow(differ, "side string, id bigint")
+
+
+def require_factors(ratings: DataFrame, factors: DataFrame) -> None:
+    """Raise, before any join, if a rated id has no factor row; names how many and the smallest of each side."""
+    lacking = missing_id_set(ratings, factors).groupBy("side").agg(F.count("*").alias("n"), F.min("id").alias("least")).collect()
+    if lacking:
+        raise ValueError("no factor row for " + ", ".join(f"{r['n']} {r['side']} ids (from {r['least']})" for r in lacking))
+
+
 def _rated(ratings: DataFrame) -> DataFrame:
     """The three columns; a null rating, which a sum would leave out, fails the job."""
     return ratings.select("x_id", "y_id", "rating").filter(
@@ -90,29 +129,6 @@ def evaluate(ratings: DataFrame, factors: DataFrame, on_missing: str = "error",
     return _finish(agg)
 
 
-def evaluate_wide(ratings: DataFrame, factors: DataFrame, rank: int, grid: Grid | None = None,
-                  broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """A3 on factors in the step-table layout (``side, id, block, f0..``): the
-    prediction is plain arithmetic on the columns, compiled by codegen."""
-    fw = [f"f{j}" for j in range(rank)]
-    w = factors.filter(F.col("side") == "W").select(
-        F.col("id").alias("x_id"), *[F.col(c).alias(f"_w{j}") for j, c in enumerate(fw)])
-    h = factors.filter(F.col("side") == "H").select(
-        F.col("id").alias("y_id"), *[F.col(c).alias(f"_h{j}") for j, c in enumerate(fw)])
-    if grid is not None:
-        w = _maybe_broadcast(w, grid.p * grid.x_dim, rank, broadcast_bytes)
-        h = _maybe_broadcast(h, grid.p * grid.y_dim, rank, broadcast_bytes)
-    j = _rated(ratings).join(w, "x_id", "left").join(h, "y_id", "left")
-    j = j.filter(F.when(F.col("_w0").isNull() | F.col("_h0").isNull(), F.raise_error(
-        F.lit("rating without a factor row"))).otherwise(F.lit(True)))
-    p = F.lit(0.0).cast("double")
-    for i in range(rank):
-        p = p + F.col(f"_w{i}").cast("double") * F.col(f"_h{i}").cast("double")
-    agg = j.select("rating", p.alias("prediction")).agg(
-        _sse().alias("squared_error"), F.count(F.lit(1)).alias("n"))
-    return _finish(agg)
-
-
 def evaluate_blocks(ratings: DataFrame, factors: DataFrame, grid: Grid, totals: bool = False,
                     on_missing: str = "error", rank: int | None = None,
                     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:

@@ -122,17 +122,17 @@ def stratum(blocked: DataFrame, i: int) -> DataFrame:
     return blocked.filter(F.col("stratum") == F.lit(i))
 
 
-def factor_work_key(p: int, i: int, side: str = "side", block: str = "block") -> Column:
-    """W stays on its block; H block b goes to ``pmod(b - i, P)`` in stratum i."""
+def factor_work_key(p: int, i: int | str, side: str = "side", block: str = "block") -> Column:
+    """W stays on its block; H block b goes to ``pmod(b - i, P)`` in stratum i (a number or a column's name)."""
     return F.expr(work_key_sql(p, i, side, block))
 
 
-def work_key_sql(p: int, i: int, side: str = "side", block: str = "block") -> str:
+def work_key_sql(p: int, i: int | str, side: str = "side", block: str = "block") -> str:
     """The P7 key as SQL, which the training step uses."""
     return f"CASE WHEN {side} = 'W' THEN {block} ELSE CAST(pmod({block} - {i}, {p}) AS INT) END"
 
 
-def inverse_work_key(p: int, i: int, key: str = "work") -> Column:
+def inverse_work_key(p: int, i: int | str, key: str = "work") -> Column:
     """Inverse of the H rotation."""
     return F.expr(f"cast(pmod({key} + {i}, {p}) as int)")
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 P = 8
 K = 4
 VECTOR_DIM = 100
+VECTOR_K = 64
 PACK_PIECE = 50
 ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity"
 
@@ -59,20 +60,21 @@ init AS (
 
 VECTORS = f"""init AS (
   SELECT 'W' AS side, vec_id AS id, CAST(vec_id // {VECTOR_DIM} AS INTEGER) AS block,
-         list_transform(embedding[1:{K}], lambda x: x::DOUBLE) AS v FROM embeddings
+         list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
   UNION ALL
   SELECT 'H' AS side, vec_id AS id, CAST(vec_id // {VECTOR_DIM} AS INTEGER) AS block,
-         list_transform(embedding[1:{K}], lambda x: x::DOUBLE * 2) AS v FROM embeddings)"""
+         list_transform(embedding, lambda x: x::DOUBLE * 2) AS v FROM embeddings)"""
 
 
-def spread(v: str = "v", decimals: int | None = 6, prefix: str = "f") -> str:
+def spread(v: str = "v", decimals: int | None = 6, prefix: str = "f", n: int = K) -> str:
     if decimals is None:
-        return ", ".join(f"{v}[{k + 1}] AS {prefix}{k}" for k in range(K))
-    return ", ".join(f"round({v}[{k + 1}], {decimals}) AS {prefix}{k}" for k in range(K))
+        return ", ".join(f"{v}[{k + 1}] AS {prefix}{k}" for k in range(n))
+    return ", ".join(f"round({v}[{k + 1}], {decimals}) AS {prefix}{k}" for k in range(n))
 
 
 def fixed(v: str) -> str:
-    return f"printf('%.6f', {v})"
+    """Six decimals, ties (such as 0.2578125, which the whole embeddings hold) away from zero, as Java formats them."""
+    return f"printf('%.6f', round({v}, 6))"
 
 
 def with_(*ctes: str) -> str:
@@ -174,14 +176,14 @@ FROM fullgrid f LEFT JOIN pk ON pk.xb = f.xb AND pk.yb = f.yb""",
        x_id, y_id, rating FROM b""",
     "factors_init": with_(R, G, INIT_SEEN) + f"SELECT side, id, block, {spread(decimals=None)} FROM init",
     "factors_text": with_(VECTORS) + "SELECT side, id, " +
-        " || ',' || ".join(fixed(f"v[{k + 1}]") for k in range(K)) + " AS line FROM init",
+        " || ',' || ".join(fixed(f"v[{k + 1}]") for k in range(VECTOR_K)) + " AS line FROM init",
     "factors_parsed": with_(VECTORS) + "SELECT side, id, " +
-        ", ".join(f"CAST({fixed(f'v[{k + 1}]')} AS DOUBLE) AS f{k}" for k in range(K)) + " FROM init",
+        ", ".join(f"CAST({fixed(f'v[{k + 1}]')} AS DOUBLE) AS f{k}" for k in range(VECTOR_K)) + " FROM init",
     "factors_packed": with_(VECTORS) + "SELECT side, block, string_agg(" +
-        " || ".join(f"{fixed(f'v[{k + 1}]')} || ','" for k in range(K)) +
+        " || ".join(f"{fixed(f'v[{k + 1}]')} || ','" for k in range(VECTOR_K)) +
         " || ';', '' ORDER BY id) AS packed FROM init GROUP BY side, block",
     "factors_flattened": with_(VECTORS) + "SELECT side, id, block, " +
-        ", ".join(f"CAST({fixed(f'v[{k + 1}]')} AS DOUBLE) AS f{k}" for k in range(K)) + " FROM init",
+        ", ".join(f"CAST({fixed(f'v[{k + 1}]')} AS DOUBLE) AS f{k}" for k in range(VECTOR_K)) + " FROM init",
     "dot_products": with_("v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings)") +
         """SELECT a.vec_id, a.label, round(list_dot_product(a.v, a.v), 6) AS self_dot,
        round(list_dot_product(a.v, b.v), 6) AS next_dot
@@ -219,11 +221,33 @@ FROM pb GROUP BY ROLLUP (stratum, xb)""",
     "ratings_header_file": with_(R) + "SELECT x_id, y_id, rating FROM r",
     "ratings_blocked_stratum": with_(R, G, B) + f"""SELECT * FROM (
   SELECT *, CAST({pmod("yb - xb")} AS INTEGER) AS stratum FROM b) WHERE stratum = 3""",
-    "factors_text_file": with_(VECTORS) + f"SELECT side, id, {spread(decimals=None)} FROM init",
-    "factors_native": with_(VECTORS) + f"SELECT side, id, block, {spread(decimals=None)} FROM init",
+    "factors_text_file": with_(VECTORS) + f"SELECT side, id, {spread(decimals=None, n=VECTOR_K)} FROM init",
+    "factors_native": with_(VECTORS) + f"SELECT side, id, block, {spread(decimals=None, n=VECTOR_K)} FROM init",
 }
 
 
+# -- one seeded stream, drawn one after another ------------------------------------------
+
+ORACLES["ratings_appended"] = with_(R, G, B) + f"SELECT *, CAST({pmod('yb - xb')} AS INTEGER) AS stratum FROM b"
+
+ORACLES["factors_init_stream"] = with_(R, G, f"""draws(n, x1, x2) AS (
+  SELECT CAST(0 AS BIGINT), CAST(3 * 40014 % 2147483563 AS BIGINT), CAST(4 * 40692 % 2147483399 AS BIGINT)
+  UNION ALL
+  SELECT n + 1, x1 * 40014 % 2147483563, x2 * 40692 % 2147483399 FROM draws, g WHERE n + 1 < {P} * (xd + yd) * {K}),
+u AS (
+  SELECT n // {K} AS row, n % {K} AS k,
+         CASE WHEN {pmod("x1 - x2", 2147483562)} = 0 THEN 2147483562 ELSE {pmod("x1 - x2", 2147483562)} END::DOUBLE
+           / 2147483563.0::DOUBLE AS v FROM draws),
+wide AS (SELECT row, {", ".join(f"max(v) FILTER (k = {k}) AS f{k}" for k in range(K))} FROM u GROUP BY row)""").replace(
+    "WITH ", "WITH RECURSIVE ", 1) + f"""SELECT CASE WHEN row < {P} * xd THEN 'W' ELSE 'H' END AS side,
+       CASE WHEN row < {P} * xd THEN row ELSE row - {P} * xd END AS id,
+       CAST(CASE WHEN row < {P} * xd THEN row // xd ELSE (row - {P} * xd) // yd END AS INTEGER) AS block,
+       {", ".join(f"f{k}" for k in range(K))} FROM wide, g"""
+
+ORACLES["missing_id_set"] = with_(R) + """SELECT DISTINCT 'W' AS side, x_id AS id FROM r
+WHERE x_id NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"""
+
+
 # -- training: serial SGD as a set-based recursive query --------------------------------
 #
 # One stratum's blocks share no x and no y, so the fit equals serial SGD over
@@ -314,6 +338,19 @@ FROM r JOIN final w ON w.side = 'W' AND w.id = r.x_id
 GROUP BY e.epoch, e.eta"""
 
 
+def sgd_history_blocks_sql(order: str) -> str:
+    body = with_(R, G, INIT, _sgd_ctes(order, [(0, ETA0), (1, ETA1)])).replace(
+        "WITH ", "WITH RECURSIVE ", 1)
+    return body + """, miss AS (
+  SELECT e.epoch, w.block AS xb, h.block AS yb,
+         r.rating - list_dot_product(CASE e.epoch WHEN 0 THEN w.snap ELSE w.v END,
+                                     CASE e.epoch WHEN 0 THEN h.snap ELSE h.v END) AS d
+  FROM r JOIN final w ON w.side = 'W' AND w.id = r.x_id
+         JOIN final h ON h.side = 'H' AND h.id = r.y_id
+         CROSS JOIN ep e)
+SELECT epoch, xb, yb, round(sum(d * d), 4) AS squared_error, count(*) AS n FROM miss GROUP BY epoch, xb, yb"""
+
+
 DIAGONAL_ORDER = f"stratum, xb, {ORDER}"
 ROW_MAJOR_ORDER = f"xb, yb, {ORDER}"
 
@@ -322,6 +359,8 @@ ORACLES.update({
     "sgd_one_epoch": sgd_factors_sql(DIAGONAL_ORDER, [(0, ETA0)]),
     "sgd_fit": sgd_factors_sql(DIAGONAL_ORDER, [(0, ETA0), (1, ETA1)]),
     "sgd_history": sgd_history_sql(DIAGONAL_ORDER),
+    "sgd_history_blocks": sgd_history_blocks_sql(DIAGONAL_ORDER),
+    "sgd_resume": sgd_factors_sql(DIAGONAL_ORDER, [(0, ETA0), (1, ETA1)]),
     "sgd_row_major": sgd_factors_sql(ROW_MAJOR_ORDER, [(0, ETA0), (1, ETA1)]),
     "sgd_warm_start": sgd_factors_sql(DIAGONAL_ORDER, [(0, ETA0), (1, ETA1)]),
 })

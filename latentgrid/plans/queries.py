@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 
 from latentgrid.functions.init import init_factors
 from latentgrid.functions.vectors import axpy, dot, scale
-from latentgrid.operators.evaluate import evaluate, evaluate_blocks, predict
+from latentgrid.operators.evaluate import evaluate, evaluate_blocks, missing_id_set, predict
 from latentgrid.operators.grid import (assign_blocks, block_counts, compute_grid, factor_work_key,
                                        grid_frame, inverse_work_key, schedule, with_offset)
 from latentgrid.plans import fixtures
 from latentgrid.plans.fixtures import ORDER_COLS
-from latentgrid.plans.train import fit
+from latentgrid.plans.train import fit, resume
 from latentgrid.session import scratch_path
-from latentgrid.sources.blocks import pack_blocks, read_stratum, unpack_blocks, write_blocked
+from latentgrid.sources.blocks import append_blocked, pack_blocks, read_stratum, unpack_blocks, write_blocked
 from latentgrid.sources.factors import (factor_lines, load_factors, pack_factors, read_factors,
                                         unpack_factors, write_factors, write_factors_text)
 from latentgrid.sources.ratings import (parse_rating_lines, prefix_sample,
@@ -27,6 +27,8 @@ from latentgrid.sources.ratings import (parse_rating_lines, prefix_sample,
 
 P = 8
 K = 4
+#: Values of an embedding, all of which the factor files hold.
+VECTOR_K = 64
 SEED = 1
 PACK_PIECE = 50
 VECTOR_DIM = 100
@@ -185,13 +187,9 @@ def q_rotation_identity(spark, sf_dir):
     """P7 then P8 for every H row and every stratum: ``back`` equals ``block``."""
     g = _grid(spark, sf_dir)
     h = init_factors(spark, g, K, SEED, ratings=_ratings(spark, sf_dir)).filter(F.col("side") == "H").select("side", "id", "block")
-    out = None
-    for i in range(P):
-        one = (h.select("id", "block", F.lit(i).alias("step"),
-                        factor_work_key(P, i).alias("work"))
-               .withColumn("back", inverse_work_key(P, i, "work")))
-        out = one if out is None else out.unionByName(one)
-    return out
+    steps = h.select("side", "id", "block", F.explode(F.sequence(F.lit(0), F.lit(P - 1))).alias("step"))
+    steps = steps.withColumn("work", factor_work_key(P, "step")).withColumn("back", inverse_work_key(P, "step", "work"))
+    return steps.select("id", "block", "step", "work", "back")
 
 
 # -- packed text formats ---------------------------------------------------------
@@ -210,6 +208,17 @@ def q_ratings_blocked_stratum(spark, sf_dir):
     return read_stratum(spark, path, 3)
 
 
+def q_ratings_appended(spark, sf_dir):
+    """A store written from the orders' first lines, the others appended twice over; all strata read back."""
+    r = _ratings(spark, sf_dir)
+    g = compute_grid(r, P)
+    path = scratch_path(spark, "q-appended")
+    write_blocked(r.where("l_linenumber <= 2"), g, path)
+    append_blocked(r.where("l_linenumber > 4"), path, g)
+    append_blocked(r.where("l_linenumber BETWEEN 3 AND 4"), path)
+    return spark.read.parquet(path)
+
+
 def q_blocks_unpacked(spark, sf_dir):
     return unpack_blocks(q_blocks_packed(spark, sf_dir))
 
@@ -220,9 +229,14 @@ def q_factors_init(spark, sf_dir):
     return spread(init_factors(spark, compute_grid(r, P), K, SEED, ratings=r), decimals=None)
 
 
+def q_factors_init_stream(spark, sf_dir):
+    """G1: the whole grid's rows as one seeded stream draws them, W by id, then H."""
+    return spread(init_factors(spark, _grid(spark, sf_dir), K, SEED, "stream"), decimals=None)
+
+
 def _vector_factors(spark, sf_dir):
-    """The embeddings as factor rows: W their first K values, H twice these; blocks of VECTOR_DIM ids."""
-    v = F.slice("v", 1, K)
+    """The embeddings as factor rows: W their values, H twice these; blocks of VECTOR_DIM ids."""
+    v = F.col("v")
     e = fixtures.vectors(spark, sf_dir)
     block = F.expr(f"cast(vec_id div {VECTOR_DIM} as int)").alias("block")
     return (e.select(F.lit("W").alias("side"), F.col("vec_id").alias("id"), block, v.alias("factors"))
@@ -241,7 +255,7 @@ def q_factors_parsed(spark, sf_dir):
     from latentgrid.functions.vectors import parse_numbers
     t = q_factors_text(spark, sf_dir)
     return spread(t.select("side", "id", parse_numbers(F.col("line")).alias("factors")),
-                  decimals=None)
+                  k=VECTOR_K, decimals=None)
 
 
 def q_factors_text_file(spark, sf_dir):
@@ -253,7 +267,7 @@ def q_factors_text_file(spark, sf_dir):
         write_factors_text(f, side, path, files=3)
         back = read_factors(spark, path, side)
         out = back if out is None else out.unionByName(back)
-    return spread(out, decimals=None)
+    return spread(out, k=VECTOR_K, decimals=None)
 
 
 def q_factors_native(spark, sf_dir):
@@ -261,7 +275,7 @@ def q_factors_native(spark, sf_dir):
     f = _vector_factors(spark, sf_dir)
     path = scratch_path(spark, "q-factors-native")
     write_factors(f, path)
-    return spread(load_factors(spark, path), decimals=None)
+    return spread(load_factors(spark, path), k=VECTOR_K, decimals=None)
 
 
 def q_factors_packed(spark, sf_dir):
@@ -270,7 +284,7 @@ def q_factors_packed(spark, sf_dir):
 
 def q_factors_flattened(spark, sf_dir):
     packed = pack_factors(_vector_factors(spark, sf_dir), decimals=6)
-    return spread(unpack_factors(packed, {"W": VECTOR_DIM, "H": VECTOR_DIM}), decimals=None)
+    return spread(unpack_factors(packed, {"W": VECTOR_DIM, "H": VECTOR_DIM}), k=VECTOR_K, decimals=None)
 
 
 # -- vectors -------------------------------------------------------------------------
@@ -332,6 +346,12 @@ def q_missing_ids(spark, sf_dir):
     return p.filter(F.isnan("prediction")).drop("prediction")
 
 
+def q_missing_id_set(spark, sf_dir):
+    """The ids without factors, from bitmaps."""
+    r = _ratings(spark, sf_dir)
+    return missing_id_set(r, _segment_factors(spark, sf_dir, compute_grid(r, P)))
+
+
 def q_rmse_global(spark, sf_dir):
     r, g, f = _init_model(spark, sf_dir)
     e = evaluate(r, f, grid=g, rank=K)
@@ -413,6 +433,20 @@ def q_sgd_history(spark, sf_dir):
                               "n", F.round("rmse", 6).alias("rmse"))
 
 
+def q_sgd_history_blocks(spark, sf_dir):
+    """Errors per epoch and block, from the blocks themselves."""
+    res = _fit(spark, sf_dir, epochs=EPOCHS, eval_every=1)
+    return res.errors.withColumn("squared_error", F.round("squared_error", 4))
+
+
+def q_sgd_resume(spark, sf_dir):
+    """A run stopped in its second epoch, after step 3, and continued."""
+    path = scratch_path(spark, "q-resume")
+    r = _ratings(spark, sf_dir)
+    fit(r, K, blocks=P, epochs=EPOCHS, eta=ETA, decay=DECAY, seed=SEED, order_cols=ORDER_COLS, path=path, steps=P + 3)
+    return _factor_out(resume(spark, path))
+
+
 def q_sgd_row_major(spark, sf_dir):
     return _factor_out(_fit(spark, sf_dir, epochs=EPOCHS, schedule_kind="row_major"))
 
@@ -443,6 +477,7 @@ QUERIES = {
     "ratings_text_file": q_ratings_text_file,
     "ratings_header_file": q_ratings_header_file,
     "ratings_blocked_stratum": q_ratings_blocked_stratum,
+    "ratings_appended": q_ratings_appended,
     "grid_dims": q_grid_dims,
     "block_assign": q_block_assign,
     "block_offset": q_block_offset,
@@ -455,6 +490,7 @@ QUERIES = {
     "blocks_packed": q_blocks_packed,
     "blocks_unpacked": q_blocks_unpacked,
     "factors_init": q_factors_init,
+    "factors_init_stream": q_factors_init_stream,
     "factors_text": q_factors_text,
     "factors_parsed": q_factors_parsed,
     "factors_text_file": q_factors_text_file,
@@ -466,6 +502,7 @@ QUERIES = {
     "predictions": q_predictions,
     "predictions_drop": q_predictions_drop,
     "missing_ids": q_missing_ids,
+    "missing_id_set": q_missing_id_set,
     "rmse_global": q_rmse_global,
     "rmse_blocks": q_rmse_blocks,
     "rmse_rollup": q_rmse_rollup,
@@ -474,6 +511,8 @@ QUERIES = {
     "sgd_one_epoch": q_sgd_one_epoch,
     "sgd_fit": q_sgd_fit,
     "sgd_history": q_sgd_history,
+    "sgd_history_blocks": q_sgd_history_blocks,
+    "sgd_resume": q_sgd_resume,
     "sgd_row_major": q_sgd_row_major,
     "sgd_warm_start": q_sgd_warm_start,
     "sgd_fit_full": q_sgd_fit_full,

@@ -107,7 +107,12 @@ def write_bytes(spark: SparkSession, path: str, body: bytes) -> None:
 
 def read_text(spark: SparkSession, path: str) -> str:
     """A small file that ``write_bytes`` wrote."""
-    return "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
+    fs, p = _fs_and_path(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def _fs_and_path(spark: SparkSession, path: str):
@@ -129,6 +134,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if it doesn't exist."""
+    fs, p = _fs_and_path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def list_files(spark: SparkSession, path: str) -> list[str]:
     """Data files of a folder (or the file itself), sorted by name."""
     fs, p = _fs_and_path(spark, path)

@@ -13,7 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from latentgrid.functions.init import init_factors  # noqa: E402
 from latentgrid.operators.evaluate import evaluate  # noqa: E402
 from latentgrid.operators.grid import compute_grid  # noqa: E402
-from latentgrid.operators.step import StepPlanner, balanced_keys, prepare_ratings  # noqa: E402
+from latentgrid.operators.step import StepPlanner, balanced_keys, pack_factor_records, prepare_ratings  # noqa: E402
 from latentgrid.plans import fixtures  # noqa: E402
 from latentgrid.session import build_session  # noqa: E402
 
@@ -31,14 +31,14 @@ def main() -> None:
     keys = balanced_keys(spark, g.p)
     order = ["x_id", "y_id", "rating"]
     prep = prepare_ratings(r.select("x_id", "y_id", "rating"), g, "diagonal", keys, order)
-    pl = StepPlanner(prep, g, keys, "diagonal", order, "double", 30)
-    step = pl.step(f, 1, 0.001)
+    pl = StepPlanner(prep, g, keys, "diagonal", "double", 30)
+    records = pack_factor_records(f, 30)
+    step = pl.step(records, 1, 0.001)
     step.write.format("noop").mode("overwrite").save()
     print("=== training step 1 (after its ratings were cached) ===")
     step.explain("formatted")
-    print("=== blocked evaluation ===")
-    pl.evaluate(f).explain("formatted")
-    pl.close()
+    print("=== errors per block ===")
+    pl.errors(records).explain("formatted")
     prep.unpersist()
 
 

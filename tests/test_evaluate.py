@@ -61,3 +61,18 @@ def test_broadcast_only_when_small(spark, model):
     big = predict(r, f, grid=g, rank=3, broadcast_bytes=10)._jdf.queryExecution() \
         .optimizedPlan().toString()
     assert "strategy=broadcast" not in big.lower()
+
+
+def test_missing_ids_from_bitmaps(spark):
+    from latentgrid.operators.evaluate import missing_id_set, require_factors
+    ids = [0, 1, 2, 32767, 32768, 32769, 65536, 65537, 10**12, 7]
+    r = spark.createDataFrame([(i, 2 * i) for i in ids + ids] + [(None, 0)], "x_id long, y_id long")
+    f = spark.createDataFrame([("W", i) for i in (0, 2, 32768, 5, 10**12)] + [("H", 2 * i) for i in ids], "side string, id long")
+    got = sorted(map(tuple, missing_id_set(r, f).collect()))
+    assert got == [("W", i) for i in (1, 7, 32767, 32769, 65536, 65537)]
+    plan = missing_id_set(r, f)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+    with pytest.raises(ValueError, match="6 W ids .from 1."):
+        require_factors(r, f)
+    require_factors(r.where("x_id = 2"), f)
+    assert missing_id_set(r.limit(0), f).count() == 0 and missing_id_set(r, f.limit(0)).count() == 20

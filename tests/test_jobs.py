@@ -1,3 +1,5 @@
+import pytest
+
 from conftest import SF_SMALL
 
 
@@ -23,6 +25,38 @@ def test_train_then_evaluate(spark, scratch):
     ev.main(["--native", scratch + "/native", csv])
 
 
+def test_train_stops_and_resumes(spark, scratch, capsys, monkeypatch):
+    from jobs import train as tr
+    from latentgrid.plans import fixtures
+    from latentgrid.plans.train import FactorStore
+    from latentgrid.sources.ratings import rating_lines
+    rating_lines(fixtures.ratings_slice(spark, SF_SMALL)).write.text(scratch + "/ratings")
+    args = ["--ratings", scratch + "/ratings", "--rank", "3", "--blocks", "2", "--epochs", "2", "--eval-every", "1", "--init-method", "stream"]
+    tr.main([*args, "--out-w", scratch + "/w", "--out-h", scratch + "/h"])
+    real, n = FactorStore.write, []
+
+    def failing(self, records, path):
+        n.append(path)
+        if len(n) == 5:
+            raise OSError("stopped")
+        real(self, records, path)
+
+    capsys.readouterr()
+    with monkeypatch.context() as m:
+        m.setattr(FactorStore, "write", failing)
+        with pytest.raises(OSError):
+            tr.main([*args, "--run", scratch + "/run", "--out-w", scratch + "/w2", "--out-h", scratch + "/h2"])
+    assert capsys.readouterr().out.startswith("0 ")  # the first epoch was reported when it ended
+    tr.main(["--resume", scratch + "/run", "--out-w", scratch + "/w2", "--out-h", scratch + "/h2"])
+    assert capsys.readouterr().out.startswith("1 ")
+    for side in "wh":
+        a, b = ([r.value for r in spark.read.text(f"{scratch}/{side}{k}").collect()] for k in ("", "2"))
+        assert sorted(a) == sorted(b)
+    # from text factors: one epoch more
+    tr.main([*args[:6], "--epochs", "1", "--init-w", scratch + "/w", "--init-h", scratch + "/h", "--out", scratch + "/more"])
+    assert spark.read.parquet(scratch + "/more").count() == spark.read.text(scratch + "/w").count() + spark.read.text(scratch + "/h").count()
+
+
 def test_evaluate_reads_headers_and_skips_malformed_lines(spark, scratch, tmp_path, capsys):
     from jobs import evaluate as ev
     from latentgrid.sources.factors import write_factors

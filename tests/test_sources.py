@@ -198,3 +198,31 @@ def test_quoted_separator_in_a_header_file_raises(spark, tmp_path):
     with pytest.raises(ValueError, match="mode"):
         read_ratings(spark, str(p), header=True, mode="other")
     assert read_ratings(spark, str(p), header=True, mode="drop").count() == 0
+
+
+def test_store_grows_by_appends(spark, scratch):
+    from latentgrid.operators.grid import compute_grid
+    from latentgrid.plans import fixtures
+    from latentgrid.session import list_files, list_names
+    from latentgrid.sources.blocks import append_blocked, read_stratum, stored_grid, write_blocked
+    r = fixtures.ratings_slice(spark, SF_SMALL).select("x_id", "y_id", "rating", "l_orderkey", "l_linenumber")
+    g = compute_grid(r, 4)
+    write_blocked(r, g, scratch + "/whole")
+    write_blocked(r.where("l_linenumber = 1"), g, scratch + "/grown")
+    append_blocked(r.where("l_linenumber IN (2, 3)"), scratch + "/grown")
+    append_blocked(r.where("l_linenumber > 3"), scratch + "/grown", g)
+    for i in range(4):
+        a, b = (sorted(map(tuple, read_stratum(spark, scratch + p, i).select(r.columns).collect())) for p in ("/whole", "/grown"))
+        assert a == b
+    now = stored_grid(spark, scratch + "/grown")
+    assert (now.p, now.x_dim, now.y_dim, now.max_x) == (g.p, g.x_dim, g.y_dim, g.max_x)
+    # one block's rating: the folders of the other strata keep their files
+    before = {n: list_files(spark, f"{scratch}/grown/{n}") for n in list_names(spark, scratch + "/grown") if n.startswith("stratum=")}
+    append_blocked(spark.createDataFrame([(0, 0, 3.0, 1, 1)], r.schema), scratch + "/grown")
+    after = {n: list_files(spark, f"{scratch}/grown/{n}") for n in before}
+    assert [n for n in before if before[n] != after[n]] == ["stratum=0"] and set(before["stratum=0"]) < set(after["stratum=0"])
+    assert append_blocked(r.limit(0), scratch + "/grown") == stored_grid(spark, scratch + "/grown")
+    with pytest.raises(ValueError, match="outside the grid"):
+        append_blocked(spark.createDataFrame([(10**6, 0, 3.0, 1, 1)], r.schema), scratch + "/grown")
+    with pytest.raises(ValueError, match="the store has"):
+        append_blocked(r, scratch + "/grown", compute_grid(r, 3))

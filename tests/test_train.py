@@ -6,9 +6,10 @@ from conftest import SF_SMALL, data
 from latentgrid.functions.init import init_factors
 from latentgrid.operators.grid import compute_grid
 from serial_sgd import sgd_serial
-from latentgrid.operators.step import balanced_keys, prepare_ratings
+from latentgrid.operators import step as step_module
+from latentgrid.operators.step import balanced_keys, factor_rows_of, pack_factor_records, prepare_ratings
 from latentgrid.plans import fixtures
-from latentgrid.plans.train import fit
+from latentgrid.plans.train import FactorStore, fit, resume
 from latentgrid.sources.ratings import read_ratings
 
 K = 4
@@ -134,8 +135,8 @@ def test_step_plan_shuffles_factors_only(spark, slice_ratings):
     g = compute_grid(slice_ratings, 4)
     keys = balanced_keys(spark, 4)
     prep = prepare_ratings(slice_ratings, g, "diagonal", keys, ["x_id", "y_id", "rating"])
-    pl = StepPlanner(prep, g, keys, "diagonal", ["x_id", "y_id", "rating"], "double", K)
-    out = pl.step(init_factors(spark, g, K), 1, 0.001)
+    pl = StepPlanner(prep, g, keys, "diagonal", "double", K)
+    out = pl.step(pack_factor_records(init_factors(spark, g, K), K).checkpoint(), 1, 0.001)
     out.write.format("noop").mode("overwrite").save()     # materialises the step's cache
     plan = out._jdf.queryExecution().executedPlan().toString()
     cached = prep.part(1)._jdf.queryExecution().executedPlan().toString()
@@ -148,7 +149,6 @@ def test_step_plan_shuffles_factors_only(spark, slice_ratings):
     parts = prep.part(1).groupBy(F.spark_partition_id().alias("pid")).agg(
         F.countDistinct("wk").alias("k")).collect()
     assert all(r["k"] == 1 for r in parts)
-    pl.close()
     prep.unpersist()
 
 
@@ -159,11 +159,25 @@ def test_missing_factor_row_fails(spark, slice_ratings):
         fit(slice_ratings, K, blocks=4, epochs=1, init=init).factors.count()
 
 
-def test_rand_init_shape(spark, slice_ratings):
+@pytest.mark.parametrize("parts", [1, 5])
+def test_stream_init_is_one_sequence(spark, slice_ratings, parts):
+    from latentgrid.functions.init import PARTS, factor_rows, stream_states
     g = compute_grid(slice_ratings, 4)
-    f = init_factors(spark, g, 5, seed=7, method="rand").collect()
-    assert len(f) == 4 * (g.x_dim + g.y_dim)
-    assert all(len(r["factors"]) == 5 and all(0 <= v < 1 for v in r["factors"]) for r in f)
+    f = as_dict(init_factors(spark, g, 5, seed=7, method="stream").repartition(parts))
+    states, want = list(stream_states(7)), []
+    for _ in range(5 * 4 * (g.x_dim + g.y_dim)):
+        states = [s * a % m for s, (m, a) in zip(states, PARTS)]
+        z = (states[0] - states[1]) % (PARTS[0][0] - 1) or PARTS[0][0] - 1
+        want.append(z / PARTS[0][0])
+    rows = [f[("W", i)] for i in range(4 * g.x_dim)] + [f[("H", i)] for i in range(4 * g.y_dim)]
+    assert np.array_equal(np.concatenate(rows), np.array(want))
+    seen = as_dict(init_factors(spark, g, 5, seed=7, method="stream", ratings=slice_ratings))
+    assert all(np.array_equal(seen[k], f[k]) for k in seen)
+    # far on in the stream, as a task jumps there
+    far = 10**15
+    row = factor_rows(spark, "W", 0, 10**12, 3, seed=2, method="stream", ids=spark.range(far, far + 1)).first()["factors"]
+    s = [s * pow(a, 3 * far + 1, m) % m for s, (m, a) in zip(stream_states(2), PARTS)]
+    assert row[0] == ((s[0] - s[1]) % (PARTS[0][0] - 1) or PARTS[0][0] - 1) / PARTS[0][0]
 
 
 def test_hash_init_is_deterministic_and_uniform(spark, slice_ratings):
@@ -234,13 +248,17 @@ def test_initial_step_plan_keeps_partitioning(spark, slice_ratings, aqe):
         g = compute_grid(slice_ratings, 4)
         keys = balanced_keys(spark, 4)
         prep = prepare_ratings(slice_ratings, g, "diagonal", keys, ["x_id", "y_id", "rating"])
-        pl = StepPlanner(prep, g, keys, "diagonal", ["x_id", "y_id", "rating"], "double", K)
-        out = pl.step(init_factors(spark, g, K), 2, 0.001)
+        pl = StepPlanner(prep, g, keys, "diagonal", "double", K)
+        records = pack_factor_records(init_factors(spark, g, K), K).checkpoint()
+        out = pl.step(records, 2, 0.001)
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "ENSURE_REQUIREMENTS" not in plan
-        got = as_dict(out.selectExpr("side", "id", "array(f0, f1, f2, f3) AS factors"))
+        got = as_dict(factor_rows_of(out, K))
         assert len(got) == 4 * (g.x_dim + g.y_dim)
-        pl.close()
+        errors = pl.errors(records)._jdf.queryExecution().executedPlan().toString()
+        own = errors.split("InMemoryRelation")[0]
+        assert "ENSURE_REQUIREMENTS" not in errors and "Join" not in errors and "Broadcast" not in errors
+        assert own.count("Exchange hashpartitioning") <= 1
         prep.unpersist()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", old)
@@ -291,3 +309,85 @@ def test_vectors_of_another_length_raise_in_evaluation(spark):
         evaluate(r, f, rank=4).first()
     with pytest.raises(Exception, match="null rating"):
         evaluate(ratings_of(spark, [*GOOD, (1, 1, None)]), f, rank=6).first()
+
+
+@pytest.mark.parametrize("schedule", ["diagonal", "row_major"])
+def test_records_of_few_samples_and_rows(spark, slice_ratings, schedule, monkeypatch):
+    """Blocks spread over many rating and factor records give the serial result."""
+    monkeypatch.setattr(step_module, "PIECE", 11)
+    monkeypatch.setattr(step_module, "ROWS", 3)
+    res = fit(slice_ratings, K, blocks=3, epochs=2, order_cols=fixtures.ORDER_COLS, schedule=schedule)
+    W, H = serial_fit(spark, slice_ratings.toPandas(), res.grid, K, 2, fixtures.ORDER_COLS, schedule)
+    got = as_dict(res.factors)
+    assert len(got) == 3 * (res.grid.x_dim + res.grid.y_dim)
+    assert max_diff(got, W, H) < 1e-12
+
+
+@pytest.mark.parametrize("schedule, stops", [("diagonal", (0, 5, 1)), ("row_major", (9, 0, 4))])
+def test_resumed_run_equals_one_run(spark, slice_ratings, scratch, schedule, stops):
+    args = dict(blocks=4, epochs=2, order_cols=fixtures.ORDER_COLS, schedule=schedule, eval_every=1)
+    whole = fit(slice_ratings, K, **args)
+    part = fit(slice_ratings, K, **args, path=scratch + "/run", steps=stops[0])
+    for n in stops[1:]:
+        assert not part.finished
+        part = resume(spark, scratch + "/run", steps=n)
+    rows = []
+    part = resume(spark, scratch + "/run", on_epoch=rows.append)
+    assert part.finished and part.etas == whole.etas and rows[-1]["epoch"] == 1
+    a, b = as_dict(whole.factors), as_dict(part.factors)
+    assert all(np.array_equal(a[k], b[k]) for k in a) and a.keys() == b.keys()
+    for x, y in zip(whole.history.orderBy("epoch").collect(), part.history.orderBy("epoch").collect(), strict=True):
+        assert (x.epoch, x.n) == (y.epoch, y.n) and x.squared_error == pytest.approx(y.squared_error, rel=1e-12)
+    assert sorted(map(tuple, whole.errors.collect())) == sorted(map(tuple, part.errors.collect()))
+    again = as_dict(resume(spark, scratch + "/run").factors)
+    assert all(np.array_equal(a[k], again[k]) for k in a)
+    with pytest.raises(FileExistsError):
+        fit(slice_ratings, K, **args, path=scratch + "/run")
+
+
+def test_failed_run_goes_on(spark, slice_ratings, scratch, monkeypatch):
+    """A step that fails leaves the run at the step before it."""
+    args = dict(blocks=3, epochs=2, order_cols=fixtures.ORDER_COLS)
+    real, calls = FactorStore.write, []
+
+    def failing(self, records, path):
+        calls.append(path)
+        real(self, records, path)
+        if len(calls) == 5:
+            raise OSError("disk full")
+
+    with monkeypatch.context() as m:
+        m.setattr(FactorStore, "write", failing)
+        with pytest.raises(OSError) as caught:
+            fit(slice_ratings, K, **args, path=scratch + "/run")
+    assert "resume(" in caught.value.__notes__[0]
+    a, b = as_dict(fit(slice_ratings, K, **args).factors), as_dict(resume(spark, scratch + "/run").factors)
+    assert all(np.array_equal(a[k], b[k]) for k in a)
+    with pytest.raises(FileNotFoundError):
+        resume(spark, scratch + "/none")
+
+
+def test_waves_open_the_folders_of_their_blocks_only(spark, slice_ratings, monkeypatch):
+    opened, real = [], FactorStore.read
+
+    def read(self, blocks):
+        df = real(self, blocks)
+        opened.append((sorted(blocks), sorted("/".join(f.split("/")[-3:-1]) for f in df.inputFiles())))
+        return df
+
+    monkeypatch.setattr(FactorStore, "read", read)
+    fit(slice_ratings, K, blocks=3, epochs=2, schedule="row_major")
+    waves = opened[:-1]
+    assert [len(b) for b, _ in waves] == [2, 4, 6, 4, 2] * 2
+    assert all(files == sorted(f"s={s}/b={b}" for s, b in blocks) for blocks, files in waves)
+
+
+@pytest.mark.parametrize("schedule", ["diagonal", "row_major"])
+def test_errors_per_block_equal_the_joins(spark, slice_ratings, schedule):
+    from latentgrid.operators.evaluate import evaluate_blocks
+    res = fit(slice_ratings, K, blocks=4, epochs=1, eval_every=1, schedule=schedule, dtype="float")
+    got = {(r.xb, r.yb): (r.squared_error, r.n) for r in res.errors.collect()}
+    want = {(r.xb, r.yb): (r.squared_error, r.n) for r in evaluate_blocks(
+        slice_ratings, res.factors.withColumn("factors", F.col("factors").cast("array<double>")), res.grid, rank=K).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[k][1] == want[k][1] and abs(got[k][0] - want[k][0]) < 1e-9 * max(1, want[k][0]) for k in got)
