@@ -267,13 +267,15 @@ def _safe_cuts(data: np.ndarray, most: int) -> list[int]:
     """
     out, at = [0], most
     while at < len(data):
-        blank = data[at:] == 32
-        sign = np.isin(data[at - 1:-1], np.frombuffer(b" \t\n\r\x0b\x0c", np.uint8), invert=True) & (data[at - 1:-1] < 0x80)
-        here = np.flatnonzero(blank & sign)
-        if not len(here):
-            break
-        out.append(at + int(here[0]))
-        at = out[-1] + most
+        end = min(at + most, len(data))
+        before = data[at - 1:end - 1]
+        sign = np.isin(before, np.frombuffer(b" \t\n\r\x0b\x0c", np.uint8), invert=True) & (before < 0x80)
+        here = np.flatnonzero((data[at:end] == 32) & sign)
+        if len(here):
+            out.append(at + int(here[0]))
+            at = out[-1] + most
+        else:
+            at = end
     return [*out, len(data)]
 
 

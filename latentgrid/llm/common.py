@@ -22,13 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Hand texts to Python in batches of 4 MB, where the session doesn't set their size.
+def bounded_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Hand texts to Python in batches of ``size``, where the session doesn't set it.
 
     Spark's own bound of 64 MB a batch is held several times at once: by the JVM, in transit and by each worker.
     """
     if spark.conf.get(BATCH_BYTES, None) is None:
-        spark.conf.set(BATCH_BYTES, "4m")
+        spark.conf.set(BATCH_BYTES, size)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

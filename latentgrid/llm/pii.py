@@ -1,4 +1,4 @@
-"""Personal data in texts, by DataFrame functions alone.
+"""Personal data in texts, found by DataFrame functions alone.
 
 Regular expressions propose spans, checksums (Luhn, mod 97) and ranges confirm them, and words
 near a span adjust its score.
@@ -8,9 +8,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from latentgrid.llm.secrets import covered
+
 #: Characters on each side of a span that are searched for context words.
 CONTEXT = 40
 
@@ -37,7 +40,7 @@ _DIGITS = "regexp_replace(p.m, '[^0-9]', '')"
 _LUHN = f"""aggregate(sequence(1, length({_DIGITS})), 0, (s, i) -> s +
     CASE WHEN i % 2 = 1 THEN int(substring(reverse({_DIGITS}), i, 1))
          ELSE int(substring('0246813579', int(substring(reverse({_DIGITS}), i, 1)) + 1, 1)) END) % 10 = 0"""
-_MOD97 = """aggregate(split(concat(substring(p.m, 5), substring(p.m, 1, 4)), ''), 0, (s, c) ->
+_MOD97 = """aggregate(split(replace(concat(substring(p.m, 5), substring(p.m, 1, 4)), ' ', ''), ''), 0, (s, c) ->
     CASE WHEN c = '' THEN s WHEN c BETWEEN '0' AND '9' THEN (s * 10 + int(c)) % 97
          ELSE (s * 100 + ascii(c) - 55) % 97 END) = 1"""
 
@@ -55,7 +58,7 @@ BASE = (
          score=0.6, context="(?i)phone|call|tel|fax|mobile", needs="+"),
 )
 EXTRA = (
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])", _MOD97,
+    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])", _MOD97,
          context="(?i)iban|account|bank"),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
          r"p.m NOT RLIKE r'^(000|666|9..)|-00-|-0000$'",
@@ -67,25 +70,36 @@ BONUS = 0.2
 EMPTY = "cast(array() AS array<struct<kind: string, start: int, end: int, score: double>>)"
 
 
+#: Matches whose lengths are added up together.
+BLOCK = 256
+
+
+def _bound(value: str, name: str, body: str) -> str:
+    """SQL for ``body`` with ``name`` standing for ``value``, which is computed once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _sum(values: str) -> str:
+    return f"aggregate({values}, 0, (a, v) -> a + v)"
+
+
 def spans_sql(kind: Kind, text: str) -> str:
     """SQL for the spans of one kind in the string ``text``: ``array<struct<kind, start, end, score>>``.
 
-    Offsets count code points, ends are exclusive. The text is cut at the matches: the lengths of
-    the pieces and of the matches give the offsets, the ends of the neighbouring pieces the context.
+    Offsets count code points, ends are exclusive. The text is cut at the matches; a match starts after the pieces
+    and matches before it, whose lengths are added up in two levels: within its block of matches, and over the
+    blocks before. The ends of the neighbouring pieces are the context.
     """
+    found = f"named_struct('m', regexp_extract_all({text}, r'{kind.pattern}', 0), 'g', split({text}, r'{kind.pattern}', -1))"
+    lengths = "transform(z.m, (m, i) -> length(z.g[i]) + length(m))"
+    totals = f"transform(sequence(0, int((size(n) - 1) div {BLOCK})), b -> {_sum(f'slice(n, b * {BLOCK} + 1, {BLOCK})')})"
+    before = f"transform(sequence(0, size(t) - 1), i -> {_sum('slice(t, 1, i)')})"
+    start = f"at[int(i div {BLOCK})] + {_sum(f'slice(n, int(i div {BLOCK}) * {BLOCK} + 1, i % {BLOCK})')} + length(z.g[i])"
+    proposals = f"""transform(z.m, (m, i) -> named_struct('m', m, 's', {start},
+        'near', concat(right(z.g[i], {CONTEXT}), ' ', left(z.g[i + 1], {CONTEXT}))))"""
+    placed = _bound(found, "z", _bound(lengths, "n", _bound(totals, "t", _bound(before, "at", proposals))))
     return f"""CASE WHEN {f"contains({text}, '{kind.needs}')" if kind.needs else "true"} THEN
-    filter(transform(filter(element_at(transform(
-        array(named_struct('m', regexp_extract_all({text}, r'{kind.pattern}', 0),
-                           'g', split({text}, r'{kind.pattern}', -1))),
-        z -> aggregate(
-            transform(z.m, (m, i) -> named_struct('m', m, 'g', z.g[i], 'h', z.g[i + 1])),
-            named_struct('at', 0, 'out', cast(array() AS array<struct<m: string, s: int, near: string>>)),
-            (acc, p) -> named_struct(
-                'at', acc.at + length(p.g) + length(p.m),
-                'out', array_append(acc.out, named_struct(
-                    'm', p.m, 's', acc.at + length(p.g),
-                    'near', concat(right(p.g, {CONTEXT}), ' ', left(p.h, {CONTEXT}))))),
-            acc -> acc.out)), 1), p -> {kind.check}),
+    filter(transform(filter({placed}, p -> {kind.check}),
       p -> named_struct('kind', '{kind.name}', 'start', p.s, 'end', p.s + length(p.m), 'score',
         least(1D, {kind.score}D + if(p.near RLIKE r'{kind.context}', {BONUS}D, 0D)))),
       s -> s.score >= {kind.least}D)
@@ -105,13 +119,16 @@ def find_pii(df: DataFrame, text: str = "text", to: str = "pii", kinds: tuple[Ki
 
 
 def redact(df: DataFrame, text: str = "text", spans: str = "pii") -> DataFrame:
-    """Replace each span of ``text`` by its kind in brackets; a span that overlaps an earlier one only widens it."""
-    return df.withColumn(text, F.expr(f"""
-        aggregate(array_sort({spans}, (a, b) -> a.start - b.start), named_struct('at', 0, 'out', ''),
-            (acc, s) -> CASE WHEN s.start < acc.at THEN named_struct('at', greatest(acc.at, s.end), 'out', acc.out)
-                ELSE named_struct('at', s.end, 'out', concat(
-                    acc.out, substring(`{text}`, acc.at + 1, s.start - acc.at), '[', s.kind, ']')) END,
-            acc -> concat(acc.out, substring(`{text}`, acc.at + 1)))"""))
+    """Replace each span of ``text`` by its kind in brackets; a span that overlaps an earlier one only widens it.
+
+    The text is put together in an Arrow function, linear in text and spans; finding them needs none.
+    """
+    @F.arrow_udf("string")
+    def cover(column: pa.Array, found: pa.Array) -> pa.Array:
+        return pa.array([t if not rows else covered(t, sorted((s["start"], s["end"], s["kind"]) for s in rows))
+                         for t, rows in zip(column.to_pylist(), found.to_pylist())], pa.string())
+
+    return df.withColumn(text, cover(F.col(text), F.col(spans)))
 
 
 def digest(spans: str) -> str:

@@ -6,6 +6,7 @@ import hashlib
 import os
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -127,6 +128,28 @@ def test_pii_checks_and_context(docs):
     assert pii.find_pii(df.limit(0)).count() == 0
 
 
+def test_pii_is_linear_in_the_matches(docs):
+    def seconds(n):
+        text = "+1 555 123 4567, " * n
+        df = docs([(1, text)])
+        t = time.time()
+        row = pii.find_pii(df, kinds=pii.BASE).select("pii").first()
+        took = time.time() - t
+        spans = [(s.start, s.end) for s in row.pii if s.kind == "phone"]
+        assert spans == [(17 * k, 17 * k + 15) for k in range(n)]
+        assert pii.redact(pii.find_pii(df, kinds=pii.BASE[3:])).first().text == "[phone], " * n
+        return took
+
+    seconds(100)
+    assert seconds(40_000) < 15 * max(seconds(4_000), 0.3)
+
+
+def test_iban_in_groups_of_four(docs):
+    df = docs([(1, "pay GB82 WEST 1234 5698 7654 32 now"), (2, "GB83 WEST 1234 5698 7654 32"), (3, "DE89 3704 0044 0532 0130 00.")])
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.pii if s.kind == "iban"] for r in pii.find_pii(df).collect()}
+    assert found == {1: [("iban", 4, 31)], 2: [], 3: [("iban", 0, 27)]}
+
+
 # -- WARC --------------------------------------------------------------------
 
 def slow_records(rows):
