@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from latentgrid.llm import bpe, decontam, langid, secrets, simhash
-from latentgrid.llm.common import table, written
+from latentgrid.llm.common import bounded_batches, table, written
 from latentgrid.llm.queries import tokenizer_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -25,6 +25,8 @@ LEAST_SCORE = 0.5
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter or with no likely language."""
+    # five operators in turn share the executors' memory
+    bounded_batches(spark, "2m")
     found = langid.identify(docs.select(COLUMNS))
     return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(COLUMNS)
 
