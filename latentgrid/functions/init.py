@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latentgrid.operators.grid import Grid
+from latentgrid.operators.grid import Grid, block_sql
 
 TWO_POW_52 = float(2 ** 52)
 
@@ -56,7 +56,7 @@ def stream_uniform(seed: int, first: Column, k: int) -> Column:
 
 def factor_rows(spark: SparkSession, side: str, n_rows: int, dim: int, k: int,
                 seed: int = 1, method: str = "hash", dtype: str = "double",
-                ids: DataFrame | None = None, drawn: int = 0) -> DataFrame:
+                ids: DataFrame | None = None, drawn: int = 0, edges: tuple[int, ...] = ()) -> DataFrame:
     """Factor rows ``(side, id, block, factors)`` for ids ``0..n_rows-1``, or for
     the ids of the one-column DataFrame ``ids``. ``drawn``: rows that the stream has drawn before id 0."""
     ids = spark.range(n_rows) if ids is None else ids.select(F.col(ids.columns[0]).alias("id"))
@@ -69,7 +69,7 @@ def factor_rows(spark: SparkSession, side: str, n_rows: int, dim: int, k: int,
     else:
         raise ValueError(f"unknown init method {method!r}")
     out = ids.select(s.alias("side"), F.col("id"),
-                     F.expr(f"cast(id div {dim} as int)").alias("block"),
+                     F.expr(f"cast({block_sql('id', dim, edges)} as int)").alias("block"),
                      vec.alias("factors"))
     if dtype == "float":
         out = out.withColumn("factors", F.col("factors").cast("array<float>"))
@@ -91,8 +91,8 @@ def init_factors(spark: SparkSession, grid: Grid, k: int, seed: int = 1,
     if ratings is not None:
         wx = ratings.select(F.col("x_id").cast("bigint")).distinct()
         hy = ratings.select(F.col("y_id").cast("bigint")).distinct()
-        return (factor_rows(spark, "W", 0, grid.x_dim, k, seed, method, dtype, ids=wx)
-                .unionByName(factor_rows(spark, "H", 0, grid.y_dim, k, seed, method, dtype, ids=hy, drawn=nx)))
-    w = factor_rows(spark, "W", nx, grid.x_dim, k, seed, method, dtype)
-    h = factor_rows(spark, "H", ny, grid.y_dim, k, seed, method, dtype, drawn=nx)
+        return (factor_rows(spark, "W", 0, grid.x_dim, k, seed, method, dtype, ids=wx, edges=grid.x_edges)
+                .unionByName(factor_rows(spark, "H", 0, grid.y_dim, k, seed, method, dtype, ids=hy, drawn=nx, edges=grid.y_edges)))
+    w = factor_rows(spark, "W", nx, grid.x_dim, k, seed, method, dtype, edges=grid.x_edges)
+    h = factor_rows(spark, "H", ny, grid.y_dim, k, seed, method, dtype, drawn=nx, edges=grid.y_edges)
     return w.unionByName(h)

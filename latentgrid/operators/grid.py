@@ -9,7 +9,7 @@ steps are the anti-diagonals ``xb + yb = d``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +27,9 @@ class Grid:
     n: int = 0
     min_x: int = 0
     min_y: int = 0
+    #: First ids of the blocks after the first, where blocks aren't equal ranges.
+    x_edges: tuple[int, ...] = ()
+    y_edges: tuple[int, ...] = ()
 
     def steps(self, schedule: str) -> int:
         return self.p if schedule == "diagonal" else 2 * self.p - 1
@@ -36,6 +39,40 @@ def block_dim(max_id: int, p: int) -> int:
     return (max_id + p) // p
 
 
+def edge_sql(idc: str, edges, low: int = 0) -> str:
+    """SQL for the number of ``edges`` (ascending) up to an id, by halving."""
+    if not edges:
+        return str(low)
+    mid = len(edges) // 2
+    return (f"CASE WHEN {idc} < {edges[mid]} THEN {edge_sql(idc, edges[:mid], low)} "
+            f"ELSE {edge_sql(idc, edges[mid + 1:], low + mid + 1)} END")
+
+
+def block_sql(idc: str, dim: int, edges=()) -> str:
+    """SQL for the block of an id: equal ranges of ``dim`` ids, or the ranges between ``edges``."""
+    return edge_sql(idc, edges) if edges else f"{idc} div {dim}"
+
+
+def balanced_grid(ratings: DataFrame, p: int, accuracy: int = 100_000) -> Grid:
+    """P3 with edges that give the row blocks, and the column blocks, about equal numbers of ratings.
+
+    The edges are the ids at the P-quantiles of each side, from mergeable summaries (``approx_percentile``,
+    off by at most 1/``accuracy`` of the ratings) in one pass. An id with more ratings than a block's share keeps
+    its block to itself, and blocks next to it may be empty; no rating is moved away from its id.
+    """
+    found = compute_grid(ratings, p)
+    if p == 1:
+        return found
+    at = F.array(*[F.lit(k / p) for k in range(1, p)])
+    xs, ys = ratings.agg(F.approx_percentile("x_id", at, accuracy), F.approx_percentile("y_id", at, accuracy)).first()
+
+    def edges(ids) -> tuple[int, ...]:
+        # a block ends with its quantile; ids that hold several quantiles leave empty blocks behind
+        return tuple(int(i) + 1 for i in ids)
+
+    return replace(found, x_edges=edges(xs), y_edges=edges(ys))
+
+
 def compute_grid(ratings: DataFrame, p: int, x_col: str = "x_id", y_col: str = "y_id",
                  validate: bool = True) -> Grid:
     """One aggregate job (max, min, counts fused); only a few scalars reach the driver.
@@ -86,11 +123,11 @@ def grid_frame(ratings: DataFrame, p: int, x_col: str = "x_id", y_col: str = "y_
 
 
 def xb_col(grid: Grid, x: str = "x_id") -> Column:
-    return F.expr(f"cast({x} div {grid.x_dim} as int)")
+    return F.expr(f"cast({block_sql(x, grid.x_dim, grid.x_edges)} as int)")
 
 
 def yb_col(grid: Grid, y: str = "y_id") -> Column:
-    return F.expr(f"cast({y} div {grid.y_dim} as int)")
+    return F.expr(f"cast({block_sql(y, grid.y_dim, grid.y_edges)} as int)")
 
 
 def stratum_col(p: int, xb: str = "xb", yb: str = "yb") -> Column:

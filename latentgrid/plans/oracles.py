@@ -248,6 +248,35 @@ ORACLES["missing_id_set"] = with_(R) + """SELECT DISTINCT 'W' AS side, x_id AS i
 WHERE x_id NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"""
 
 
+ORACLES["blocks_packed_file"] = with_(R, G, B, FULL, f"""pk AS (
+  SELECT xb, yb, string_agg(CAST(x_id AS VARCHAR) || ',' || CAST(y_id AS VARCHAR) || ',' || CAST(rating AS VARCHAR) || ';', ''
+                            ORDER BY {ORDER}) AS packed FROM b GROUP BY xb, yb)""") + f"""
+SELECT CAST(f.xb * {P} + f.yb AS BIGINT) AS line_no, coalesce(pk.packed, '') AS packed
+FROM fullgrid f LEFT JOIN pk ON pk.xb = f.xb AND pk.yb = f.yb"""
+ORACLES["factors_packed_file"] = ORACLES["factors_packed"]
+
+# the blocks' edges by counts: the id of each side at rank ceil(n * k / P), and the one after it
+CROWDED = R.replace("r AS (", "r0 AS (") + """,
+r AS (SELECT x_id * x_id // 4096 AS x_id, y_id * y_id // 4096 AS y_id, * EXCLUDE (x_id, y_id) FROM r0)"""
+EDGES = f"""cuts AS (
+  SELECT unnest(range(1, {P})) AS k, (SELECT count(*) FROM r) AS n),
+ranked AS (
+  SELECT x_id, y_id, row_number() OVER (ORDER BY x_id) AS rx, row_number() OVER (ORDER BY y_id) AS ry FROM r),
+ex AS (SELECT x_id + 1 AS e FROM ranked, cuts WHERE rx = CAST(ceil(n * k / {P}.0) AS BIGINT)),
+ey AS (SELECT y_id + 1 AS e FROM ranked, cuts WHERE ry = CAST(ceil(n * k / {P}.0) AS BIGINT)),
+bx AS (SELECT i.id, CAST(count(e) AS INTEGER) AS b FROM (SELECT unnest(range(0, {P} * xd)) AS id FROM g) i LEFT JOIN ex ON e <= i.id GROUP BY i.id),
+byy AS (SELECT i.id, CAST(count(e) AS INTEGER) AS b FROM (SELECT unnest(range(0, {P} * yd)) AS id FROM g) i LEFT JOIN ey ON e <= i.id GROUP BY i.id)"""
+
+
+def _largest(name: str, side: str, block: str) -> str:
+    return (f"SELECT '{name}' AS balance, '{side}' AS side, max(n) AS largest, CAST(sum(n) AS BIGINT) AS n "
+            f"FROM (SELECT {block} AS b, count(*) AS n FROM r, g, bx, byy WHERE bx.id = x_id AND byy.id = y_id GROUP BY 1)")
+
+
+ORACLES["block_counts_balanced"] = with_(CROWDED, G, EDGES) + " UNION ALL ".join(
+    _largest(*a) for a in (("range", "xb", "x_id // xd"), ("range", "yb", "y_id // yd"), ("counts", "xb", "bx.b"), ("counts", "yb", "byy.b")))
+
+
 # -- training: serial SGD as a set-based recursive query --------------------------------
 #
 # One stratum's blocks share no x and no y, so the fit equals serial SGD over
@@ -364,3 +393,10 @@ ORACLES.update({
     "sgd_row_major": sgd_factors_sql(ROW_MAJOR_ORDER, [(0, ETA0), (1, ETA1)]),
     "sgd_warm_start": sgd_factors_sql(DIAGONAL_ORDER, [(0, ETA0), (1, ETA1)]),
 })
+
+# the same fit on the grid with edges by counts
+ORACLES["sgd_balanced"] = sgd_factors_sql(DIAGONAL_ORDER, [(0, ETA0)]).replace(
+    R, CROWDED).replace(G, G + ",\n" + EDGES).replace(
+    "CAST(x_id // xd AS INTEGER) AS xb, CAST(y_id // yd AS INTEGER) AS yb FROM r, g)",
+    "bx.b AS xb, byy.b AS yb FROM r, g, bx, byy WHERE bx.id = x_id AND byy.id = y_id)").replace(
+    "CAST(id // dim AS INTEGER) AS block", "CASE side WHEN 'W' THEN (SELECT b FROM bx WHERE bx.id = ids.id) ELSE (SELECT b FROM byy WHERE byy.id = ids.id) END AS block")

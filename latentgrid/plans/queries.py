@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from latentgrid.functions.init import init_factors
 from latentgrid.functions.vectors import axpy, dot, scale
 from latentgrid.operators.evaluate import evaluate, evaluate_blocks, missing_id_set, predict
-from latentgrid.operators.grid import (assign_blocks, block_counts, compute_grid, factor_work_key,
+from latentgrid.operators.grid import (assign_blocks, balanced_grid, block_counts, compute_grid, factor_work_key,
                                        grid_frame, inverse_work_key, schedule, with_offset)
 from latentgrid.plans import fixtures
 from latentgrid.plans.fixtures import ORDER_COLS
@@ -22,6 +22,7 @@ from latentgrid.session import scratch_path
 from latentgrid.sources.blocks import append_blocked, pack_blocks, read_stratum, unpack_blocks, write_blocked
 from latentgrid.sources.factors import (factor_lines, load_factors, pack_factors, read_factors,
                                         unpack_factors, write_factors, write_factors_text)
+from latentgrid.sources.packed import block_lines, factor_block_lines, read_packed, write_packed
 from latentgrid.sources.ratings import (parse_rating_lines, prefix_sample,
                                         rating_lines, read_ratings)
 
@@ -199,6 +200,39 @@ def q_blocks_packed(spark, sf_dir):
     return pack_blocks(r, compute_grid(r, P), ORDER_COLS, piece=PACK_PIECE)
 
 
+def q_blocks_packed_file(spark, sf_dir):
+    """S9 as text files: one line per block, read back by the ranges of the index."""
+    r = _ratings(spark, sf_dir)
+    path = scratch_path(spark, "q-packed")
+    write_packed(block_lines(pack_blocks(r, compute_grid(r, P), ORDER_COLS, piece=PACK_PIECE)), path, files=3)
+    return read_packed(spark, path)
+
+
+def q_block_counts_balanced(spark, sf_dir):
+    """P3 with edges by counts, on ids that crowd towards 0: ratings of the largest row and column block, and of the equal ranges'."""
+    r = _crowded(_ratings(spark, sf_dir))
+    out = None
+    for name, g in (("range", compute_grid(r, P)), ("counts", balanced_grid(r, P))):
+        b = assign_blocks(r, g)
+        for side in ("xb", "yb"):
+            one = b.groupBy(side).agg(F.count("*").alias("n")).agg(F.max("n").alias("largest"), F.sum("n").alias("n"))
+            one = one.select(F.lit(name).alias("balance"), F.lit(side).alias("side"), "largest", "n")
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_sgd_balanced(spark, sf_dir):
+    """A fit on the grid with edges by counts."""
+    res = fit(_crowded(_ratings(spark, sf_dir)), K, blocks=P, epochs=1, eta=ETA, decay=DECAY, seed=SEED, order_cols=ORDER_COLS,
+              balance="counts")
+    return _factor_out(res)
+
+
+def _crowded(r):
+    """Ids squared and scaled, so that most ratings have small ones."""
+    return r.withColumns({c: F.expr(f"{c} * {c} div 4096") for c in ("x_id", "y_id")})
+
+
 def q_ratings_blocked_stratum(spark, sf_dir):
     """Ratings stored by stratum; reading stratum 3 prunes the other folders."""
     r = _ratings(spark, sf_dir)
@@ -282,6 +316,18 @@ def q_factors_packed(spark, sf_dir):
     return pack_factors(_vector_factors(spark, sf_dir), decimals=6)
 
 
+def q_factors_packed_file(spark, sf_dir):
+    """S10 as text files, one per side, read back by the ranges of their index."""
+    packed = pack_factors(_vector_factors(spark, sf_dir), decimals=6)
+    out = None
+    for side in ("W", "H"):
+        path = scratch_path(spark, f"q-packed-{side}")
+        write_packed(factor_block_lines(packed, side), path, files=2)
+        back = read_packed(spark, path).select(F.lit(side).alias("side"), F.col("line_no").cast("int").alias("block"), "packed")
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
 def q_factors_flattened(spark, sf_dir):
     packed = pack_factors(_vector_factors(spark, sf_dir), decimals=6)
     return spread(unpack_factors(packed, {"W": VECTOR_DIM, "H": VECTOR_DIM}), k=VECTOR_K, decimals=None)
@@ -489,6 +535,8 @@ QUERIES = {
     "rotation_identity": q_rotation_identity,
     "blocks_packed": q_blocks_packed,
     "blocks_unpacked": q_blocks_unpacked,
+    "blocks_packed_file": q_blocks_packed_file,
+    "block_counts_balanced": q_block_counts_balanced,
     "factors_init": q_factors_init,
     "factors_init_stream": q_factors_init_stream,
     "factors_text": q_factors_text,
@@ -496,6 +544,7 @@ QUERIES = {
     "factors_text_file": q_factors_text_file,
     "factors_native": q_factors_native,
     "factors_packed": q_factors_packed,
+    "factors_packed_file": q_factors_packed_file,
     "factors_flattened": q_factors_flattened,
     "dot_products": q_dot_products,
     "vector_axpy": q_vector_axpy,
@@ -513,6 +562,7 @@ QUERIES = {
     "sgd_history": q_sgd_history,
     "sgd_history_blocks": q_sgd_history_blocks,
     "sgd_resume": q_sgd_resume,
+    "sgd_balanced": q_sgd_balanced,
     "sgd_row_major": q_sgd_row_major,
     "sgd_warm_start": q_sgd_warm_start,
     "sgd_fit_full": q_sgd_fit_full,

@@ -226,3 +226,26 @@ def test_store_grows_by_appends(spark, scratch):
         append_blocked(spark.createDataFrame([(10**6, 0, 3.0, 1, 1)], r.schema), scratch + "/grown")
     with pytest.raises(ValueError, match="the store has"):
         append_blocked(r, scratch + "/grown", compute_grid(r, 3))
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_packed_lines_are_read_by_their_ranges(spark, scratch, files):
+    from latentgrid.session import list_files
+    from latentgrid.sources.packed import packed_index, read_packed, write_packed
+    rows = [(k, "" if k % 5 == 0 else f"{k},é,😀;" * (k * 40)) for k in range(23)]
+    df = spark.createDataFrame(rows, "line_no long, packed string").repartition(4)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+        write_packed(df, scratch + "/p", files)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(map(tuple, read_packed(spark, scratch + "/p").collect())) == rows
+    assert [tuple(r) for r in read_packed(spark, scratch + "/p", [7]).collect()] == [rows[7]]
+    assert read_packed(spark, scratch + "/p", [99]).count() == 0
+    # the files' lines, one after another, are the blocks; the index has one range for each
+    text = "".join(open(f.replace("file:", "")).read() for f in list_files(spark, scratch + "/p"))
+    assert text == "".join(t + "\n" for _, t in rows)
+    assert packed_index(spark, scratch + "/p").where("line_no = 7").count() == 1
+    with pytest.raises(ValueError, match="line numbers"):
+        write_packed(df.where("line_no != 3"), scratch + "/q", files)

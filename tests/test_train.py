@@ -391,3 +391,42 @@ def test_errors_per_block_equal_the_joins(spark, slice_ratings, schedule):
         slice_ratings, res.factors.withColumn("factors", F.col("factors").cast("array<double>")), res.grid, rank=K).collect()}
     assert got.keys() == want.keys()
     assert all(got[k][1] == want[k][1] and abs(got[k][0] - want[k][0]) < 1e-9 * max(1, want[k][0]) for k in got)
+
+
+def test_edges_by_counts(spark):
+    """Ids that crowd: the largest row block holds at most half of what the equal ranges' does, and the fit equals serial SGD."""
+    from latentgrid.operators.grid import assign_blocks, balanced_grid
+    r = fixtures.ratings(spark, SF_SMALL).withColumns({c: F.expr(f"{c} * {c} div 64") for c in ("x_id", "y_id")})
+    g, even = balanced_grid(r, 6), compute_grid(r, 6)
+
+    def largest(grid):
+        return [assign_blocks(r, grid).groupBy(b).count().agg(F.max("count")).first()[0] for b in ("xb", "yb")]
+
+    print("largest row and column block:", largest(even), largest(g), "of", r.count())
+    assert all(2 * a <= b for a, b in zip(largest(g), largest(even)))
+    res = fit(r, K, blocks=6, epochs=2, order_cols=fixtures.ORDER_COLS, balance="counts")
+    assert (res.grid.x_edges, res.grid.y_edges) == (g.x_edges, g.y_edges)
+    init = as_dict(init_factors(spark, res.grid, K))
+    W = np.array([init[("W", i)] for i in range(g.p * g.x_dim)])
+    H = np.array([init[("H", i)] for i in range(g.p * g.y_dim)])
+    pdf = r.toPandas()
+    pdf["xb"] = np.searchsorted(g.x_edges, pdf.x_id, "right")
+    pdf["step"] = (np.searchsorted(g.y_edges, pdf.y_id, "right") - pdf.xb) % 6
+    pdf = pdf.sort_values(["step", "xb"] + fixtures.ORDER_COLS, kind="stable")
+    eta = 0.001
+    for _ in range(2):
+        sgd_serial(W, H, pdf.x_id.values, pdf.y_id.values, pdf.rating.values, eta)
+        eta *= 0.99
+    assert max_diff(as_dict(res.factors), W, H) < 1e-12
+
+
+@pytest.mark.parametrize("schedule", ["diagonal", "row_major"])
+def test_edges_by_counts_with_an_id_of_many_ratings(spark, schedule):
+    rows = [(5, k % 7, float(k % 5)) for k in range(60)] + [(k % 9, k % 4, 1.0) for k in range(40)]
+    r = ratings_of(spark, rows)
+    whole = fit(r, K, blocks=4, epochs=1, balance="counts", schedule=schedule, eval_every=1, ids="seen")
+    assert whole.history.first()["n"] == 100 and whole.factors.count() == 9 + 7
+    path = whole.path + "-part"
+    fit(r, K, blocks=4, epochs=1, balance="counts", schedule=schedule, eval_every=1, ids="seen", path=path, steps=2)
+    a, b = as_dict(whole.factors), as_dict(resume(spark, path).factors)
+    assert all(np.array_equal(a[k], b[k]) for k in a)
