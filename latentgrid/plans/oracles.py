@@ -400,3 +400,25 @@ ORACLES["sgd_balanced"] = sgd_factors_sql(DIAGONAL_ORDER, [(0, ETA0)]).replace(
     "CAST(x_id // xd AS INTEGER) AS xb, CAST(y_id // yd AS INTEGER) AS yb FROM r, g)",
     "bx.b AS xb, byy.b AS yb FROM r, g, bx, byy WHERE bx.id = x_id AND byy.id = y_id)").replace(
     "CAST(id // dim AS INTEGER) AS block", "CASE side WHEN 'W' THEN (SELECT b FROM bx WHERE bx.id = ids.id) ELSE (SELECT b FROM byy WHERE byy.id = ids.id) END AS block")
+
+
+def sgd_float_history_sql(order: str) -> str:
+    """The history of a fit in 32-bit arithmetic; errors are summed in 64 bits."""
+    init = INIT.replace("         [(", "         CAST([(", 1).replace("] AS v", "] AS FLOAT[]) AS v", 1)
+    steps = _sgd_ctes(order, [(0, ETA0), (1, ETA1)]).replace("-2.0::DOUBLE", "-2.0::FLOAT").replace(
+        "u.eta *", "u.eta::FLOAT *").replace("rating - list_dot_product(w, h) AS e", "rating::FLOAT - list_dot_product(w, h) AS e")
+    return with_(R, G, init, steps).replace("WITH ", "WITH RECURSIVE ", 1) + """, miss AS (
+  SELECT e.epoch, e.eta, r.rating - list_dot_product(CAST(CASE e.epoch WHEN 0 THEN w.snap ELSE w.v END AS DOUBLE[]),
+                                                     CAST(CASE e.epoch WHEN 0 THEN h.snap ELSE h.v END AS DOUBLE[])) AS d
+  FROM r JOIN final w ON w.side = 'W' AND w.id = r.x_id
+         JOIN final h ON h.side = 'H' AND h.id = r.y_id
+         CROSS JOIN ep e)
+SELECT epoch, eta, count(*) AS n, round(sqrt(sum(d * d) / count(*)), 4) AS rmse FROM miss GROUP BY epoch, eta"""
+
+
+ORACLES["sgd_float_history"] = sgd_float_history_sql(DIAGONAL_ORDER)
+# read from files, the samples of a block are ordered by their ids and rating alone (equal ones are interchangeable)
+ORACLES["train_then_evaluate"] = with_(R, G, INIT, _sgd_ctes(f"stratum, xb, x_id, y_id, rating, {ORDER}", [(0, ETA0)])).replace(
+    "WITH ", "WITH RECURSIVE ", 1) + """SELECT count(*) AS n, round(sum(d * d), 4) AS squared_error, round(sqrt(sum(d * d) / count(*)), 6) AS rmse
+FROM (SELECT r.rating - list_dot_product(w.v, h.v) AS d
+      FROM r JOIN final w ON w.side = 'W' AND w.id = r.x_id JOIN final h ON h.side = 'H' AND h.id = r.y_id)"""

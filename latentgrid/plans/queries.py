@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from latentgrid.functions.init import init_factors
 from latentgrid.functions.vectors import axpy, dot, scale
-from latentgrid.operators.evaluate import evaluate, evaluate_blocks, missing_id_set, predict
+from latentgrid.operators.evaluate import evaluate, evaluate_blocks, missing_id_set, predict, require_factors
 from latentgrid.operators.grid import (assign_blocks, balanced_grid, block_counts, compute_grid, factor_work_key,
                                        grid_frame, inverse_work_key, schedule, with_offset)
 from latentgrid.plans import fixtures
@@ -513,6 +513,25 @@ def q_sgd_fit_float(spark, sf_dir):
     return _factor_out(_fit(spark, sf_dir, epochs=EPOCHS, dtype="float"), decimals=4)
 
 
+def q_sgd_float_history(spark, sf_dir):
+    """Errors per epoch of a fit in 32-bit arithmetic."""
+    res = _fit(spark, sf_dir, epochs=EPOCHS, dtype="float", eval_every=1)
+    return res.history.select("epoch", "eta", "n", F.round("rmse", 4).alias("rmse"))
+
+
+def q_train_then_evaluate(spark, sf_dir):
+    """Rating files read, a model trained, its factors written as text, read back and evaluated."""
+    path = scratch_path(spark, "q-train")
+    rating_lines(_ratings(spark, sf_dir), ",", extra=ORDER_COLS).write.text(f"{path}/ratings")
+    r = read_ratings(spark, f"{path}/ratings", ",", "strict")
+    res = fit(r, K, blocks=P, epochs=1, eta=ETA, decay=DECAY, seed=SEED)
+    for side in ("W", "H"):
+        write_factors_text(res.factors, side, f"{path}/{side}", files=2)
+    f = read_factors(spark, f"{path}/W", "W").unionByName(read_factors(spark, f"{path}/H", "H"))
+    require_factors(r, f)
+    return evaluate(r, f, rank=K).select("n", F.round("squared_error", 4).alias("squared_error"), F.round("rmse", 6).alias("rmse"))
+
+
 QUERIES = {
     "ratings_scan": q_ratings_scan,
     "ratings_parse_text": q_ratings_parse_text,
@@ -567,4 +586,6 @@ QUERIES = {
     "sgd_warm_start": q_sgd_warm_start,
     "sgd_fit_full": q_sgd_fit_full,
     "sgd_fit_float": q_sgd_fit_float,
+    "sgd_float_history": q_sgd_float_history,
+    "train_then_evaluate": q_train_then_evaluate,
 }
