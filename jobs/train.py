@@ -45,6 +45,7 @@ def parse_args(argv=None):
     a.add_argument("--eval-every", type=int, default=0)
     a.add_argument("--sep", default=",")
     a.add_argument("--header", action="store_true")
+    a.add_argument("--splits", type=int, help="least number of tasks that read the ratings (default: the block count)")
     a.add_argument("--mode", choices=["strict", "drop"], default="strict")
     a.add_argument("--dtype", choices=["double", "float"], default="double")
     a.add_argument("--init", help="warm start from native factors")
@@ -70,7 +71,8 @@ def report(row: dict) -> None:
 
 
 def _train(spark, args):
-    ratings = read_ratings(spark, args.ratings, sep=args.sep, mode=args.mode, header=args.header)
+    ratings = read_ratings(spark, args.ratings, sep=args.sep, mode=args.mode, header=args.header,
+                           splits=args.splits or args.blocks)
     init = None
     if args.init:
         init = load_factors(spark, args.init)

@@ -55,9 +55,11 @@ def _parse_fields(df: DataFrame, line: Column, fields: list[Column], short: Colu
 
 
 def read_ratings(spark: SparkSession, path: str, sep: str = ",", mode: str = "strict",
-                 header: bool = False):
+                 header: bool = False, splits: int | None = None):
     """Read rating text files (paths and globs as Hadoop accepts them).
 
+    ``splits``: least number of tasks that parse the lines; a file with fewer splits is dealt out line by line.
+
     ``sep="::"`` reads the ``a::b::c::ts`` files directly. ``header=True`` reads the
     columns of CSV files with a header line; a quoted separator stays inside its cell.
     """
@@ -66,11 +68,18 @@ def read_ratings(spark: SparkSession, path: str, sep: str = ",", mode: str = "st
     if header:
         raw = (spark.read.option("header", True).option("sep", sep)
                .option("mode", "PERMISSIVE").csv(path))
+        raw = _least_splits(raw, splits)
         cells = [F.col(f"`{c}`") for c in raw.columns[:3]]
         line = F.concat_ws(sep, *[F.coalesce(c, F.lit("")) for c in cells])
         fields = cells + [F.lit(None).cast("string")] * (3 - len(cells))
         return _parse_fields(raw, line, fields, F.lit(len(cells) < 3), mode)
-    return parse_rating_lines(spark.read.text(path), sep, mode)
+    return parse_rating_lines(_least_splits(spark.read.text(path), splits), sep, mode)
+
+
+def _least_splits(lines: DataFrame, splits: int | None) -> DataFrame:
+    if splits is None or lines.rdd.getNumPartitions() >= splits:
+        return lines
+    return lines.repartition(splits)
 
 
 def rating_lines(ratings: DataFrame, sep: str = ",", extra: list | None = None) -> DataFrame:

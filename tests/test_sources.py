@@ -249,3 +249,12 @@ def test_packed_lines_are_read_by_their_ranges(spark, scratch, files):
     assert packed_index(spark, scratch + "/p").where("line_no = 7").count() == 1
     with pytest.raises(ValueError, match="line numbers"):
         write_packed(df.where("line_no != 3"), scratch + "/q", files)
+
+
+@pytest.mark.parametrize("header", [False, True])
+def test_least_number_of_splits(spark, tmp_path, header):
+    p = tmp_path / "r.csv"
+    p.write_text("x,y,r\n" * header + "".join(f"{k},{k % 7},{k % 5}\n" for k in range(500)))
+    few, many = (read_ratings(spark, str(p), header=header, splits=n) for n in (None, 6))
+    assert few.rdd.getNumPartitions() < 6 <= many.rdd.getNumPartitions()
+    assert rows(few, "x_id", "y_id", "rating") == rows(many, "x_id", "y_id", "rating")
