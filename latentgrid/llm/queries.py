@@ -163,4 +163,35 @@ QUERIES = {"op1_simhash": op1_simhash, "op2_pii": op2_pii, "op3_warc": op3_warc,
            "op10_embeddings": op10_embeddings, "op11_spelling": op11_spelling,
            "op12_bytes": op12_bytes, "op13_runs": op13_runs, "pipeline": pipeline}
 
-ORACLES: dict[str, str] = {}
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+
+def _base32(hex_digits: str) -> str:
+    """SQL for the base32 form of 40 hex digits: four letters for each five of them."""
+    return " || ".join(
+        f"substr('{_BASE32}', CAST(((('0x' || substr({hex_digits}, {k}, 5))::INTEGER >> {bit}) & 31) + 1 AS INTEGER), 1)"
+        for k in range(1, 41, 5) for bit in (15, 10, 5, 0))
+
+
+ORACLES: dict[str, str] = {
+    "op3_warc": f"""WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+top AS (SELECT h, max(page_id) AS page FROM p GROUP BY h),
+d AS (SELECT p.page_id, p.h, top.page, sha1(p.h) AS x FROM p JOIN top USING (h))
+SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, {_base32("x")} AS payload_digest,
+       CASE WHEN page_id = page THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> page THEN page END AS refers_to FROM d""",
+    "op10_embeddings": """WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (
+  SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS size FROM v
+  WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0),
+pair AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
+    ON a.vec_id <> b.vec_id AND list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.95),
+reach(a, b) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT r.a, p.b FROM reach r JOIN pair p ON p.a = r.b),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+links AS (SELECT a, count(*) AS n FROM pair GROUP BY a)
+SELECT v.vec_id, coalesce(links.n, 0) AS n_links, least.component_id, v.vec_id = least.component_id AS kept
+FROM v JOIN least ON least.a = v.vec_id LEFT JOIN links ON links.a = v.vec_id""",
+}

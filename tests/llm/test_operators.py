@@ -3,10 +3,13 @@
 import base64
 import collections
 import hashlib
+import math
 import os
 import random
 import re
 import time
+import unicodedata
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -481,6 +484,59 @@ def test_languages_held_out(spark):
     assert np.mean([r.lang_pred == lang[r.doc_id] for r in got]) > 0.9 and all(0 <= r.score <= 1 for r in got)
 
 
+def slow_grams(text):
+    """Hashed 1- to 3-grams of a text's letters, other characters being one blank."""
+    out, last = [], None
+    for c in text:
+        letter = unicodedata.category(c).startswith("L")
+        c = (c.lower() if len(c.lower()) == 1 else c) if letter else " "
+        if c != " " or last != " ":
+            out.append(ord(c))
+        last = c
+    for order in (1, 2, 3):
+        for k in range(len(out) - order + 1):
+            if order == 1 and out[k] == 32:
+                continue
+            h = order
+            for c, factor in zip(out[k:k + order], (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)):
+                h = (h ^ c) * factor % 2**32
+                h ^= h >> 15
+            yield h >> 16
+
+
+def test_languages_equal_a_plain_model(spark):
+    rows = [tuple(r) for r in table(spark, "documents").select("doc_id", "text", "lang").collect()]
+    counts, n = collections.defaultdict(collections.Counter), collections.Counter()
+    for i, text, lang in rows:
+        if zlib.crc32(str(i).encode()) % 5 and text is not None and lang is not None:
+            counts[lang].update(slow_grams(text))
+            n[lang] += 1
+    size = {k: sum(c.values()) + 0.5 * 2**16 for k, c in counts.items()}
+    got = {r.doc_id: r for r in queries.op8_langid(spark, SF).collect()}
+    for i, text, _ in rows:
+        grams = collections.Counter(slow_grams(text or ""))
+        if not any(unicodedata.category(c).startswith("L") for c in text or ""):
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        score = {k: math.log(n[k] / sum(n.values())) + sum(m * math.log((counts[k][g] + 0.5) / size[k]) for g, m in grams.items()) for k in n}
+        best = max(sorted(score), key=score.get)
+        assert got[i].lang_pred == best
+        assert got[i].score == pytest.approx(1 / sum(math.exp(s - score[best]) for s in score.values()), abs=1e-6)
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+    con = duckdb.connect()
+    for t in ("pages", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    sql = con.execute(queries.ORACLES[name])
+    columns = [d[0] for d in sql.description]
+    got = queries.QUERIES[name](spark, SF)
+    assert sorted(got.columns) == sorted(columns)
+    assert sorted((tuple(r) for r in got.select(columns).collect()), key=repr) == sorted(sql.fetchall(), key=repr)
+
+
 def test_language_edge_rows(docs):
     df = docs([(1, "the cat and the dog"), (2, "der Hund und die Katze", "de"), (3, None), (4, ""), (6, "12 34 !!", "de"),
                (None, "the dog " * 60_000), (8, "und die", None), (9, "the cat"), (11, "die Katze", "de")])
