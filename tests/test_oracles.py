@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
-TABLES = ["lineitem", "orders", "customer", "part", "embeddings"]
+TABLES = ["lineitem", "orders", "customer", "part", "embeddings", "pages"]
 
 
 def _norm(v):
