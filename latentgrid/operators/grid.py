@@ -73,6 +73,31 @@ def balanced_grid(ratings: DataFrame, p: int, accuracy: int = 100_000) -> Grid:
     return replace(found, x_edges=edges(xs), y_edges=edges(ys))
 
 
+def faults(x: Column, y: Column, rating: Column | None = None, grid: Grid | None = None) -> dict[str, Column]:
+    """P10: what makes a rating unfit for training, by name; a rating may have several faults. Never null."""
+    nothing = F.lit(False)
+    found = {"null_id": x.isNull() | y.isNull(),
+             "null_rating": nothing if rating is None else rating.isNull() | F.isnan(rating.cast("double")),
+             "negative_id": F.coalesce(x < 0, nothing) | F.coalesce(y < 0, nothing)}
+    if grid is not None:
+        found["outside_grid"] = (F.coalesce(x >= grid.p * grid.x_dim, nothing) | F.coalesce(y >= grid.p * grid.y_dim, nothing))
+    return found
+
+
+def rating_faults(ratings: DataFrame, grid: Grid | None = None) -> DataFrame:
+    """P10 as a report: ``(fault, n, clean)`` per kind of fault, with the number of ratings that have none.
+
+    One pass with partial sums. An empty table gives zeros. Nothing is raised or dropped.
+    """
+    bad = faults(F.col("x_id"), F.col("y_id"), F.col("rating"), grid)
+    none = ~next(iter(bad.values()))
+    for c in list(bad.values())[1:]:
+        none &= ~c
+    one = ratings.agg(*(F.count_if(c).alias(name) for name, c in bad.items()), F.count_if(none).alias("clean"))
+    return one.select(F.explode(F.array(*[F.struct(F.lit(name).alias("fault"), F.col(name).alias("n")) for name in bad])).alias("f"),
+                      "clean").select("f.fault", "f.n", "clean")
+
+
 def compute_grid(ratings: DataFrame, p: int, x_col: str = "x_id", y_col: str = "y_id",
                  validate: bool = True) -> Grid:
     """One aggregate job (max, min, counts fused); only a few scalars reach the driver.
@@ -83,12 +108,11 @@ def compute_grid(ratings: DataFrame, p: int, x_col: str = "x_id", y_col: str = "
     if p < 1:
         raise ValueError("block count P must be >= 1")
     x, y = F.col(x_col), F.col(y_col)
-    bad = F.col("rating").isNull() | F.isnan(F.col("rating").cast("double")) \
-        if "rating" in ratings.columns else F.lit(False)
+    bad = faults(x, y, F.col("rating") if "rating" in ratings.columns else None)
     row = ratings.agg(F.max(x).alias("mx"), F.max(y).alias("my"),
                       F.min(x).alias("nx"), F.min(y).alias("ny"),
-                      F.count_if(x.isNull() | y.isNull()).alias("no_id"),
-                      F.count_if(bad).alias("no_rating"),
+                      F.count_if(bad["null_id"]).alias("no_id"),
+                      F.count_if(bad["null_rating"]).alias("no_rating"),
                       F.count(F.lit(1)).alias("n")).first()
     n = int(row["n"])
     if validate:

@@ -145,6 +145,17 @@ FROM judged WHERE reason IS NOT NULL""",
         f"""SELECT f.xb, f.yb, CAST({pmod("f.yb - f.xb")} AS INTEGER) AS stratum,
        CAST(coalesce(c.n, 0) AS BIGINT) AS n
 FROM fullgrid f LEFT JOIN c ON c.xb = f.xb AND c.yb = f.yb""",
+    "rating_faults": with_(R, G, f"""d AS (
+  SELECT CASE WHEN l_linenumber <> 7 THEN CASE WHEN l_quantity = 48 THEN -1 - x_id ELSE x_id END END AS x,
+         CASE WHEN l_quantity = 47 THEN y_id + {P} * yd ELSE y_id END AS y, {P} * xd AS nx, {P} * yd AS ny,
+         CASE WHEN l_quantity IN (49, 50) THEN NULL ELSE rating END AS v FROM r, g)""", """f AS (
+  SELECT x IS NULL OR y IS NULL AS f1, v IS NULL AS f2,
+         coalesce(x < 0, false) OR coalesce(y < 0, false) AS f3, coalesce(x >= nx, false) OR coalesce(y >= ny, false) AS f4 FROM d)""",
+        "c AS (SELECT count(*) AS clean FROM f WHERE NOT (f1 OR f2 OR f3 OR f4))") + " UNION ALL ".join(
+        f"SELECT '{name}' AS fault, (SELECT count(*) FROM f WHERE {col}) AS n, clean FROM c" for name, col in (
+            ("null_id", "f1"), ("null_rating", "f2"), ("negative_id", "f3"), ("outside_grid", "f4"))),
+    "step_layout": with_(R, G, B) + f"""SELECT CAST({pmod("yb - xb")} AS INTEGER) AS step, xb, count(*) AS n
+FROM b GROUP BY 1, 2""",
     "stratum_rows": with_(R, G, B) + f"""SELECT *, CAST({pmod("yb - xb")} AS INTEGER) AS stratum,
        xb AS work FROM b""",
     "stratum_counts": with_(R, G, B) + f"""SELECT CAST({pmod("yb - xb")} AS INTEGER) AS stratum,

@@ -14,7 +14,8 @@ from latentgrid.functions.init import init_factors
 from latentgrid.functions.vectors import axpy, dot, scale
 from latentgrid.operators.evaluate import evaluate, evaluate_blocks, missing_id_set, predict, require_factors
 from latentgrid.operators.grid import (assign_blocks, balanced_grid, block_counts, compute_grid, factor_work_key,
-                                       grid_frame, inverse_work_key, schedule, with_offset)
+                                       grid_frame, inverse_work_key, rating_faults, schedule, with_offset)
+from latentgrid.operators.step import balanced_keys, prepare_ratings
 from latentgrid.plans import fixtures
 from latentgrid.plans.fixtures import ORDER_COLS
 from latentgrid.plans.train import fit, resume
@@ -138,6 +139,28 @@ def q_grid_dims(spark, sf_dir):
     return grid_frame(_ratings(spark, sf_dir), P)
 
 
+def q_rating_faults(spark, sf_dir):
+    """P10 on damaged ratings: ids and ratings taken away, negative ids and ids beyond the grid of the sound table."""
+    r = _ratings(spark, sf_dir)
+    g = compute_grid(r, P)
+    x, y, v, q = (F.col(c) for c in ("x_id", "y_id", "rating", "l_quantity"))
+    damaged = r.select(F.when(F.col("l_linenumber") != 7, F.when(q == 48, -1 - x).otherwise(x)).alias("x_id"),
+                       F.when(q == 47, y + P * g.y_dim).otherwise(y).alias("y_id"),
+                       F.when(q == 50, F.lit(float("nan"))).when(q != 49, v).alias("rating"))
+    return rating_faults(damaged, g)
+
+
+def q_step_layout(spark, sf_dir):
+    """Samples in each partition of each step's cached ratings; partition b holds the block of row block b, no other."""
+    r = _ratings(spark, sf_dir)
+    laid = prepare_ratings(r, compute_grid(r, P), "diagonal", balanced_keys(spark, P), ORDER_COLS)
+    out = None
+    for s in range(P):
+        one = laid.part(s).select(F.lit(s).alias("step"), F.spark_partition_id().alias("xb"), F.expr("octet_length(a) div 8").alias("n"))
+        out = one if out is None else out.unionByName(one)
+    return out.groupBy("step", "xb").agg(F.sum("n").alias("n"))
+
+
 def q_block_assign(spark, sf_dir):
     r = _ratings(spark, sf_dir)
     g = compute_grid(r, P)
@@ -544,6 +567,8 @@ QUERIES = {
     "ratings_blocked_stratum": q_ratings_blocked_stratum,
     "ratings_appended": q_ratings_appended,
     "grid_dims": q_grid_dims,
+    "rating_faults": q_rating_faults,
+    "step_layout": q_step_layout,
     "block_assign": q_block_assign,
     "block_offset": q_block_offset,
     "block_counts": q_block_counts,

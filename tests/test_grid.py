@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from latentgrid.operators.grid import (assign_blocks, block_counts, block_dim, compute_grid,
-                                       factor_work_key, inverse_work_key, schedule)
+                                       factor_work_key, inverse_work_key, rating_faults, schedule)
 from latentgrid.plans import fixtures
 
 
@@ -49,3 +49,13 @@ def test_negative_ids_rejected(spark):
     df = spark.createDataFrame([(-1, 0, 1.0)], "x_id long, y_id long, rating double")
     with pytest.raises(ValueError, match=">= 0"):
         compute_grid(df, 2)
+
+
+def test_rating_faults(spark):
+    rows = [(0, 0, 1.0), (None, 1, 1.0), (2, None, None), (-1, 3, float("nan")), (1, -4, 2.0), (4, 0, 1.0), (3, 3, 1.0), (None, -1, 1.0)]
+    df = spark.createDataFrame(rows, "x_id long, y_id long, rating double")
+    g = compute_grid(spark.createDataFrame([(3, 3, 1.0)], df.schema), 2)
+    found = {r.fault: (r.n, r.clean) for r in rating_faults(df, g).collect()}
+    assert found == {"null_id": (3, 2), "null_rating": (2, 2), "negative_id": (3, 2), "outside_grid": (1, 2)}
+    assert {r.fault: (r.n, r.clean) for r in rating_faults(df.limit(0)).collect()} == {
+        "null_id": (0, 0), "null_rating": (0, 0), "negative_id": (0, 0)}
