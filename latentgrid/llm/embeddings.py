@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import math
+from typing import Iterator, Tuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latentgrid.llm.common import smallest_labels, written
+from latentgrid.llm.common import bounded_batches, smallest_labels, written
 from latentgrid.llm.graph import components
 
-#: Vectors of a block; a task multiplies two blocks.
+#: Vectors of a block.
 BLOCK = 4096
+#: Bytes of vectors that a tile holds of one of its two parts, while the blocks of the other pass by.
+HOLD = 1 << 26
 #: Rows of a block that are multiplied with the other block at once.
 STRIP = 512
 
@@ -70,23 +73,27 @@ def _pack(key, rows):
                      "body": pa.array([body.tobytes()])})
 
 
-def _tile(threshold: float, kind: str):
-    def links(key, rows):
-        dim, i, j = (k.as_py() for k in key)
-        blocks = {}
-        for row in rows.to_pylist():
-            blocks[row["block"]] = (np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["sizes"], "<i8"),
-                                    np.frombuffer(row["body"], kind).reshape(-1, dim).astype(np.float64))
-        if i not in blocks or j not in blocks:
-            return _EMPTY
-        (ids_a, n_a, a), (ids_b, n_b, b) = blocks[i], blocks[j]
-        same = i == j
-        shift = 0 if same else len(ids_a)
-        ids = ids_a if same else np.concatenate([ids_a, ids_b])
-        count = np.zeros(len(ids))
+class _Block:
+    """Vectors of a block with the sizes of their classes, and the links counted so far."""
+
+    def __init__(self, row: dict, dim: int, kind: str):
+        self.ids, self.sizes = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["sizes"], "<i8")
+        self.body = np.frombuffer(row["body"], kind).reshape(-1, dim)
+        self.links = np.zeros(len(self.ids))
+
+    def counted(self) -> pa.RecordBatch:
+        some = np.flatnonzero(self.links)
+        return _links(self.ids[some], pa.nulls(len(some), pa.int64()), self.links[some].astype(np.int64))
+
+    def joined(self, other: _Block, threshold: float) -> pa.RecordBatch:
+        """Count the links with ``other`` (or among its own) on both sides; returns edges that connect what is linked."""
+        same = self is other
+        shift = 0 if same else len(self.ids)
+        ids = self.ids if same else np.concatenate([self.ids, other.ids])
         left, right, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
-        for r, c in tile_links(a, b, same, threshold):
-            count += np.bincount(r, n_b[c], len(ids)) + np.bincount(c + shift, n_a[r], len(ids))
+        for r, c in tile_links(self.body.astype(np.float64), other.body.astype(np.float64), same, threshold):
+            self.links += np.bincount(r, other.sizes[c], len(self.ids))
+            other.links += np.bincount(c, self.sizes[r], len(other.ids))
             left.append(r)
             right.append(c + shift)
             held += len(r)
@@ -95,29 +102,48 @@ def _tile(threshold: float, kind: str):
                 far = np.flatnonzero(lab != np.arange(len(lab)))
                 left, right, held = [far], [lab[far]], len(far)
         lab = smallest_labels(len(ids), np.concatenate(left), np.concatenate(right))
-        some, far = np.flatnonzero(count), np.flatnonzero(lab != np.arange(len(lab)))
-        return pa.table({
-            "a": pa.array(np.concatenate([ids[some], ids[far]])),
-            "b": pa.array([None] * len(some) + ids[lab[far]].tolist(), pa.int64()),
-            "n": pa.array(np.concatenate([count[some].astype(np.int64), np.zeros(len(far), np.int64)]))})
-    return links
+        far = np.flatnonzero(lab != np.arange(len(lab)))
+        return _links(ids[far], ids[lab[far]], np.zeros(len(far), np.int64))
 
 
-_EMPTY = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
+def _links(a, b, n) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], ["a", "b", "n"])
+
+
+def _tile(threshold: float, kind: str):
+    def links(key: Tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dim, i, j = (k.as_py() for k in key)
+        held: list[_Block] = []
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = {c: batch.column(c)[k].as_py() for c in ("part", "ids", "sizes", "body")}
+                block = _Block(row, dim, kind)
+                if row["part"] == i:
+                    held.append(block)
+                if i == j or row["part"] == j:
+                    for other in held:
+                        yield other.joined(block, threshold)
+                    if i != j:
+                        yield block.counted()
+        for block in held:
+            yield block.counted()
+    return links
 
 
 def near_duplicates(df: DataFrame, id: str = "vec_id", vector: str = "embedding", threshold: float = 0.95,
-                    block: int = BLOCK) -> DataFrame:
+                    block: int = BLOCK, hold: int = HOLD) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for each row of ``df``, over all pairs at ``threshold`` or more.
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing, as do vectors
-    of different lengths. Equal vectors are one class with a size; classes are dealt into blocks, each two blocks of
-    one length meet in a task, which hands on the numbers of links and the edges that connect what it has
-    found, never all pairs. Repeated rows count as vectors; rows with a null id are linked, but name no
+    of different lengths. Equal vectors are one class with a size; classes are dealt into blocks and blocks into parts
+    of up to ``hold`` bytes. Each two parts of one length meet in a tile, which holds one part, lets the other's blocks pass by, and
+    hands on the numbers of links and the edges that connect what it has found, never all pairs. A vector is sent once
+    to each part, of which there are as few as memory and the number of cores allow. Repeated rows count as vectors; rows with a null id are linked, but name no
     component. An empty table gives an empty result. The threshold must be above 0.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be above 0 and at most 1")
+    bounded_batches(df.sparkSession)
     rows = df.select(F.col(id).cast("bigint").alias("vec_id"), F.col(vector).alias("v"))
     kind = "<f4" if dict(rows.dtypes)["v"] == "array<float>" else "<f8"
     if kind == "<f8":
@@ -126,13 +152,20 @@ def near_duplicates(df: DataFrame, id: str = "vec_id", vector: str = "embedding"
                   "AND exists(v, x -> x != 0), false)")
     classes = written(rows.where(good).groupBy("v").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"))
                       .withColumn("id", F.monotonically_increasing_id()), "classes")
-    blocks = max(1, math.ceil(classes.count() / block))
+    n, dim = classes.agg(F.count("*"), F.max(F.size("v"))).first()
+    blocks = max(1, math.ceil(n / block))
+    most = max(1, hold // (block * (dim or 1) * np.dtype(kind).itemsize))
+    # a square of parts with at least two tiles for each core
+    parts = min(blocks, max(math.ceil(blocks / most), math.ceil(2 * math.sqrt(df.sparkSession.sparkContext.defaultParallelism))))
     packed = written(
         classes.select(F.size("v").alias("dim"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), "id", "n", "v")
         .groupBy("dim", "block").applyInArrow(_pack, "dim int, block int, ids binary, sizes binary, body binary"), "blocks")
-    tiles = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    tiles = (packed.withColumn("part", F.pmod("block", F.lit(parts)))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+             .select("dim", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "block", "ids", "sizes", "body"))
     found = written(
-        tiles.groupBy("dim", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+        # the blocks of part i come first
+        tiles.repartition("dim", "i", "j").sortWithinPartitions("dim", "i", "j", "part", "block").groupBy("dim", "i", "j")
         .applyInArrow(_tile(threshold, kind), "a bigint, b bigint, n bigint"), "links")
     links = found.where("b IS NULL").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("links"))
     roots = components(found.where("b IS NOT NULL").select("a", "b")).withColumnRenamed("node", "id")

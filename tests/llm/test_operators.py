@@ -600,7 +600,10 @@ def test_embedding_links_equal_brute_force(spark, kind):
     rows += [(900, None), (901, []), (902, [0.0] * 12), (903, [float("nan")] + [1.0] * 11), (904, [None] + [1.0] * 11),
              (905, [1.0, 2.0]), (906, [2.0, 4.0]), (907, [float("inf")] * 12)]
     df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").withColumn("n", F.lit(1))
-    assert as_rows(embeddings.near_duplicates(df, block=16), *COLUMNS) == sorted(slow_links(rows), key=repr)
+    # several blocks a part, and a part for each block
+    for block, hold in ((16, embeddings.HOLD), (4, embeddings.HOLD), (8, 1)):
+        found = embeddings.near_duplicates(df, block=block, hold=hold)
+        assert as_rows(found, *COLUMNS) == sorted(slow_links(rows), key=repr)
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
 
