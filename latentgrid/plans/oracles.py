@@ -11,6 +11,7 @@ K = 4
 VECTOR_DIM = 100
 VECTOR_K = 64
 PACK_PIECE = 50
+FACTOR_PIECE = 30
 ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity"
 
 R = f"""r AS (
@@ -193,6 +194,9 @@ FROM fullgrid f LEFT JOIN pk ON pk.xb = f.xb AND pk.yb = f.yb""",
     "factors_packed": with_(VECTORS) + "SELECT side, block, string_agg(" +
         " || ".join(f"{fixed(f'v[{k + 1}]')} || ','" for k in range(VECTOR_K)) +
         " || ';', '' ORDER BY id) AS packed FROM init GROUP BY side, block",
+    "factors_packed_pieces": with_(VECTORS) + f"SELECT side, block, id % {VECTOR_DIM} - id % {VECTOR_DIM} % {FACTOR_PIECE} AS start, string_agg(" +
+        " || ".join(f"{fixed(f'v[{k + 1}]')} || ','" for k in range(VECTOR_K)) +
+        " || ';', '' ORDER BY id) AS packed FROM init GROUP BY 1, 2, 3",
     "factors_flattened": with_(VECTORS) + "SELECT side, id, block, " +
         ", ".join(f"CAST({fixed(f'v[{k + 1}]')} AS DOUBLE) AS f{k}" for k in range(VECTOR_K)) + " FROM init",
     "dot_products": with_("v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings)") +

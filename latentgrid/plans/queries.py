@@ -21,8 +21,8 @@ from latentgrid.plans.fixtures import ORDER_COLS
 from latentgrid.plans.train import fit, resume
 from latentgrid.session import scratch_path
 from latentgrid.sources.blocks import append_blocked, pack_blocks, read_stratum, unpack_blocks, write_blocked
-from latentgrid.sources.factors import (factor_lines, load_factors, pack_factors, read_factors,
-                                        unpack_factors, write_factors, write_factors_text)
+from latentgrid.sources.factors import (factor_lines, load_factors, pack_factor_pieces, pack_factors,
+                                        read_factors, unpack_factors, write_factors, write_factors_text)
 from latentgrid.sources.packed import block_lines, factor_block_lines, read_packed, write_packed
 from latentgrid.sources.ratings import (parse_rating_lines, prefix_sample,
                                         rating_lines, read_ratings)
@@ -33,6 +33,7 @@ K = 4
 VECTOR_K = 64
 SEED = 1
 PACK_PIECE = 50
+FACTOR_PIECE = 30
 VECTOR_DIM = 100
 EPOCHS = 2
 ETA = 0.001
@@ -339,6 +340,11 @@ def q_factors_packed(spark, sf_dir):
     return pack_factors(_vector_factors(spark, sf_dir), decimals=6)
 
 
+def q_factors_packed_pieces(spark, sf_dir):
+    """S10 in records of FACTOR_PIECE rows."""
+    return pack_factor_pieces(_vector_factors(spark, sf_dir), {"W": VECTOR_DIM, "H": VECTOR_DIM}, decimals=6, piece=FACTOR_PIECE)
+
+
 def q_factors_packed_file(spark, sf_dir):
     """S10 as text files, one per side, read back by the ranges of their index."""
     packed = pack_factors(_vector_factors(spark, sf_dir), decimals=6)
@@ -588,6 +594,7 @@ QUERIES = {
     "factors_text_file": q_factors_text_file,
     "factors_native": q_factors_native,
     "factors_packed": q_factors_packed,
+    "factors_packed_pieces": q_factors_packed_pieces,
     "factors_packed_file": q_factors_packed_file,
     "factors_flattened": q_factors_flattened,
     "dot_products": q_dot_products,

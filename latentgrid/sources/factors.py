@@ -8,7 +8,7 @@ files whose concatenation in name order is the file. Native form: Parquet
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from latentgrid.functions.vectors import join_fixed, join_text, parse_nonempty_numbers, parse_numbers
@@ -109,28 +109,55 @@ def load_factors(spark: SparkSession, path: str) -> DataFrame:
     return df.select("side", "id", "block", "factors")
 
 
+def _block_row(decimals: int | None) -> Column:
+    """A factor row as the packed format has it: values ended by ``,``, the row by ``;``."""
+    fmt = (lambda x: x.cast("string")) if decimals is None else \
+        (lambda x: F.format_string(f"%.{decimals}f", x))
+    return F.concat(F.array_join(F.transform("factors", lambda v: F.concat(fmt(v), F.lit(","))), ""), F.lit(";"))
+
+
 def pack_factors(factors: DataFrame, decimals: int | None = None) -> DataFrame:
     """One record per (side, block): rows ended by ``;``, values ended by ``,``.
 
     The format holds a block of ``dim = max_id / P`` rows in one record: P is to be chosen
-    so that a block fits a record.
+    so that a block fits a record. ``pack_factor_pieces`` has no such bound.
     """
-    fmt = (lambda x: x.cast("string")) if decimals is None else \
-        (lambda x: F.format_string(f"%.{decimals}f", x))
-    row_txt = F.concat(F.array_join(F.transform("factors", lambda v: F.concat(fmt(v), F.lit(","))), ""),
-                       F.lit(";"))
-    g = (factors.select("side", "block", "id", row_txt.alias("t"))
+    g = (factors.select("side", "block", "id", _block_row(decimals).alias("t"))
          .groupBy("side", "block")
          .agg(F.array_sort(F.collect_list(F.struct("id", "t"))).alias("rows")))
     return g.select("side", "block",
                     F.array_join(F.transform("rows", lambda s: s["t"]), "").alias("packed"))
 
 
+#: Rows of a packed record.
+PIECE = 16_384
+
+
+def _dim(dims: dict[str, int]) -> Column:
+    return F.when(F.col("side") == "W", F.lit(dims["W"])).otherwise(F.lit(dims["H"])).cast("bigint")
+
+
+def pack_factor_pieces(factors: DataFrame, dims: dict[str, int], decimals: int | None = None, piece: int = PIECE) -> DataFrame:
+    """S10 in records of up to ``piece`` rows: ``(side, block, start, packed)``, put together as ``pack_factors`` has a block.
+
+    ``start`` is the position in the block of a record's first row. It follows from the id, so that no block is sorted
+    or gathered. The format keeps no ids: a record's rows must be those of ids from its first one on, and a gap or a repeated id in them
+    fails the job. A block's last record may be shorter, and so may others, unless they become one line of a file.
+    """
+    rows = factors.select("side", "block", (F.col("id") - F.col("block") * _dim(dims)).alias("pos"), _block_row(decimals).alias("t"))
+    g = (rows.withColumn("start", F.col("pos") - F.pmod("pos", F.lit(piece)))
+         .groupBy("side", "block", "start")
+         .agg(F.array_sort(F.collect_list(F.struct("pos", "t"))).alias("rows"), F.countDistinct("pos").alias("n"), F.max("pos").alias("last")))
+    whole = (F.size("rows") == F.col("n")) & (F.col("n") == F.col("last") - F.col("start") + 1)
+    text = F.when(whole, F.array_join("rows.t", "")).otherwise(F.raise_error(F.lit("factor rows of a block have a gap or a repeated id")))
+    return g.select("side", "block", "start", text.alias("packed"))
+
+
 def unpack_factors(packed: DataFrame, dims: dict[str, int]) -> DataFrame:
-    """S10 reader: ``(side, block, packed)`` -> ``(side, id, block, factors)``;
+    """S10 reader: ``(side, block, packed)``, with ``start`` or without -> ``(side, id, block, factors)``;
     empty rows and empty cells are skipped, row i of block b is id ``b*dim + i``."""
     rows = F.filter(F.split("packed", ";", -1), lambda t: F.trim(t) != F.lit(""))
-    ex = packed.select("side", "block", F.posexplode(rows).alias("pos", "row_txt"))
-    dim = F.when(F.col("side") == "W", F.lit(dims["W"])).otherwise(F.lit(dims["H"]))
-    return ex.select("side", (F.col("block").cast("bigint") * dim + F.col("pos")).alias("id"),
+    start = F.col("start") if "start" in packed.columns else F.lit(0)
+    ex = packed.select("side", "block", start.alias("start"), F.posexplode(rows).alias("pos", "row_txt"))
+    return ex.select("side", (F.col("block").cast("bigint") * _dim(dims) + F.col("start") + F.col("pos")).alias("id"),
                      "block", parse_nonempty_numbers(F.col("row_txt")).alias("factors"))

@@ -27,7 +27,13 @@ def block_lines(packed: DataFrame) -> DataFrame:
 
 
 def factor_block_lines(packed: DataFrame, side: str) -> DataFrame:
-    """``(line_no, packed)`` of one side, from the output of ``pack_factors``; blocks without rows have no line."""
+    """``(line_no, packed)`` of one side, from the output of ``pack_factors`` or ``pack_factor_pieces``; blocks without rows have no line."""
+    if "start" in packed.columns:
+        own = packed.where(F.col("side") == side).select(F.col("block").alias("line_no"), "start", "packed")
+        size = F.regexp_count("packed", F.lit(";"))
+        whole = own.groupBy("line_no").agg(F.sum(size).alias("n"), F.max(F.col("start") + size).alias("end"))
+        return block_lines(own).join(whole, "line_no").select("line_no", F.when(F.col("n") == F.col("end"), F.col("packed")).otherwise(
+            F.raise_error(F.lit("rows are missing between the records of a block"))).alias("packed"))
     return packed.where(F.col("side") == side).select(F.col("block").cast("bigint").alias("line_no"), "packed")
 
 

@@ -8,8 +8,8 @@ from latentgrid.functions.init import init_factors
 from latentgrid.operators.grid import Grid, compute_grid
 from latentgrid.plans import fixtures
 from latentgrid.sources.blocks import pack_blocks, read_stratum, unpack_blocks, write_blocked
-from latentgrid.sources.factors import (load_factors, pack_factors, read_factors, unpack_factors,
-                                        with_blocks, write_factors, write_factors_text)
+from latentgrid.sources.factors import (load_factors, pack_factor_pieces, pack_factors, read_factors,
+                                        unpack_factors, with_blocks, write_factors, write_factors_text)
 from latentgrid.sources.ratings import prefix_sample, read_ratings
 
 
@@ -107,6 +107,37 @@ def test_packed_factors_roundtrip(spark):
     assert rows(back, "side", "id", "block", "factors") == rows(f, "side", "id", "block", "factors")
 
 
+@pytest.mark.parametrize("piece", [1, 2, 3, 100])
+def test_packed_factor_pieces(spark, piece):
+    from latentgrid.sources.packed import factor_block_lines
+
+    dims = {"W": 5, "H": 2}
+    f = init_factors(spark, Grid(3, 14, 5, 5, 2), 2).repartition(7)
+    pieces = pack_factor_pieces(f, dims, piece=piece)
+    assert {(r.side, r.block, r.start) for r in pieces.collect()} == {
+        (s, b, k) for s in dims for b in range(3) for k in range(0, dims[s], piece)}
+    assert rows(unpack_factors(pieces, dims), "side", "id", "block", "factors") == rows(f, "side", "id", "block", "factors")
+    whole = pack_factors(f)
+    for side in dims:
+        assert rows(factor_block_lines(pieces, side), "line_no", "packed") == rows(factor_block_lines(whole, side), "line_no", "packed")
+    assert pack_factor_pieces(f.limit(0), dims, piece=piece).count() == 0
+
+
+def test_packed_factor_pieces_tell_gaps(spark):
+    from latentgrid.sources.packed import factor_block_lines
+
+    f = init_factors(spark, Grid(3, 14, 5, 5, 2), 2)
+    dims = {"W": 5, "H": 2}
+    with pytest.raises(Exception, match="gap or a repeated id"):
+        pack_factor_pieces(f.where("id != 6"), dims, piece=3).collect()
+    with pytest.raises(Exception, match="gap or a repeated id"):
+        pack_factor_pieces(f.union(f.where("side = 'H' AND id = 3")), dims, piece=3).collect()
+    gap = pack_factor_pieces(f.where("side = 'W' AND id != 7"), dims, piece=3)
+    assert rows(unpack_factors(gap, dims), "id") == [(i,) for i in range(15) if i != 7]
+    with pytest.raises(Exception, match="rows are missing"):
+        factor_block_lines(gap, "W").collect()
+
+
 def test_packed_blocks_roundtrip_and_empty_blocks(spark):
     r = read_ratings(spark, data("gaps.csv"))
     g = compute_grid(r, 4)
