@@ -160,7 +160,10 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", orders=ORDERS,
 
 
 def with_language(df: DataFrame, model: Model, text: str = "text", to: str = "lang_pred", score: str = "score") -> DataFrame:
-    """Add the predicted language and its probability; texts that are null or have no letter get ``und`` and 0."""
+    """Add the predicted language and its probability; texts that are null or have no letter get ``und`` and 0.
+
+    Columns of ``df`` that are called ``to`` or ``score`` are replaced, also if ``text`` is one of them; all others stay.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang: string, score: double>")
@@ -168,7 +171,7 @@ def with_language(df: DataFrame, model: Model, text: str = "text", to: str = "la
         langs, top = shared.value.predict(column)
         return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(top)], ["lang", "score"])
 
-    name = f"__{to}"
+    name = "_" + "_".join(df.columns)  # longer than any of them
     return (df.withColumn(name, predict(F.col(text)))
             .withColumn(to, F.col(f"{name}.lang")).withColumn(score, F.col(f"{name}.score")).drop(name))
 

@@ -610,3 +610,18 @@ def test_embedding_links_equal_brute_force(spark, kind):
 def test_embedding_query(spark):
     rows = [(r.vec_id, r.embedding) for r in table(spark, "embeddings").collect()]
     assert as_rows(queries.op10_embeddings(spark, SF), *COLUMNS) == sorted(slow_links(rows), key=repr)
+
+
+def test_language_of_tables_with_clashing_columns(spark):
+    texts = [("the cat sat on the mat and the dog", "en"), ("der hund und die katze sind nicht hier", "de")]
+    rows = [(i, *texts[i % 2], "x", 7.0, "y", "z") for i in range(40)] + [(40, None, "en", "x", 7.0, "y", "z"), (41, "12 + 5", None, "x", 7.0, "y", "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string, score double, __lang_pred string, LANGS string")
+    plain = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(df.select("doc_id", "text", "lang")).collect()}
+    found = langid.identify(df)
+    assert sorted(found.columns) == sorted(df.columns)
+    for r in found.collect():
+        assert (r.lang_pred, r.score) == plain[r.doc_id] and (r["__lang_pred"], r.LANGS) == ("y", "z")
+        assert r.lang_pred == ("und" if r.doc_id >= 40 else texts[r.doc_id % 2][1])
+    # the text's own column takes the result
+    own = langid.with_language(df.select("doc_id", "text"), langid.train(df), to="text", score="p").collect()
+    assert {r.doc_id: (r.text, r.p) for r in own} == plain
