@@ -8,8 +8,6 @@ broadcast from runtime sizes or split a skewed key.
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,34 +60,28 @@ def predict(ratings: DataFrame, factors: DataFrame, on_missing: str = "error",
     return j.select(*cols, p.alias("prediction"))
 
 
-def _id_bitmaps(ids: DataFrame, name: str) -> DataFrame:
-    """``(side, bucket, <name>)``: a bit for each id of ``ids(side, id)``, 32,768 to a row."""
-    return ids.groupBy("side", F.bitmap_bucket_number("id").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias(name))
+def _id_bits(ids: DataFrame, name: str) -> DataFrame:
+    """``(side, bucket, <name>)``: a bit for each id of ``ids(side, id)``, 64 to a number.
+
+    Numbers are combined in a hash table of each task; bitmaps of more ids are binary values, for which Spark would sort all rows.
+    """
+    return ids.groupBy("side", F.shiftright("id", 6).alias("bucket")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(id & 63 AS int))")).alias(name))
 
 
 def missing_id_set(ratings: DataFrame, factors: DataFrame, x: str = "x_id", y: str = "y_id") -> DataFrame:
     """``(side, id)``: ids that occur in the ratings and have no factor row.
 
-    Rated and known ids are gathered as bitmaps, pre-aggregated in each task, and compared bucket by bucket: the
-    ratings are read once, a bit per id is shuffled and nothing is joined with the ratings. Null ids don't count.
+    Rated and known ids are gathered as bits, pre-aggregated in each task, and compared number by number: the
+    ratings are read once, at most a row per id is shuffled and nothing is joined with the ratings. Null ids don't count.
     """
-    rated = ratings.select(F.lit("W").alias("side"), F.col(x).cast("bigint").alias("id")).union(
-        ratings.select(F.lit("H"), F.col(y).cast("bigint"))).where("id IS NOT NULL")
+    sides = F.array(*(F.struct(F.lit(side).alias("side"), F.col(c).cast("bigint").alias("id")) for side, c in (("W", x), ("H", y))))
+    rated = ratings.select(F.explode(sides).alias("s")).select("s.side", "s.id").where("id IS NOT NULL")
     known = factors.select("side", F.col("id").cast("bigint").alias("id"))
-    both = _id_bitmaps(rated, "rated").join(_id_bitmaps(known, "known"), ["side", "bucket"], "left")
-
-    def differ(batches):
-        for batch in batches:
-            for side, bucket, r, k in zip(*(batch.column(c).to_pylist() for c in ("side", "bucket", "rated", "known"))):
-                bits = np.frombuffer(r, np.uint8)
-                if k is not None:
-                    bits = bits & ~np.frombuffer(k, np.uint8)
-                at = np.flatnonzero(np.unpackbits(bits, bitorder="little")).astype(np.int64)
-                ids = at + (bucket - 1) * 32768 + 1 if bucket > 0 else bucket * 32768 - at
-                yield pa.RecordBatch.from_arrays([pa.array([side] * len(ids), pa.string()), pa.array(ids)], ["side", "id"])
-
-    return both.select("side", "bucket", "rated", "known").mapInArrow(differ, "side string, id bigint")
+    both = _id_bits(rated, "rated").join(_id_bits(known, "known"), ["side", "bucket"], "left")
+    lacking = both.select("side", "bucket", F.expr("rated & ~coalesce(known, 0L)").alias("bits")).where("bits <> 0")
+    return (lacking.select("side", "bucket", "bits", F.explode(F.expr("sequence(0, 63)")).alias("bit")).where("getbit(bits, bit) = 1")
+            .select("side", (F.shiftleft("bucket", 6) + F.col("bit")).cast("bigint").alias("id")))
 
 
 def require_factors(ratings: DataFrame, factors: DataFrame) -> None:

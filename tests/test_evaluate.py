@@ -76,3 +76,15 @@ def test_missing_ids_from_bitmaps(spark):
         require_factors(r, f)
     require_factors(r.where("x_id = 2"), f)
     assert missing_id_set(r.limit(0), f).count() == 0 and missing_id_set(r, f.limit(0)).count() == 20
+
+
+def test_missing_ids_are_gathered_without_sorting_the_ratings(spark):
+    from latentgrid.operators.evaluate import missing_id_set
+    ids = [-130, -65, -64, -1, 0, 63, 64, 2**62, -(2**63)]
+    r = spark.createDataFrame([(i, i) for i in ids], "x_id long, y_id long")
+    f = spark.createDataFrame([(side, i) for side in "WH" for i in ids if side == "H" or i not in (-64, 63, 2**62, -(2**63))], "side string, id long")
+    found = missing_id_set(r, f)
+    assert sorted(map(tuple, found.collect())) == [("W", i) for i in (-(2**63), -64, 63, 2**62)]
+    # the ratings are read once, and added up in hash tables
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan and plan.count("HashAggregate") == 4 and "Union" not in plan
