@@ -18,16 +18,26 @@ _INT = r"^\s*[+-]?[0-9]+\s*$"
 
 
 def _java_regex_quote(sep: str) -> str:
+    """The separator as a pattern; Java splits at a single character without compiling a pattern for each line."""
+    if len(sep) == 1:
+        return "\\" + sep if sep in r".$|()[{^?*+\\" else sep
     return "\\Q" + sep + "\\E"
 
 
+def _once(expr: Column) -> Column:
+    """``expr`` worked out once a row: filters and projections on its result are not pushed below it, where they would repeat it."""
+    return F.explode(F.array(expr))
+
+
 def parse_rating_lines(lines: DataFrame, sep: str = ",", mode: str = "strict",
                        line_col: str = "value") -> DataFrame | tuple[DataFrame, DataFrame]:
     """Parse a DataFrame of text lines into ``(x_id, y_id, rating)``."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     toks = F.split(F.col(line_col), _java_regex_quote(sep), -1)
-    return _parse_fields(lines, F.col(line_col), [F.get(toks, i) for i in range(3)], F.size(toks) < 3, mode)
+    cells = lines.select(F.col(line_col).alias("line"), _once(toks).alias("toks"))
+    toks = F.col("toks")
+    return _parse_fields(cells, F.col("line"), [F.get(toks, i) for i in range(3)], F.size(toks) < 3, mode)
 
 
 def _parse_fields(df: DataFrame, line: Column, fields: list[Column], short: Column, mode: str):
@@ -36,12 +46,14 @@ def _parse_fields(df: DataFrame, line: Column, fields: list[Column], short: Colu
     x = F.when(t0.rlike(_INT), F.trim(t0).try_cast("bigint"))
     y = F.when(t1.rlike(_INT), F.trim(t1).try_cast("bigint"))
     r = F.trim(t2).try_cast("double")
-    reason = (F.when(short, F.lit("fewer than three fields"))
+    read = F.struct(x.alias("x"), y.alias("y"), r.alias("r"), short.alias("short"))
+    x, y, r = (F.col(f"read.{c}") for c in "xyr")
+    reason = (F.when(F.col("read.short"), F.lit("fewer than three fields"))
               .when(x.isNull(), F.lit("bad row id"))
               .when(y.isNull(), F.lit("bad column id"))
               .when(r.isNull(), F.lit("bad rating")))
-    parsed = df.select(line.alias("line"), x.alias("x_id"), y.alias("y_id"),
-                          r.alias("rating"), reason.alias("reason"))
+    parsed = df.select(line.alias("line"), _once(read).alias("read")).select(
+        "line", x.alias("x_id"), y.alias("y_id"), r.alias("rating"), reason.alias("reason"))
     if mode == "strict":
         # a filter, not a projection: column pruning cannot drop the check
         check = F.when(F.col("reason").isNotNull(), F.raise_error(F.concat(

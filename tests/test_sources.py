@@ -10,7 +10,7 @@ from latentgrid.plans import fixtures
 from latentgrid.sources.blocks import pack_blocks, read_stratum, unpack_blocks, write_blocked
 from latentgrid.sources.factors import (load_factors, pack_factor_pieces, pack_factors, read_factors,
                                         unpack_factors, with_blocks, write_factors, write_factors_text)
-from latentgrid.sources.ratings import prefix_sample, read_ratings
+from latentgrid.sources.ratings import parse_rating_lines, prefix_sample, read_ratings
 
 
 def rows(df, *cols):
@@ -289,3 +289,17 @@ def test_least_number_of_splits(spark, tmp_path, header):
     few, many = (read_ratings(spark, str(p), header=header, splits=n) for n in (None, 6))
     assert few.rdd.getNumPartitions() < 6 <= many.rdd.getNumPartitions()
     assert rows(few, "x_id", "y_id", "rating") == rows(many, "x_id", "y_id", "rating")
+
+
+@pytest.mark.parametrize("sep", [",", "|", "::", "\\"])
+def test_each_line_is_split_and_read_once(spark, sep):
+    lines = spark.createDataFrame([(sep.join(p),) for p in (("1", "2", "3.5", "x"), ("1", "2"), ("a", "2", "3"), ("1", "b", "3"), ("1", " 2 ", "c"), ("+7", "8", " 9 "))]
+                                  + [(None,), ("",)], "value string")
+    good, bad = parse_rating_lines(lines, sep, "quarantine")
+    assert sorted(map(tuple, good.collect())) == [(1, 2, 3.5), (7, 8, 9.0)]
+    assert sorted((r.line or "", r.reason) for r in bad.collect()) == sorted(
+        [("", "bad row id"), ("", "fewer than three fields"), (sep.join("12"), "fewer than three fields"), (sep.join("a23"), "bad row id"),
+         (sep.join("1b3"), "bad column id"), (sep.join(("1", " 2 ", "c")), "bad rating")])
+    for df in (good, bad, parse_rating_lines(lines, sep, "strict")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("split(") == 1 and plan.count("RLIKE") == 2
