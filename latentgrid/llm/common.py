@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from latentgrid.session import remove_path, scratch_path
+from latentgrid.session import bounded_batches, remove_path, scratch_path  # noqa: F401
 
 #: Bytes of text that one numpy pass works on; a longer text is a pass of its own.
 PASS_BYTES = 1 << 18
@@ -19,18 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-
-
-def bounded_batches(spark: SparkSession, size: str = "4m") -> None:
-    """Hand texts to Python in batches of ``size``, where the session doesn't set it.
-
-    Spark's own bound of 64 MB a batch is held several times at once: by the JVM, in transit and by each worker.
-    """
-    if spark.conf.get(BATCH_BYTES, None) is None:
-        spark.conf.set(BATCH_BYTES, size)
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
