@@ -4,12 +4,13 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, data
 from latentgrid.functions.init import init_factors
-from latentgrid.operators.grid import compute_grid
+from latentgrid.operators.grid import Grid, compute_grid
 from serial_sgd import sgd_serial
 from latentgrid.operators import step as step_module
 from latentgrid.operators.step import balanced_keys, factor_rows_of, pack_factor_records, prepare_ratings
 from latentgrid.plans import fixtures
 from latentgrid.plans.train import FactorStore, fit, resume
+from latentgrid.session import list_names
 from latentgrid.sources.ratings import read_ratings
 
 K = 4
@@ -430,3 +431,55 @@ def test_edges_by_counts_with_an_id_of_many_ratings(spark, schedule):
     fit(r, K, blocks=4, epochs=1, balance="counts", schedule=schedule, eval_every=1, ids="seen", path=path, steps=2)
     a, b = as_dict(whole.factors), as_dict(resume(spark, path).factors)
     assert all(np.array_equal(a[k], b[k]) for k in a)
+
+
+@pytest.mark.parametrize("method, dtype", [("hash", "double"), ("stream", "float")])
+def test_steps_work_on_rated_ids_only(spark, scratch, method, dtype):
+    """The grid has 4,000 rows a side; the steps move the rated ones, and the others keep their first values."""
+    r = spark.createDataFrame([(i, j, 1.0 + (i + j) % 5) for i in (0, 63, 64, 3999) for j in (5, 128, 3000)], "x_id long, y_id long, rating double")
+    path = scratch + "/run"
+    res = fit(r, K, blocks=4, epochs=1, init_method=method, dtype=dtype, path=path, keep_steps=True)
+    held = spark.read.parquet(f"{path}/factors-00000000").selectExpr("side", "octet_length(ids) div 8 AS n").groupBy("side").agg(F.sum("n").alias("n"))
+    assert sorted(map(tuple, held.collect())) == [("H", 3), ("W", 4)]
+    first = as_dict(init_factors(spark, res.grid, K, 1, method, dtype))
+    got = res.factors.collect()
+    assert len(got) == len(first) == 4 * (res.grid.x_dim + res.grid.y_dim)
+    changed = {(g.side, g.id) for g in got if not np.array_equal(np.array(g.factors), first[g.side, g.id])}
+    assert changed == {("W", i) for i in (0, 63, 64, 3999)} | {("H", j) for j in (5, 128, 3000)}
+    again = resume(spark, path).factors
+    assert sorted(map(str, again.collect())) == sorted(map(str, got))
+
+
+@pytest.mark.parametrize("schedule, written", [("diagonal", 2), ("row_major", 4)])
+def test_blocks_without_ratings_are_left_alone(spark, scratch, schedule, written):
+    """Ratings in the blocks (0, 0) and (2, 2) of 4 x 4: steps without any write nothing, others their blocks only."""
+    r = spark.createDataFrame([(i, j, 3.0) for b in (0, 2) for i in (4 * b, 4 * b + 1) for j in (4 * b, 4 * b + 3)] , "x_id long, y_id long, rating double")
+    path = scratch + "/run"
+    res = fit(r, K, blocks=4, epochs=2, init=init_factors(spark, Grid(4, 15, 15, 4, 4), K), grid=Grid(4, 15, 15, 4, 4), schedule=schedule,
+              path=path, keep_steps=True, eval_every=1)
+    tables = [n for n in list_names(spark, path) if n.startswith("factors-") and n != "factors-00000000"]
+    assert len(tables) == written
+    blocks = {(s.side, s.block) for t in tables for s in spark.read.parquet(f"{path}/{t}").select("side", "block").distinct().collect()}
+    assert blocks == {(s, b) for s in "WH" for b in (0, 2)}
+    assert res.factors.count() == 32 and res.errors.count() == 4
+
+
+def test_a_block_is_held_once_and_handed_over_in_small_batches(spark, slice_ratings):
+    from latentgrid.operators.kernel import Levels
+    from latentgrid.operators.step import _Side
+    from latentgrid.session import BATCH_BYTES, fixed_plan_session
+    ids, vals = np.arange(10), np.arange(20.0).reshape(10, 2)
+    records = [(3, ids[a:b].astype("<i8").tobytes(), vals[a:b].astype("<f8").tobytes()) for a, b in ((6, 10), (0, 2), (2, 6))]
+    side = _Side(records, 2, np.dtype("<f8"), "W")
+    assert not records and np.array_equal(side.ids, ids) and np.array_equal(side.vals, vals) and side.block == 3
+    levels, rng, x_last, y_last = Levels(), np.random.default_rng(1), {}, {}
+    for scale in (1, 1, 10**12, -7):
+        x, y = rng.integers(0, 300, 500) * scale, rng.integers(0, 200, 500) * scale
+        want = []
+        for a, b in zip(x.tolist(), y.tolist()):
+            want.append(max(x_last.get(a, 0), y_last.get(b, 0)))
+            x_last[a] = y_last[b] = want[-1] + 1
+        assert levels.of(x, y).tolist() == want
+    assert max(len(levels._x), len(levels._y)) < 1200
+    fit(slice_ratings, K, blocks=2, epochs=1).cleanup()
+    assert fixed_plan_session(spark).conf.get(BATCH_BYTES, None) == "4m"
