@@ -3,19 +3,24 @@
 ``predict`` looks up ``w[x]`` and ``h[y]`` for every rating with two equi-joins.
 A factor side is broadcast only when its size is known and under the limit
 (rows x rank x 8 bytes); otherwise the joins shuffle and AQE may still pick a
-broadcast from runtime sizes or split a skewed key.
+broadcast from runtime sizes or split a skewed key. Where ratings may lack factors and a join
+shuffles, those that do are told apart before it by a bit for each id, and take no part in it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from latentgrid.functions.vectors import dot
 from latentgrid.operators.grid import Grid, stratum_col, xb_col, yb_col
+from latentgrid.session import scratch_path
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 MISSING_POLICIES = ("error", "drop", "nan")
+#: Bytes of a broadcast number of 64 ids with its key.
+BITS_BYTES = 16
 
 
 def _side(factors: DataFrame, side: str, id_name: str, vec_name: str) -> DataFrame:
@@ -23,10 +28,24 @@ def _side(factors: DataFrame, side: str, id_name: str, vec_name: str) -> DataFra
         F.col("id").alias(id_name), F.col("factors").alias(vec_name))
 
 
+def _small(rows: int | None, rank: int | None, limit: int) -> bool:
+    return rows is not None and rank is not None and rows * rank * 8 <= limit
+
+
 def _maybe_broadcast(df: DataFrame, rows: int | None, rank: int | None, limit: int) -> DataFrame:
-    if rows is not None and rank is not None and rows * rank * 8 <= limit:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if _small(rows, rank, limit) else df
+
+
+def _side_rows(grid: Grid | None) -> tuple[int | None, int | None]:
+    return (None, None) if grid is None else (grid.p * grid.x_dim, grid.p * grid.y_dim)
+
+
+def factor_sides(factors: DataFrame, x: str = "x_id", y: str = "y_id", w: str = "w", h: str = "h", grid: Grid | None = None,
+                 rank: int | None = None, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, DataFrame]:
+    """``(x, w)`` and ``(y, h)`` to be joined with ratings; a side known by ``grid`` and ``rank`` to be under the limit is broadcast."""
+    rows = _side_rows(grid)
+    return (_maybe_broadcast(_side(factors, "W", x, w), rows[0], rank, broadcast_bytes),
+            _maybe_broadcast(_side(factors, "H", y, h), rows[1], rank, broadcast_bytes))
 
 
 def predict(ratings: DataFrame, factors: DataFrame, on_missing: str = "error",
@@ -37,14 +56,21 @@ def predict(ratings: DataFrame, factors: DataFrame, on_missing: str = "error",
     ``on_missing``: ``error`` fails the job when an id has no factor row (checked
     inside the same pass, no extra job), ``drop`` keeps matched ratings only,
     ``nan`` keeps every rating and predicts NaN.
+
+    With ``drop`` or ``nan``, if a side isn't known to be small enough to be broadcast, the ids that have factors are
+    first gathered as bits (a job over the factors' ids), and only ratings that have both are joined with the factors.
+    ``nan`` then reads the ratings twice, once for either kind: they must come out the same each time.
     """
     if on_missing not in MISSING_POLICIES:
         raise ValueError(f"on_missing must be one of {MISSING_POLICIES}")
-    w = _side(factors, "W", x, "_w")
-    h = _side(factors, "H", y, "_h")
-    if grid is not None:
-        w = _maybe_broadcast(w, grid.p * grid.x_dim, rank, broadcast_bytes)
-        h = _maybe_broadcast(h, grid.p * grid.y_dim, rank, broadcast_bytes)
+    w, h = factor_sides(factors, x, y, "_w", "_h", grid, rank, broadcast_bytes)
+    lacking = None
+    if on_missing != "error" and not all(_small(n, rank, broadcast_bytes) for n in _side_rows(grid)):
+        bits = _known_bits(ratings, factors, x, y, broadcast_bytes, once=on_missing == "nan")
+        if bits is not None:
+            if on_missing == "nan":
+                lacking = _by_known(ratings, bits, x, y, both=False).withColumn("prediction", F.lit(float("nan")))
+            ratings = _by_known(ratings, bits, x, y, both=True)
     how = "inner" if on_missing == "drop" else "left"
     j = ratings.join(w, x, how).join(h, y, how)
     p = dot("_w", "_h", k=rank)
@@ -57,16 +83,43 @@ def predict(ratings: DataFrame, factors: DataFrame, on_missing: str = "error",
     elif on_missing == "nan":
         p = F.coalesce(p, F.lit(float("nan")))
     cols = [c for c in ratings.columns]
-    return j.select(*cols, p.alias("prediction"))
+    out = j.select(*cols, p.alias("prediction"))
+    return out if lacking is None else out.unionByName(lacking)
 
 
-def _id_bits(ids: DataFrame, name: str) -> DataFrame:
-    """``(side, bucket, <name>)``: a bit for each id of ``ids(side, id)``, 64 to a number.
+def _known_bits(ratings: DataFrame, factors: DataFrame, x: str, y: str, limit: int, once: bool) -> DataFrame | None:
+    """``_id_bits`` of the ids that have factors; None where ids aren't whole numbers or the bits are over ``limit`` bytes.
+
+    ``once``: None, too, where an id has several factor rows, each of which is joined with its ratings.
+    """
+    types = [ratings.schema[x].dataType, ratings.schema[y].dataType, factors.schema["id"].dataType]
+    if not all(isinstance(t, (ByteType, ShortType, IntegerType, LongType)) for t in types):
+        return None
+    path = scratch_path(factors.sparkSession, "known-ids")
+    ids = factors.select("side", F.col("id").cast("bigint").alias("id")).where("id IS NOT NULL")
+    _id_bits(ids, "known", F.count("*").alias("rows")).write.parquet(path)
+    bits = factors.sparkSession.read.schema("side string, bucket bigint, known bigint, rows bigint").parquet(path)
+    n, repeated = bits.agg(F.count("*"), F.expr("count_if(rows > bit_count(known))")).first()
+    return None if n * BITS_BYTES > limit or (once and repeated) else bits
+
+
+def _by_known(ratings: DataFrame, bits: DataFrame, x: str, y: str, both: bool) -> DataFrame:
+    """The ratings of which both ids are in ``bits``, or the others. Null ids are in none."""
+    out, known = ratings, F.lit(True)
+    for side, c in (("W", x), ("H", y)):
+        own = F.broadcast(bits.where(F.col("side") == side).select(F.col("bucket").alias(f"_b{side}"), F.col("known").alias(f"_k{side}")))
+        out = out.join(own, F.shiftright(F.col(c).cast("bigint"), 6) == F.col(f"_b{side}"), "left")
+        known &= F.coalesce(F.expr(f"getbit(_k{side}, cast(`{c}` & 63 AS int)) = 1"), F.lit(False))
+    return out.where(known if both else ~known).select(*ratings.columns)
+
+
+def _id_bits(ids: DataFrame, name: str, *more: F.Column) -> DataFrame:
+    """``(side, bucket, <name>)``: a bit for each id of ``ids(side, id)``, 64 to a number, and ``more`` aggregates.
 
     Numbers are combined in a hash table of each task; bitmaps of more ids are binary values, for which Spark would sort all rows.
     """
     return ids.groupBy("side", F.shiftright("id", 6).alias("bucket")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(id & 63 AS int))")).alias(name))
+        F.bit_or(F.expr("shiftleft(1L, cast(id & 63 AS int))")).alias(name), *more)
 
 
 def missing_id_set(ratings: DataFrame, factors: DataFrame, x: str = "x_id", y: str = "y_id") -> DataFrame:

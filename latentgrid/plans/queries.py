@@ -417,7 +417,7 @@ def q_predictions_drop(spark, sf_dir):
 def q_missing_ids(spark, sf_dir):
     r = _ratings(spark, sf_dir)
     g = compute_grid(r, P)
-    p = predict(r, _segment_factors(spark, sf_dir, g), "nan")
+    p = predict(r, _segment_factors(spark, sf_dir, g), "nan", grid=g, rank=K)
     return p.filter(F.isnan("prediction")).drop("prediction")
 
 

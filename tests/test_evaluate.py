@@ -88,3 +88,29 @@ def test_missing_ids_are_gathered_without_sorting_the_ratings(spark):
     # the ratings are read once, and added up in hash tables
     plan = found._jdf.queryExecution().sparkPlan().toString()
     assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan and plan.count("HashAggregate") == 4 and "Union" not in plan
+
+
+def test_ratings_without_factors_take_no_part_in_the_joins(spark):
+    ids = [None, -65, -1, 0, 63, 64, 10**12, 7, 7]
+    r = spark.createDataFrame([(x, y, float(k)) for k, (x, y) in enumerate((x, y) for x in ids for y in ids)], "x_id long, y_id long, rating double")
+    rows = [("W", i, [1.0, 2.0]) for i in (-65, 0, 7, 10**12)] + [("H", i, [3.0, 4.0]) for i in (-1, 0, 7, 64)]
+    f = spark.createDataFrame(rows + [("W", 63, None), ("H", None, [1.0, 1.0])], "side string, id long, factors array<double>")
+    twice = f.union(f.where("id = 64 or id is null"))
+    for policy, f in (("drop", f), ("nan", f), ("drop", twice)):
+        plain = predict(r, f, policy, broadcast_bytes=0)  # no room for the bits
+        got = predict(r, f, policy, broadcast_bytes=1 << 10)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "getbit" in plan and plan.count("strategy=broadcast") == (4 if policy == "nan" else 2)
+        assert "getbit" not in plain._jdf.queryExecution().optimizedPlan().toString()
+    # an id with several factor rows gives as many predictions, with or without a row of the other side
+    assert sorted(map(repr, predict(r, twice, "nan").collect())) == sorted(map(repr, predict(r, twice, "nan", broadcast_bytes=0).collect()))
+    # ids that aren't whole numbers are joined as they are
+    text = r.select(F.col("x_id").cast("string").alias("x_id"), "y_id", "rating")
+    assert sorted(map(repr, predict(text, f, "drop").collect())) == sorted(map(repr, predict(text, f, "drop", broadcast_bytes=0).collect()))
+
+
+def test_queries_on_partly_known_factors_join_without_a_shuffle_of_the_ratings(spark):
+    from latentgrid.plans.queries import q_missing_ids
+    for q in (q_missing_ids,):
+        assert q(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast") == 2
