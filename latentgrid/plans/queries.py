@@ -410,7 +410,7 @@ def _segment_factors(spark, sf_dir, g):
 def q_predictions_drop(spark, sf_dir):
     r = _ratings(spark, sf_dir)
     g = compute_grid(r, P)
-    p = predict(r, _segment_factors(spark, sf_dir, g), "drop")
+    p = predict(r, _segment_factors(spark, sf_dir, g), "drop", grid=g, rank=K)
     return p.withColumn("prediction", F.round("prediction", 6))
 
 

@@ -111,6 +111,6 @@ def test_ratings_without_factors_take_no_part_in_the_joins(spark):
 
 
 def test_queries_on_partly_known_factors_join_without_a_shuffle_of_the_ratings(spark):
-    from latentgrid.plans.queries import q_missing_ids
-    for q in (q_missing_ids,):
+    from latentgrid.plans.queries import q_missing_ids, q_predictions_drop
+    for q in (q_missing_ids, q_predictions_drop):
         assert q(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast") == 2
