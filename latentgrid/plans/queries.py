@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from latentgrid.functions.init import init_factors
 from latentgrid.functions.vectors import axpy, dot, scale
-from latentgrid.operators.evaluate import evaluate, evaluate_blocks, missing_id_set, predict, require_factors
+from latentgrid.operators.evaluate import evaluate, evaluate_blocks, factor_sides, missing_id_set, predict, require_factors
 from latentgrid.operators.grid import (assign_blocks, balanced_grid, block_counts, compute_grid, factor_work_key,
                                        grid_frame, inverse_work_key, rating_faults, schedule, with_offset)
 from latentgrid.operators.step import balanced_keys, prepare_ratings
@@ -457,8 +457,7 @@ def q_sgd_one_sample(spark, sf_dir):
     """The update rule applied to every rating on its own, from the initial factors
     (built-in column expressions only; audits the block kernel's arithmetic)."""
     r, g, f = _init_model(spark, sf_dir)
-    w = f.filter(F.col("side") == "W").select(F.col("id").alias("x_id"), F.col("factors").alias("w"))
-    h = f.filter(F.col("side") == "H").select(F.col("id").alias("y_id"), F.col("factors").alias("h"))
+    w, h = factor_sides(f, grid=g, rank=K)
     j = r.join(w, "x_id").join(h, "y_id")
     e = F.col("rating") - dot("w", "h", k=K)
     j = j.withColumn("e", e)

@@ -114,3 +114,8 @@ def test_queries_on_partly_known_factors_join_without_a_shuffle_of_the_ratings(s
     from latentgrid.plans.queries import q_missing_ids, q_predictions_drop
     for q in (q_missing_ids, q_predictions_drop):
         assert q(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast") == 2
+
+
+def test_one_sample_broadcasts_factors_known_to_be_small(spark):
+    from latentgrid.plans.queries import q_sgd_one_sample
+    assert q_sgd_one_sample(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast") == 2
