@@ -483,3 +483,32 @@ def test_a_block_is_held_once_and_handed_over_in_small_batches(spark, slice_rati
     assert max(len(levels._x), len(levels._y)) < 1200
     fit(slice_ratings, K, blocks=2, epochs=1).cleanup()
     assert fixed_plan_session(spark).conf.get(BATCH_BYTES, None) == "4m"
+
+
+def test_one_side_is_read_without_the_other(spark, scratch):
+    from latentgrid.operators.grid import compute_grid
+    from latentgrid.operators.step import balanced_keys, prepare_ratings
+    from latentgrid.plans.train import fit
+    r = spark.createDataFrame([(i % 7, i % 5, 1.0) for i in range(40)], "x_id long, y_id long, rating double")
+    laid = prepare_ratings(r, compute_grid(r, 2), "diagonal", balanced_keys(spark, 2), ["x_id", "y_id"])
+    seen = laid.rated_ids()
+    assert sorted(map(tuple, seen.collect())) == [("H", i) for i in range(5)] + [("W", i) for i in range(7)]
+    for side, column in (("W", "a"), ("H", "b")):
+        plan = seen.where(f"side = '{side}'")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") == 1 and f"ReadSchema: struct<{column}:binary>" in plan
+    laid.unpersist()
+    factors = fit(r, 2, blocks=2, epochs=1, path=scratch).factors
+    for side in "WH":
+        files = factors.where(f"side = '{side}'").inputFiles()
+        assert files and all(f"/s={side}/" in f for f in files)
+    assert factors.columns == ["side", "id", "block", "factors"] and factors.groupBy("side").count().count() == 2
+
+
+def test_train_then_evaluate_parses_the_lines_once(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from latentgrid.plans import queries
+    real, read = queries.fit, []
+    monkeypatch.setattr(queries, "fit", lambda r, *a, **k: read.extend(r.inputFiles()) or real(r, *a, **k))
+    n = queries.q_ratings_scan(spark, SF_SMALL).count()
+    assert queries.q_train_then_evaluate(spark, SF_SMALL).first()["n"] == n
+    assert read and all(f.endswith(".parquet") for f in read)
