@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
@@ -19,14 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back.
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back; a folder for each value of ``by``.
 
     Cuts the lineage without tying rows to an executor: a lost executor costs only the
     tasks that it ran.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.scratch = path
     return table
@@ -39,6 +40,21 @@ def discard(*tables: DataFrame) -> None:
             remove_path(df.sparkSession, path)
 
 
+def stored(path: str, columns: list[str]) -> pa.Table:
+    """In a task: columns of the parquet files in a folder of the shared storage; of a missing one no rows."""
+    import pyarrow.dataset as ds
+    from pyarrow.fs import FileSystem, FileType, LocalFileSystem
+
+    scheme, colon, rest = path.partition(":")
+    if not colon or scheme == "file":
+        files, name = LocalFileSystem(), "/" + (rest if colon else path).lstrip("/")
+    else:
+        files, name = FileSystem.from_uri(f"{scheme}:{quote(rest)}")
+    if files.get_file_info(name).type == FileType.NotFound:
+        return pa.table({c: pa.array([], pa.int64()) for c in columns})
+    return ds.dataset(name, filesystem=files, format="parquet").to_table(columns)
+
+
 def flat(column) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of an Arrow string or binary array, and the n + 1 offsets of its values (null: empty)."""
     if isinstance(column, pa.ChunkedArray):
@@ -110,11 +126,20 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
+    if n < PASS_BYTES:
+        return _short_powers(base)[:n + 1]
     out = np.full(n + 1, base, np.uint64)
     out[0] = 1
     return np.cumprod(out)
 
 
+@functools.cache
+def _short_powers(base: np.uint64) -> np.ndarray:
+    out = _powers(base, PASS_BYTES)
+    out.flags.writeable = False
+    return out
+
+
 def span_hashes(chars: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """64-bit hash of each ``chars[a[k]:b[k]]``: a polynomial, as a difference of prefix sums. ``chars`` are above 0."""
     power = _powers(_R, len(chars))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from corpus_fixtures import docs  # noqa: F401
 from latentgrid.llm import (bpe, decontam, embeddings, langid, pii, quality, queries, secrets, simhash, tokencount, warc)
 from latentgrid.llm.common import smallest_labels
-from latentgrid.session import scratch_path
+from latentgrid.session import ensure_checkpoint_dir, list_names, scratch_path
 
 SF = "/root/testdata/sf0.001"
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -476,6 +476,46 @@ def test_quality_edge_rows(docs, spark):
     assert quality.classify(df.limit(0), spark.createDataFrame([], "doc_id long")).count() == 0
 
 
+def test_chunks_of_any_size_score_alike(spark):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["a", "Bc", "d,e", "é", "f!"]) for _ in range(rng.randint(0, 60))) for _ in range(40)]
+    rows = spark.createDataFrame([(k, t, k % 3 == 0) for k, t in enumerate(texts + [None, "x" * 900, *texts[:5]])],
+                                 "key long, text string, good boolean").coalesce(2)
+    whole, parts = (sorted((r.key, r.good, r.perplexity or -1, r.without or -1) for r in got.collect())
+                    for got in (quality.scores(rows), quality.scores(rows, chunk=100)))
+    assert len(whole) == 47 and parts == [pytest.approx(r, rel=1e-9) for r in whole]
+    want = slow_perplexities([r.text for r in rows.collect() if r.good], [t for t in texts if t])
+    assert [r[2:] for r in whole[:40] if texts[r[0]]] == [pytest.approx(w, rel=1e-9) for w in want]
+
+
+def test_quality_leaves_only_its_result_in_the_scratch_folder(docs, spark):
+    folder = ensure_checkpoint_dir(spark)
+    before = set(list_names(spark, folder))
+    quality.classify(docs([(1, "a good text"), (2, "another text")]), spark.createDataFrame([(1,)], "doc_id long")).collect()
+    assert [name.split("-")[0] for name in set(list_names(spark, folder)) - before] == ["scored"]
+
+
+def test_rows_that_change_between_reads_are_refused(spark):
+    def other(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([os.urandom(8).hex() for _ in range(len(batch))]), pa.array([True] * len(batch))],
+                                             ["text", "good"])
+
+    with pytest.raises(Exception, match="write them first"):
+        quality.scores(spark.range(9).mapInArrow(other, "text string, good boolean"))
+
+
+def test_blocks_of_hashes_are_compact_and_whole():
+    keys = np.unique(np.random.default_rng(1).integers(0, 2**64, 200_000, np.uint64))
+    blocks = quality._blocks(7, keys, [np.arange(len(keys)) % 3], 4)
+    back = [quality._unpack(body, 2) for body in blocks.column("body").to_pylist()]
+    assert np.array_equal(np.concatenate([np.cumsum(b[0], dtype=np.uint64) for b in back]), keys)
+    assert np.array_equal(np.concatenate([b[1] for b in back]), np.arange(len(keys)) % 3)
+    assert sum(map(len, blocks.column("body").to_pylist())) < 7 * len(keys)  # a row of two words and a count has 24 bytes
+    near = np.array([5, 4, 5, 2**63 + 1, 2**63, 4], np.uint64)  # equal in their high bits
+    assert quality._ordered(near)[0].tolist() == [1, 5, 0, 2, 4, 3]
+
+
 # -- languages -----------------------------------------------------------------
 
 def test_languages_held_out(spark):
