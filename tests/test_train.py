@@ -512,3 +512,60 @@ def test_train_then_evaluate_parses_the_lines_once(spark, monkeypatch):
     n = queries.q_ratings_scan(spark, SF_SMALL).count()
     assert queries.q_train_then_evaluate(spark, SF_SMALL).first()["n"] == n
     assert read and all(f.endswith(".parquet") for f in read)
+
+
+def test_values_are_made_once_and_by_several_tasks(spark):
+    """The ids of a fit are few bytes: their values are made after ids are distinct, and not by one task."""
+    from latentgrid.functions.init import seen_factors
+    rank, seen = 30, None
+    for side in "WH":
+        one = spark.range(60_000).selectExpr(f"'{side}' AS side", "id % 20000 AS id")
+        seen = one if seen is None else seen.unionByName(one)
+    seen = seen.distinct()
+    rows = seen_factors(spark, Grid(4, 19_999, 19_999, 5000, 5000, 60_000), rank, 1, "hash", "double", True, seen)
+    plan = pack_factor_records(rows, rank)._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" in plan and not any("md5" in line for line in plan.splitlines() if "Filter" in line)
+    tasks = rows.where("factors[0] >= 0").groupBy("side", F.spark_partition_id().alias("task")).count().collect()
+    assert sum(t["count"] for t in tasks) == 40_000
+    assert all(sum(t.side == side for t in tasks) > 1 for side in "WH")
+
+
+@pytest.mark.parametrize("row", [[1.0], [1.0, 2.0, 3.0], [1.0, None], None])
+def test_packed_rows_must_have_the_rank(spark, row):
+    f = spark.createDataFrame([("W", 0, 0, [1.0, 2.0]), ("W", 1, 0, row)], "side string, id long, block int, factors array<double>")
+    with pytest.raises(Exception, match="a factor row does not have 2 values"):
+        pack_factor_records(f, 2).count()
+
+
+@pytest.mark.parametrize("ids", [[3, 1, 2, 0, 4], [7, 10**12, -5, 0, 40]])
+def test_places_of_dense_and_sparse_ids(ids):
+    side = step_module._Side([(0, np.array(ids, "<i8").tobytes(), np.arange(10.0).tobytes())], 2, np.dtype("<f8"), "W")
+    want = np.array([ids[1], ids[4], ids[0], ids[1]])
+    assert side.vals[side.places(want), 0].tolist() == [2.0, 8.0, 0.0, 2.0]
+    for wrong in (min(ids) - 1, max(ids) + 1, 6):
+        with pytest.raises(ValueError, match=f"W id {wrong} which has no factor row"):
+            side.places(np.array([ids[0], wrong]))
+
+
+@pytest.mark.parametrize("piece, tasks", [(1 << 16, 1), (50, 16)])
+def test_records_keep_the_order_of_samples_that_share_an_id(spark, monkeypatch, piece, tasks):
+    """Several blocks in a task, and one in each: a record's samples are of one block, by level, and follow the training order where they share an id."""
+    monkeypatch.setattr(step_module, "PIECE", piece)
+    rng = np.random.default_rng(4)
+    rows = [(int(x), int(y), float(k), k) for k, (x, y) in enumerate(rng.integers(0, 40, (3000, 2)))]
+    r = spark.createDataFrame(rows, "x_id long, y_id long, rating double, k long").repartition(5)
+    monkeypatch.setattr(step_module, "ROWS", 3000 // tasks)
+    prep = prepare_ratings(r, compute_grid(r, 4), "diagonal", balanced_keys(spark, 4), ["k"])
+    blocks = {}
+    for rec in prep.stored.orderBy("step", "wk", "seq").collect():
+        x, y, k, level = (np.frombuffer(v, t) for v, t in zip((rec.a, rec.b, rec.c, rec.d), ("<i8", "<i8", "<f8", "<i4")))
+        assert len(x) <= piece and np.all(np.diff(level) >= 0)
+        assert {((b - a) // 10 % 4, a // 10) for a, b in zip(x // 10 * 10, y // 10 * 10)} == {(rec.step, x[0] // 10)}
+        blocks.setdefault((rec.step, rec.wk), []).extend(zip(x.tolist(), y.tolist(), k.tolist()))
+    assert sum(map(len, blocks.values())) == 3000 and len(blocks) == 16
+    for samples in blocks.values():
+        for side in (0, 1):
+            for one in {s[side] for s in samples}:
+                order = [s[2] for s in samples if s[side] == one]
+                assert order == sorted(order)
+    prep.unpersist()
